@@ -40,3 +40,22 @@ def ranking_report(spark: SparkSession, sf_dir: str, as_of_ms: int = fixtures.FI
                    cfg: ScoringConfig | None = None, **join_kw) -> DataFrame:
     """The flagship: top-k posts of the scored live table."""
     return rank_topk(snapshot(spark, sf_dir, as_of_ms, window_ms, cfg, **join_kw), k)
+
+
+def periodic_snapshots(counts_df: DataFrame, period_ms: int = DAY_MS) -> DataFrame:
+    """Replay: the live table at the end of every period, all periods at once.
+
+    With window = period each counts row belongs to exactly one snapshot
+    (``snapshot_ts`` = end of its period), so the per-snapshot live tables are
+    one grouped ``max_by`` keyed by (snapshot_ts, post id), not one job per
+    snapshot.
+    """
+    from feedrank.operators.live_table import latest_per_key
+    from feedrank.schemas import POST_ID
+    st = ((F.floor(F.col("post_timestamp") / F.lit(period_ms)) + 1) * F.lit(period_ms)).cast("long")
+    c = counts_df.withColumn("snapshot_ts", st)
+    keyed = c.withColumn("_k", F.struct("snapshot_ts", POST_ID))
+    latest = latest_per_key(keyed.drop("snapshot_ts", POST_ID), key="_k", order=("post_timestamp",))
+    return latest.select(F.col("_k")[POST_ID].alias(POST_ID),
+                         *[c for c in latest.columns if c != "_k"],
+                         F.col("_k.snapshot_ts").alias("snapshot_ts"))

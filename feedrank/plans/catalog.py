@@ -203,6 +203,417 @@ def q_rank_topk(spark, sf_dir):
                       r6(F.col("hotness_score")).alias("hotness_score"))
 
 
+# ----------------------------------------------------------------------------
+# 2.1 / 2.2 raw event ingest
+# ----------------------------------------------------------------------------
+
+SQL_EVENT_NAME = "CASE WHEN event_type = 'signup' THEN 'Created Story' ELSE 'Viewed Shoppable Fit' END"
+SQL_ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
+
+
+def _ingested(spark, sf_dir):
+    from feedrank.sources import ingest as ing
+    raw = fx.raw_events(spark, sf_dir)
+    return ing.ingest(raw, NOW_MS, schema=None, keep=["doc_id"])
+
+
+@query("ingest_raw", sql=f"""
+SELECT event_id AS doc_id, 'track' AS type, {SQL_EVENT_NAME} AS event, {SQL_ISO} AS timestamp
+FROM events""")
+def q_ingest_raw(spark, sf_dir):
+    from feedrank.sources import ingest as ing
+    p = ing.parse(fx.raw_events(spark, sf_dir))
+    return p.select("doc_id", "doc.type", "doc.event", "doc.timestamp")
+
+
+@query("ingest_flatten", sql=f"""
+SELECT event_id AS doc_id, {fx.SQL_K} AS context_k, event_type AS context_tags_0,
+       CAST({fx.SQL_K} AS VARCHAR) AS context_tags_1, {SQL_EVENT_NAME} AS event,
+       {fx.SQL_DISPLAY} AS properties_display, user_id AS properties_shoppable_post_id,
+       {SQL_ISO} AS timestamp, 'track' AS type, CAST(user_id AS VARCHAR) AS "userId",
+       {fx.SQL_TS_MS} AS segment_timestamp, CAST({NOW_MS} AS BIGINT) AS ingest_timestamp
+FROM events""")
+def q_ingest_flatten(spark, sf_dir):
+    return _ingested(spark, sf_dir).drop("topic", "key", "reason")
+
+
+@query("ingest_epoch_millis", sql=f"""
+SELECT event_id AS doc_id, {SQL_ISO} AS timestamp, {fx.SQL_TS_MS} AS segment_timestamp
+FROM events""")
+def q_ingest_epoch(spark, sf_dir):
+    return _ingested(spark, sf_dir).select("doc_id", "timestamp", "segment_timestamp")
+
+
+SQL_TOPIC = (f"regexp_replace('track' || {SQL_EVENT_NAME}, '[^A-Za-z0-9]', '', 'g') "
+             "|| '_00_raw_flatJSON'")
+
+
+@query("ingest_topic", sql=f"SELECT event_id AS doc_id, {SQL_TOPIC} AS topic FROM events")
+def q_ingest_topic(spark, sf_dir):
+    return _ingested(spark, sf_dir).select("doc_id", "topic")
+
+
+@query("ingest_key", sql="SELECT event_id AS doc_id, CAST(user_id AS VARCHAR) AS key FROM events")
+def q_ingest_key(spark, sf_dir):
+    return _ingested(spark, sf_dir).select("doc_id", "key")
+
+
+@query("ingest_route_counts", sql=f"""
+SELECT {SQL_TOPIC} AS topic, count(*) AS n FROM events GROUP BY 1""")
+def q_ingest_route_counts(spark, sf_dir):
+    from feedrank.sources import ingest as ing
+    return ing.records(_ingested(spark, sf_dir)).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ingest_dead_letter", sql="SELECT 'ok' AS reason, count(*) AS n FROM events")
+def q_ingest_dead_letter(spark, sf_dir):
+    t = _ingested(spark, sf_dir)
+    return (t.select(F.coalesce("reason", F.lit("ok")).alias("reason"))
+             .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("ingest_click_stream", sql=f"""
+SELECT user_id AS {POST_ID}, {fx.SQL_TS_MS} AS segment_timestamp,
+       CAST({NOW_MS} AS BIGINT) AS ingest_timestamp, {fx.SQL_DISPLAY} AS properties_display
+FROM events WHERE event_type <> 'signup'""")
+def q_ingest_click_stream(spark, sf_dir):
+    from feedrank.schemas import CLICK
+    from feedrank.sources import ingest as ing
+    routed = ing.records(_ingested(spark, sf_dir))
+    return ing.scan_topic(routed, ing.CLICK_TOPIC, CLICK)
+
+
+@query("ingest_create_post_stream", sql=f"""
+SELECT user_id AS {POST_ID}, {fx.SQL_TS_MS} AS segment_timestamp
+FROM events WHERE event_type = 'signup'""")
+def q_ingest_create_post_stream(spark, sf_dir):
+    from feedrank.schemas import CREATE_POST
+    from feedrank.sources import ingest as ing
+    routed = ing.records(_ingested(spark, sf_dir))
+    return ing.scan_topic(routed, ing.CREATE_POST_TOPIC, CREATE_POST)
+
+
+# ----------------------------------------------------------------------------
+# 2.9 scalar functions: rtscore, CTR variants, rounding, time formats
+# ----------------------------------------------------------------------------
+
+SQL_RTS_HOT_W = ("CASE WHEN preview + full_view = 0 THEN 0.0 ELSE 1.0 / (1.0 + exp(-20.0 * "
+                 "(CAST(full_view AS DOUBLE) / (preview + full_view) - 0.12))) END")
+SQL_RTS_COLD_W = f"(1.0 - 1.0 / (1.0 + exp(-0.5 * (CAST(preview AS DOUBLE) - {sc.RTS_PREVIEWS_TARGET!r}))))"
+
+
+@query("rtscore", sql=sql_with(f"""
+SELECT {POST_ID}, preview, full_view,
+       round(50.0 * {SQL_RTS_HOT_W} + 50.0 * {SQL_RTS_COLD_W}, 6) AS rtscore,
+       round(50.0 * {SQL_RTS_HOT_W} + 50.0 * {SQL_RTS_COLD_W}, 6) AS rtscore_sql,
+       round({SQL_RTS_COLD_W}, 6) AS rts_coldness_weight,
+       round({SQL_RTS_HOT_W}, 6) AS rts_hotness_weight
+FROM live"""))
+def q_rtscore(spark, sf_dir):
+    sc.register_sql_functions(spark)
+    lv = batch.live(spark, sf_dir)
+    return lv.select(POST_ID, "preview", "full_view",
+                     r6(sc.rtscore("preview", "full_view")).alias("rtscore"),
+                     r6(F.expr("rtscore(preview, full_view)")).alias("rtscore_sql"),
+                     r6(sc.rts_coldness_weight("preview")).alias("rts_coldness_weight"),
+                     r6(sc.rts_hotness_weight("preview", "full_view")).alias("rts_hotness_weight"))
+
+
+@query("ctr_variants", sql=sql_with(f"""
+SELECT {POST_ID}, preview, full_view,
+  round(CASE WHEN preview + full_view = 0 THEN 0.0
+        ELSE CAST(full_view AS DOUBLE) / greatest(preview, full_view) END, 6) AS ranking_ctr,
+  round(CASE WHEN preview + full_view = 0 THEN NULL
+        ELSE CAST(full_view AS DOUBLE) / (preview + full_view) END, 6) AS rts_ctr,
+  round(CAST(full_view AS DOUBLE) / greatest(preview, 1), 6) AS display_ctr,
+  round(CASE WHEN preview = 0 THEN NULL ELSE CAST(full_view AS DOUBLE) / preview END, 6)
+    AS clicks_per_preview
+FROM cnt"""))
+def q_ctr_variants(spark, sf_dir):
+    c = batch.counts(spark, sf_dir)
+    return c.select(POST_ID, "preview", "full_view",
+                    r6(sc.ranking_ctr("preview", "full_view")).alias("ranking_ctr"),
+                    r6(sc.rts_ctr("preview", "full_view")).alias("rts_ctr"),
+                    r6(sc.display_ctr("preview", "full_view")).alias("display_ctr"),
+                    r6(sc.clicks_per_preview("preview", "full_view")).alias("clicks_per_preview"))
+
+
+@query("score_csv", sql=sql_with(f"""
+SELECT {POST_ID} AS shoppable_post_id,
+       CAST(round_even({sql_scores(raw=True)[0]}, 0) AS BIGINT) AS score
+FROM ({sql_live_window(DAY_MS)})"""))
+def q_score_csv(spark, sf_dir):
+    from feedrank.session import scratch_dir
+    from feedrank.sinks import writers
+    snap = batch.snapshot(spark, sf_dir, NOW_MS, DAY_MS)
+    out = scratch_dir(spark, "score-csv")
+    path = writers.write_score_csv(snap, out, NOW_MS)
+    return writers.read_score_csv(spark, path)
+
+
+@query("score_csv_all", sql=sql_with(f"""
+SELECT {POST_ID} AS shoppable_post_id,
+       CAST(round_even({sql_scores(raw=True)[0]}, 0) AS BIGINT) AS score
+FROM cnt"""))
+def q_score_csv_all(spark, sf_dir):
+    from feedrank.sinks import writers
+    return writers.score_csv_rows(sc.with_scores(batch.counts(spark, sf_dir)))
+
+
+SQL_PACIFIC = ("strftime(timezone('America/Los_Angeles', timezone('UTC', epoch_ms({0}))), "
+               "'%Y%m%d%H%M%S')")
+
+
+@query("time_format", sql=f"""
+SELECT event_id, {fx.SQL_TS_MS} AS ts_ms,
+       {SQL_PACIFIC.format(fx.SQL_TS_MS)} AS pacific_compact,
+       'rtscore_' || {SQL_PACIFIC.format(fx.SQL_TS_MS)} || '.csv' AS csv_filename,
+       CAST({fx.SQL_TS_MS} - {NOW_MS} AS DOUBLE) / 3600000.0 AS hours_ago,
+       CAST({NOW_MS} - {fx.SQL_TS_MS} AS DOUBLE) / 60000.0 AS minutes_ago
+FROM events""")
+def q_time_format(spark, sf_dir):
+    from feedrank.functions import timefmt as tf
+    from feedrank.sources.tables import epoch_millis
+    ev = fx.events(spark, sf_dir, ["event_id", "ts"]).select("event_id", epoch_millis("ts").alias("ts_ms"))
+    return ev.select("event_id", "ts_ms",
+                     tf.pacific_compact("ts_ms").alias("pacific_compact"),
+                     tf.csv_filename("ts_ms").alias("csv_filename"),
+                     tf.hours_from_ms(F.col("ts_ms") - F.lit(NOW_MS)).alias("hours_ago"),
+                     tf.minutes_from_ms(F.lit(NOW_MS) - F.col("ts_ms")).alias("minutes_ago"))
+
+
+def _snapshot_json_sql() -> str:
+    s, c, h = sql_scores(raw=True)
+    cols = ", ".join([f"'{n}': {n}" for n in
+                      [POST_ID, "post_timestamp", "last_click_timestamp", "ingest_timestamp",
+                       "total", "preview", "full_view"]])
+    return sql_with(f"""
+SELECT {POST_ID}, to_json({{{cols},
+  'score': CAST(round({s}, 6) AS DECIMAL(20,6)),
+  'coldness_score': CAST(round({c}, 6) AS DECIMAL(20,6)),
+  'hotness_score': CAST(round({h}, 6) AS DECIMAL(20,6))}}) AS value
+FROM ({sql_live_window(DAY_MS)})""")
+
+
+@query("snapshot_json", sql=_snapshot_json_sql())
+def q_snapshot_json(spark, sf_dir):
+    from feedrank.sinks import writers
+    snap = batch.snapshot(spark, sf_dir, NOW_MS, DAY_MS).drop("snapshot_ts")
+    snap = snap.select(*[F.round(c, 6).cast("decimal(20,6)").alias(c) if c in sc_cols() else F.col(c)
+                         for c in snap.columns])
+    return writers.snapshot_json(snap)
+
+
+def sc_cols():
+    return ("score", "coldness_score", "hotness_score")
+
+
+# ----------------------------------------------------------------------------
+# 2.1 #8/#10, 2.3 #27: latest message, config history, as-of config
+# ----------------------------------------------------------------------------
+
+@query("latest_message", sql="""
+SELECT epoch_us(ts) // 1000 AS ts_ms, 'rtscore_' || CAST(event_id AS VARCHAR) AS filename
+FROM events WHERE event_type = 'purchase'
+ORDER BY ts_ms DESC, filename DESC LIMIT 1""")
+def q_latest_message(spark, sf_dir):
+    from feedrank.sources.logs import latest_message
+    return latest_message(fx.push_log(spark, sf_dir), ["ts_ms", "filename"])
+
+
+def _sql_config_updates() -> str:
+    d, a = sc.ScoringConfig(), sc.ALTERNATIVE_CONFIG
+    cols = []
+    for n in sc.ScoringConfig.names():
+        full = f"CASE WHEN dom % 2 = 1 THEN {getattr(a, n)!r} ELSE {getattr(d, n)!r} END"
+        if n == "score_offset":
+            v = f"CASE WHEN dom % 5 = 0 THEN CAST(k - 50 AS DOUBLE) ELSE {full} END"
+        else:
+            v = f"CASE WHEN dom % 5 = 0 THEN NULL ELSE {full} END"
+        cols.append(f"CAST({v} AS DOUBLE) AS {n}")
+    return f"""cfgu AS (
+  SELECT ts_ms, {', '.join(cols)} FROM (
+    SELECT dayofmonth(ts) AS dom, arg_min(epoch_us(ts) // 1000, epoch_us(ts)) AS ts_ms,
+           arg_min({fx.SQL_K}, epoch_us(ts)) AS k
+    FROM events WHERE event_type = 'error' GROUP BY 1)),
+cfgd AS (
+  SELECT ts_ms, {', '.join(f"coalesce({n}, {getattr(d, n)!r}) AS {n}" for n in sc.ScoringConfig.names())}
+  FROM cfgu)"""
+
+
+@query("config_latest", sql=f"""WITH {_sql_config_updates()}
+SELECT * FROM cfgd ORDER BY ts_ms DESC LIMIT 1""")
+def q_config_latest(spark, sf_dir):
+    from feedrank.operators import config as cfgop
+    return cfgop.config_latest(cfgop.config_updates_fixture(spark, sf_dir))
+
+
+def _sql_param_scores() -> tuple[str, str, str]:
+    ctr = ("(CASE WHEN preview + full_view = 0 THEN 0.0 ELSE "
+           "CAST(full_view AS DOUBLE) / CAST(greatest(preview, full_view) AS DOUBLE) END)")
+    cold = ("((1.0 - 1.0 / (1.0 + exp(-cold_threshold_steepness * "
+            "(CAST(preview AS DOUBLE) - min_previews_threshold)))) * max_coldness_score)")
+    hot = (f"((1.0 / (1.0 + exp(-hot_threshold_steepness * ({ctr} - ctr_hotness_threshold)))) "
+           "* max_hotness_score)")
+    return f"({hot} + {cold} + score_offset)", cold, hot
+
+
+def _sql_asof() -> str:
+    d = sc.ScoringConfig()
+    s, c, h = _sql_param_scores()
+    dflt = ", ".join(f"coalesce(g.{n}, {getattr(d, n)!r}) AS {n}" for n in sc.ScoringConfig.names())
+    return f"""WITH {CTE_BASE}, {_sql_config_updates()},
+snaps AS (
+  SELECT * FROM (SELECT *, (post_timestamp // 86400000 + 1) * 86400000 AS snapshot_ts FROM cnt)
+  QUALIFY row_number() OVER (PARTITION BY snapshot_ts, {POST_ID} ORDER BY post_timestamp DESC) = 1),
+withcfg AS (
+  SELECT s.*, {dflt} FROM snaps s ASOF LEFT JOIN cfgd g ON s.snapshot_ts >= g.ts_ms)
+SELECT {POST_ID}, post_timestamp, last_click_timestamp, ingest_timestamp, total, preview,
+       full_view, snapshot_ts, round({s}, 6) AS score, round({c}, 6) AS coldness_score,
+       round({h}, 6) AS hotness_score
+FROM withcfg"""
+
+
+@query("score_config_asof", sql=_sql_asof())
+def q_score_config_asof(spark, sf_dir):
+    from feedrank.operators import config as cfgop
+    snaps = batch.periodic_snapshots(batch.counts(spark, sf_dir), DAY_MS)
+    scored = cfgop.score_with_history(snaps, cfgop.config_updates_fixture(spark, sf_dir))
+    return scored.select(*[c for c in snaps.columns],
+                         r6(F.col("score")).alias("score"),
+                         r6(F.col("coldness_score")).alias("coldness_score"),
+                         r6(F.col("hotness_score")).alias("hotness_score"))
+
+
+@query("score_latest_config", sql=f"""WITH {CTE_BASE}, {_sql_config_updates()},
+lc AS (SELECT * FROM cfgd ORDER BY ts_ms DESC LIMIT 1)
+SELECT live.*, round({_sql_param_scores()[0]}, 6) AS score,
+       round({_sql_param_scores()[1]}, 6) AS coldness_score,
+       round({_sql_param_scores()[2]}, 6) AS hotness_score
+FROM live, lc""")
+def q_score_latest_config(spark, sf_dir):
+    from feedrank.operators import config as cfgop
+    lv = batch.live(spark, sf_dir)
+    cfg = cfgop.config_latest(cfgop.config_updates_fixture(spark, sf_dir))
+    t = cfgop.score_with_config_frame(lv, cfg)
+    return t.select(*lv.columns, r6(F.col("score")).alias("score"),
+                    r6(F.col("coldness_score")).alias("coldness_score"),
+                    r6(F.col("hotness_score")).alias("hotness_score"))
+
+
+# ----------------------------------------------------------------------------
+# 2.8 monitoring, 2.4 #34 latency windows
+# ----------------------------------------------------------------------------
+
+@query("dashboard_bars", sql=sql_with(f"""
+, lw AS ({sql_live_window(DAY_MS)}),
+mx AS (SELECT max(post_timestamp) AS m FROM lw),
+b AS (
+  SELECT {POST_ID}, post_timestamp,
+         CAST(post_timestamp - m AS DOUBLE) / 3600000.0 AS h,
+         {sql_scores(raw=True)[1]} AS c, {sql_scores(raw=True)[2]} AS ht,
+         preview, full_view, CAST(full_view AS DOUBLE) / greatest(preview, 1) AS d
+  FROM lw, mx)
+SELECT {POST_ID}, post_timestamp, h AS hours_ago, round(c, 6) AS coldness_score,
+       round(ht, 6) AS hotness_score, preview, full_view, round(d, 6) AS display_ctr
+FROM b WHERE h BETWEEN -12.0 AND 0.0""".replace("\n, lw", ",\nlw", 1)))
+def q_dashboard_bars(spark, sf_dir):
+    from feedrank.operators.monitor import dashboard_bars
+    bars = dashboard_bars(batch.snapshot(spark, sf_dir, NOW_MS, DAY_MS), hours_window=12.0)
+    return bars.select(POST_ID, "post_timestamp", "hours_ago",
+                       r6(F.col("coldness_score")).alias("coldness_score"),
+                       r6(F.col("hotness_score")).alias("hotness_score"), "preview", "full_view",
+                       r6(F.col("display_ctr")).alias("display_ctr"))
+
+
+@query("heartbeat_status", sql=f"""
+SELECT event_type AS component, max(epoch_us(ts) // 1000) AS last_heartbeat_ms,
+       CAST({NOW_MS} - max(epoch_us(ts) // 1000) AS DOUBLE) / 1000.0 AS seconds_ago,
+       CAST(round_even((CAST({NOW_MS} - max(epoch_us(ts) // 1000) AS DOUBLE) / 1000.0) / 60.0, 0)
+            AS BIGINT) AS minutes_ago,
+       (CAST({NOW_MS} - max(epoch_us(ts) // 1000) AS DOUBLE) / 1000.0) <= 300.0 AS alive
+FROM events GROUP BY event_type""")
+def q_heartbeat_status(spark, sf_dir):
+    from feedrank.operators.monitor import heartbeat_status
+    return heartbeat_status(fx.heartbeats(spark, sf_dir), NOW_MS)
+
+
+SQL_PUSH = ("pl AS (SELECT epoch_us(ts) // 1000 AS ts_ms, 'rtscore_' || CAST(event_id AS VARCHAR) "
+            "AS filename FROM events WHERE event_type = 'purchase'), "
+            "g AS (SELECT *, ts_ms - lag(ts_ms) OVER (ORDER BY ts_ms, filename) AS gap_ms FROM pl)")
+
+
+@query("uptime_timeline", sql=f"""WITH {SQL_PUSH},
+pts AS (
+  SELECT ts_ms AS ts, 1 AS up_flag, filename AS s3_filename FROM g
+  UNION ALL SELECT ts_ms - gap_ms + 1, 0, '' FROM g WHERE gap_ms > 300000
+  UNION ALL SELECT ts_ms - 1, 0, '' FROM g WHERE gap_ms > 300000
+  UNION ALL SELECT max(ts_ms) + 1, 0, '' FROM pl HAVING {NOW_MS} - max(ts_ms) > 300000
+  UNION ALL SELECT {NOW_MS}, 0, '' FROM pl HAVING {NOW_MS} - max(ts_ms) > 300000
+  UNION ALL SELECT {NOW_MS}, 1, '' FROM pl HAVING {NOW_MS} - max(ts_ms) <= 300000)
+SELECT CAST(ts AS BIGINT) AS ts, CAST(up_flag AS INTEGER) AS up_flag, s3_filename FROM pts""")
+def q_uptime_timeline(spark, sf_dir):
+    from feedrank.operators.monitor import uptime_timeline
+    return uptime_timeline(fx.push_log(spark, sf_dir), NOW_MS)
+
+
+def _sql_uptime_summary(with_tail: bool) -> str:
+    tail = (f"CASE WHEN {NOW_MS} - max(ts_ms) > 300000 THEN {NOW_MS} - max(ts_ms) ELSE 0 END"
+            if with_tail else "0")
+    end = f"{NOW_MS}" if with_tail else "max(ts_ms)"
+    return f"""WITH {SQL_PUSH}
+SELECT count(*) AS records, count(*) FILTER (WHERE gap_ms > 300000) AS down_gaps,
+       CAST(coalesce(sum(gap_ms) FILTER (WHERE gap_ms > 300000), 0) + {tail} AS BIGINT) AS downtime_ms,
+       CAST({end} - min(ts_ms) AS BIGINT) AS span_ms,
+       100.0 * (1.0 - CAST(coalesce(sum(gap_ms) FILTER (WHERE gap_ms > 300000), 0) + {tail} AS DOUBLE)
+                / CAST({end} - min(ts_ms) AS DOUBLE)) AS uptime_percent
+FROM g"""
+
+
+@query("uptime_summary", sql=_sql_uptime_summary(True))
+def q_uptime_summary(spark, sf_dir):
+    from feedrank.operators.monitor import uptime_summary
+    return uptime_summary(fx.push_log(spark, sf_dir), NOW_MS)
+
+
+@query("uptime_summary_no_tail", sql=_sql_uptime_summary(False))
+def q_uptime_summary_no_tail(spark, sf_dir):
+    from feedrank.operators.monitor import uptime_summary
+    return uptime_summary(fx.push_log(spark, sf_dir), None)
+
+
+def _latency_window(sf_dir: str) -> int:
+    return 100 if sf_dir.rstrip("/").endswith("sf0.001") else 1000
+
+
+def _sql_latency(window: int) -> str:
+    return f"""WITH {CTE_BASE},
+lat AS (
+  SELECT user_id % 4 AS source_partition, {fx.SQL_TS_MS} AS click_ts,
+         {fx.SQL_TS_MS} + {fx.SQL_K} AS ingest_ts, event_id FROM events WHERE event_type <> 'signup'),
+num AS (SELECT *, row_number() OVER (PARTITION BY source_partition ORDER BY click_ts, event_id) AS rn
+        FROM lat)
+SELECT source_partition, CAST((rn - 1) // {window} AS BIGINT) AS window_index, count(*) AS n,
+       round(avg(CAST({NOW_MS} - ingest_ts AS DOUBLE)), 6) AS average_latency_ingest,
+       round(avg(CAST({NOW_MS} - click_ts AS DOUBLE)), 6) AS average_latency_click
+FROM num GROUP BY 1, 2 HAVING count(*) = {window}"""
+
+
+def q_latency_windows(spark, sf_dir):
+    from feedrank.operators.latency import latency_windows
+    ck = fx.click_with_order(spark, sf_dir).select(
+        (F.col(POST_ID) % 4).alias("source_partition"), F.col("segment_timestamp").alias("click_ts"),
+        F.col("ingest_timestamp").alias("ingest_ts"), "event_id")
+    out = latency_windows(ck, NOW_MS, _latency_window(sf_dir), tiebreak=["event_id"])
+    return out.select("source_partition", "window_index", "n",
+                      r6(F.col("average_latency_ingest")).alias("average_latency_ingest"),
+                      r6(F.col("average_latency_click")).alias("average_latency_click"))
+
+
+QUERIES["latency_windows"] = q_latency_windows
+ORACLES["latency_windows"] = _sql_latency(1000)  # the oracle runs at sf0.01
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
