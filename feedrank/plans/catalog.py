@@ -614,6 +614,83 @@ QUERIES["latency_windows"] = q_latency_windows
 ORACLES["latency_windows"] = _sql_latency(1000)  # the oracle runs at sf0.01
 
 
+# ----------------------------------------------------------------------------
+# 2.7 streaming: live topology replayed over the events in event order
+# ----------------------------------------------------------------------------
+
+@query("stream_click_recent", sql=sql_with(f"""
+SELECT cp.segment_timestamp AS post_timestamp, ck.segment_timestamp AS click_timestamp,
+       ck.ingest_timestamp, cp.{POST_ID}, ck.properties_display
+FROM cp JOIN ck ON cp.{POST_ID} = ck.{POST_ID}
+ AND ck.segment_timestamp BETWEEN cp.segment_timestamp - {H} AND cp.segment_timestamp + {H}
+UNION ALL
+SELECT segment_timestamp, NULL, NULL, {POST_ID}, NULL FROM cp"""))
+def q_stream_click_recent(spark, sf_dir):
+    from feedrank.schemas import CLICK_RECENT
+    from feedrank.streaming.replay import replayed
+    cfg = replayed(spark, sf_dir)
+    return spark.read.schema(CLICK_RECENT).parquet(cfg.path("enriched"))
+
+
+@query("stream_click_counts", sql=sql_with("SELECT * FROM cnt"))
+def q_stream_click_counts(spark, sf_dir):
+    from feedrank.streaming import topology as topo
+    from feedrank.streaming.replay import replayed
+    return topo.current_counts(spark, replayed(spark, sf_dir))
+
+
+@query("stream_live_from_changelog", sql=sql_with("SELECT * FROM live"))
+def q_stream_live_from_changelog(spark, sf_dir):
+    from feedrank.operators.live_table import live_table
+    from feedrank.streaming import topology as topo
+    from feedrank.streaming.replay import replayed
+    lt = live_table(topo.read_changelog(spark, replayed(spark, sf_dir)))
+    return lt.drop("version")
+
+
+def _last_live(spark, sf_dir):
+    from feedrank.streaming.replay import latest_version, replayed
+    cfg = replayed(spark, sf_dir)
+    v = latest_version(spark, cfg.path("live"))
+    return spark.read.parquet(cfg.path(f"live/version={v}")).drop("version")
+
+
+@query("stream_live_table", sql=sql_with(sql_live_window(DAY_MS)))
+def q_stream_live_table(spark, sf_dir):
+    return _last_live(spark, sf_dir)
+
+
+@query("stream_snapshot_scores", sql=sql_with(
+    f"SELECT *, {sql_scores_cols()}, CAST({NOW_MS} AS BIGINT) AS snapshot_ts "
+    f"FROM ({sql_live_window(DAY_MS)})"))
+def q_stream_snapshot_scores(spark, sf_dir):
+    from feedrank.streaming.replay import replayed
+    cfg = replayed(spark, sf_dir)
+    snap = spark.read.parquet(cfg.path("snapshots")).filter(F.col("snapshot_ts") == NOW_MS)
+    return snap.select(*[r6(F.col(c)).alias(c) if c in sc_cols() else F.col(c)
+                         for c in snap.columns])
+
+
+@query("stream_score_csv", sql=sql_with(f"""
+SELECT {POST_ID} AS shoppable_post_id,
+       CAST(round_even({sql_scores(raw=True)[0]}, 0) AS BIGINT) AS score
+FROM ({sql_live_window(DAY_MS)})"""))
+def q_stream_score_csv(spark, sf_dir):
+    from feedrank.sinks import writers
+    from feedrank.streaming.replay import replayed
+    cfg = replayed(spark, sf_dir)
+    return writers.read_score_csv(spark, f"{cfg.path('csv')}/{writers.csv_name(NOW_MS)}")
+
+
+def q_stream_push_log(spark, sf_dir):
+    from feedrank.schemas import PUSH_LOG
+    from feedrank.streaming.replay import replayed
+    return spark.read.schema(PUSH_LOG).parquet(replayed(spark, sf_dir).path("push_log"))
+
+
+QUERIES["stream_push_log"] = q_stream_push_log  # rows-only: file names follow the replay clock
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

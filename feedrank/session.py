@@ -82,10 +82,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (empty if it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(jpath)]
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[5:] if path.startswith("file:") else path
 
 
 __all__ = ["get_session", "ensure_utc", "checkpoint_root", "scratch_dir",
-           "path_exists", "local_path", "DEFAULT_CONF"]
+           "path_exists", "list_names", "local_path", "DEFAULT_CONF"]
