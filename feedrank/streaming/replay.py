@@ -29,6 +29,17 @@ def replay(spark: SparkSession, sf_dir: str, cfg: topo.LiveConfig,
         .write.mode("overwrite").partitionBy("chunk").parquet(stage_c)
     fixtures.create_post(spark, sf_dir).withColumn("chunk", chunk) \
         .write.mode("overwrite").partitionBy("chunk").parquet(stage_p)
+    # One batch per cycle: state eviction then happens at the next data batch.
+    conf_key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    old = spark.conf.get(conf_key, "true")
+    spark.conf.set(conf_key, "false")
+    try:
+        return _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms)
+    finally:
+        spark.conf.set(conf_key, old)
+
+
+def _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms) -> dict:
     bounds = (spark.read.parquet(stage_c).select("chunk")
               .unionByName(spark.read.parquet(stage_p).select("chunk"))
               .agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).first())
