@@ -59,8 +59,13 @@ def parse(raw: DataFrame, schema: T.StructType | None = None,
           value_col: str = "value") -> DataFrame:
     """Add a ``doc`` struct column (null for invalid JSON) and ``_valid_json``."""
     schema = schema if schema is not None else RAW_EVENT
-    return raw.withColumn("_valid_json", F.expr(f"try_parse_json({value_col})").isNotNull()) \
-              .withColumn("doc", F.from_json(F.col(value_col), schema))
+    # The one-element explode is a barrier: filters on flat fields (e.g. the
+    # dead-letter split) cannot be pushed below it, which would otherwise
+    # substitute - and re-run - from_json once per referenced field.
+    return raw.select(
+        *[c for c in raw.columns if c != value_col],
+        F.expr(f"try_parse_json({value_col})").isNotNull().alias("_valid_json"),
+        F.explode(F.array(F.from_json(F.col(value_col), schema))).alias("doc"))
 
 
 # --------------------------------------------------------------------------
@@ -186,6 +191,8 @@ def ingest(raw: DataFrame, ingest_ts_ms: Column | int, schema: T.StructType | No
     ``ingest_ts_ms``: the ingest stamp (``unix_millis(current_timestamp())`` in a
     live job; a literal in tests). ``schema=None`` infers it from the data.
     """
+    from feedrank.sources.tables import ensure_parallel
+    raw = ensure_parallel(raw)
     if schema is None:
         schema = infer_schema(raw, value_col)
     parsed = parse(raw, schema, value_col)
