@@ -20,8 +20,13 @@ CHUNK_ORIGIN_MS = 1704067200000
 
 
 def replay(spark: SparkSession, sf_dir: str, cfg: topo.LiveConfig,
-           chunk_ms: int = 5 * DAY_MS, origin_ms: int = CHUNK_ORIGIN_MS) -> dict:
-    """Run the topology over the events; returns run statistics."""
+           chunk_ms: int = 5 * DAY_MS, origin_ms: int = CHUNK_ORIGIN_MS,
+           on_cycle=None) -> dict:
+    """Run the topology over the events; returns run statistics.
+
+    ``on_cycle(chunk_index, now_ms)`` runs before each cycle's queries (e.g. to
+    submit a config update while the topology is live).
+    """
     chunk = F.floor((F.col("segment_timestamp") - F.lit(origin_ms)) / F.lit(chunk_ms)).cast("long")
     stage_c = cfg.path("_stage/click")
     stage_p = cfg.path("_stage/create_post")
@@ -34,12 +39,12 @@ def replay(spark: SparkSession, sf_dir: str, cfg: topo.LiveConfig,
     old = spark.conf.get(conf_key, "true")
     spark.conf.set(conf_key, "false")
     try:
-        return _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms)
+        return _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms, on_cycle)
     finally:
         spark.conf.set(conf_key, old)
 
 
-def _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms) -> dict:
+def _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms, on_cycle=None) -> dict:
     bounds = (spark.read.parquet(stage_c).select("chunk")
               .unionByName(spark.read.parquet(stage_p).select("chunk"))
               .agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).first())
@@ -54,6 +59,8 @@ def _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms) -> dict:
         spark.read.parquet(stage_p).filter(F.col("chunk") == c).drop("chunk") \
             .write.mode("append").parquet(cfg.path("in/create_post"))
         state["now"] = origin_ms + (c + 1) * chunk_ms
+        if on_cycle is not None:
+            on_cycle(c, state["now"])
         q1 = topo.start_enriched(spark, cfg, cfg.path("in/click"), cfg.path("in/create_post"))
         q1.awaitTermination()
         stats["dropped_q1"] += topo.dropped_rows(q1)
