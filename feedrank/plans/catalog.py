@@ -691,6 +691,19 @@ def q_stream_push_log(spark, sf_dir):
 QUERIES["stream_push_log"] = q_stream_push_log  # rows-only: file names follow the replay clock
 
 
+def q_stream_latency_windows(spark, sf_dir):
+    from feedrank.session import scratch_dir
+    from feedrank.streaming.latency import replay_latency
+    out = replay_latency(spark, sf_dir, scratch_dir(spark, "latency"), _latency_window(sf_dir), NOW_MS)
+    return out.select("source_partition", "window_index", "n",
+                      r6(F.col("average_latency_ingest")).alias("average_latency_ingest"),
+                      r6(F.col("average_latency_click")).alias("average_latency_click"))
+
+
+QUERIES["stream_latency_windows"] = q_stream_latency_windows
+ORACLES["stream_latency_windows"] = _sql_latency(1000)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -209,7 +209,8 @@ class SnapshotPublisher:
         live_path = cfg.path(f"live/version={int(batch_id)}")
         live.write.mode("overwrite").parquet(live_path)     # cuts the lineage
         live = spark.read.parquet(live_path)
-        conf = config_latest(read_history(spark, cfg.path("config_history")))
+        history = read_history(spark, cfg.path("config_history"))
+        conf = config_latest(history.filter(F.col("ts_ms") <= F.lit(as_of)))  # in force at as_of
         scored = score_with_config_frame(live.drop("version"), conf) \
             .withColumn("snapshot_ts", F.lit(as_of).cast("long"))
         scored.write.mode("overwrite").parquet(cfg.path(f"snapshots/snapshot_ts={as_of}"))

@@ -17,7 +17,7 @@ def test_config_reload_without_restart(spark):
     cfg = topo.LiveConfig(root=scratch_dir(spark, "live-test"))
 
     def on_cycle(c, now):
-        if c == 3:   # operator changes the parameters while the topology runs
+        if c == 2:   # operator changes the parameters while the topology runs
             submit_config(spark, cfg.path("config_history"), now - 1, ALTERNATIVE_CONFIG.as_dict())
 
     stats = rp.replay(spark, SF001, cfg, chunk_ms=10 * DAY, on_cycle=on_cycle)
