@@ -192,9 +192,14 @@ def ingest(raw: DataFrame, ingest_ts_ms: Column | int, schema: T.StructType | No
     live job; a literal in tests). ``schema=None`` infers it from the data.
     """
     from feedrank.sources.tables import ensure_parallel
-    raw = ensure_parallel(raw)
-    if schema is None:
-        schema = infer_schema(raw, value_col)
+    if raw.isStreaming:
+        # A stream cannot be scanned ahead: the schema and array sizes are declared.
+        schema = schema if schema is not None else RAW_EVENT
+        sizes = sizes if sizes is not None else {p: 0 for p in _array_paths(schema)}
+    else:
+        raw = ensure_parallel(raw)
+        if schema is None:
+            schema = infer_schema(raw, value_col)
     parsed = parse(raw, schema, value_col)
     keep = keep if keep is not None else [c for c in raw.columns if c != value_col]
     flat = flatten(parsed, schema, "doc", sizes, keep=keep + ["_valid_json"])

@@ -242,3 +242,37 @@ def dropped_rows(q: StreamingQuery) -> int:
     p = q.lastProgress or {}
     return sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
                for op in p.get("stateOperators", []))
+
+
+# --------------------------------------------------------------------------
+# Live ingest: raw JSON lines -> routed flat records
+# --------------------------------------------------------------------------
+
+def start_ingest(spark: SparkSession, raw_dir: str, out_dir: str, ckpt: str,
+                 schema=None, sizes: dict | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Read JSON lines, stamp the ingest time, write valid records per topic.
+
+    Dead letters go to ``<out_dir>/_dead_letter`` in the same micro-batch.
+    """
+    from feedrank.sources import ingest as ing
+    raw = spark.readStream.text(raw_dir)
+    flat = ing.ingest(raw, F.unix_millis(F.current_timestamp()), schema=schema, sizes=sizes,
+                      keep=[])
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            ing.records(batch).write.mode("append").partitionBy("topic").parquet(out_dir)
+            ing.dead_letters(batch).write.mode("append").parquet(out_dir.rstrip("/") + "_dead_letter")
+        finally:
+            batch.unpersist()
+
+    return (flat.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
+                .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def topic_stream(spark: SparkSession, routed_dir: str, topic: str, schema) -> DataFrame:
+    """Declared-schema stream of one routed topic (CLICK or CREATE_POST)."""
+    from feedrank.sources import ingest as ing
+    routed = spark.readStream.schema("key string, value string, topic string").parquet(routed_dir)
+    return ing.scan_topic(routed, topic, schema)

@@ -60,3 +60,26 @@ def test_heartbeat_stream(spark):
         q.stop()
     hb = spark.read.parquet(root + "/table")
     assert hb.count() > 0 and {r.component for r in hb.select("component").distinct().collect()} == {"scorer"}
+
+
+def test_live_ingest_routes_raw_json(spark):
+    from feedrank.schemas import CLICK, RAW_EVENT
+    from feedrank.sources import fixtures as fx
+    from feedrank.sources import ingest as ing
+    root = scratch_dir(spark, "ingest")
+    raw = fx.raw_events(spark, SF001)
+    raw.select("value").write.text(root + "/raw")
+    spark.createDataFrame([("{broken",)], "value string").write.mode("append").text(root + "/raw")
+    q = topo.start_ingest(spark, root + "/raw", root + "/routed", root + "/ckpt",
+                          schema=RAW_EVENT, sizes={("context", "tags"): 2})
+    q.awaitTermination()
+    routed = spark.read.parquet(root + "/routed")
+    assert routed.count() == 1000
+    dead = spark.read.parquet(root + "/routed_dead_letter")
+    assert [r.reason for r in dead.collect()] == ["invalid_json"]
+    # the declared CLICK scan of the routed topic equals the click fixture (but the ingest stamp)
+    clicks = ing.scan_topic(routed, ing.CLICK_TOPIC, CLICK).drop("ingest_timestamp")
+    exp = fx.click(spark, SF001).drop("ingest_timestamp")
+    assert sorted(map(tuple, clicks.collect())) == sorted(map(tuple, exp.collect()))
+    s = topo.topic_stream(spark, root + "/routed", ing.CLICK_TOPIC, CLICK)
+    assert s.isStreaming
