@@ -20,8 +20,10 @@ A hot post is thereby split by time; within one bucket AQE's skew-join
 handling splits an oversized partition (inner joins may split either side).
 ``salt > 1`` additionally spreads each (post, bucket) over ``salt`` tasks: the
 click side draws a salt from its own columns, the creation side is copied
-once per salt value. Unmatched creations are added back by an anti join on the
-matched keys, so the result is exactly the left join.
+once per salt value. ``salt="auto"`` salts only the groups measured to be hot
+(more than ``rows_per_task`` clicks), each by its own factor. Unmatched
+creations are added back by an anti join on the matched keys, so the result
+is exactly the left join.
 """
 
 from __future__ import annotations
@@ -50,9 +52,35 @@ def _in_range(horizon_ms: int):
                                             F.col("post_timestamp") + F.lit(horizon_ms))
 
 
+def _salt_hot_groups(cpb: DataFrame, ckb: DataFrame, rows_per_task: int):
+    """Salt only the (post, bucket) groups with more than ``rows_per_task`` clicks.
+
+    The hot-group table comes from a partial/final count over the clicks; it
+    has at most ``#clicks / rows_per_task`` rows - a proven bound - so it is
+    broadcast. A hot group with n clicks is spread over ceil(n / rows_per_task)
+    salts: clicks draw one from their own columns, the group's creation rows
+    are copied once per salt. Cold groups keep salt 0 and are not copied.
+    """
+    hot = (ckb.groupBy("_cid", "_cb").agg(F.count(F.lit(1)).alias("_n"))
+              .filter(F.col("_n") > F.lit(int(rows_per_task)))
+              .select(F.col("_cid").alias("_hid"), F.col("_cb").alias("_hb"),
+                      F.ceil(F.col("_n") / F.lit(int(rows_per_task))).cast("int").alias("_ns")))
+    hot = F.broadcast(hot)
+    ck = (ckb.join(hot, (F.col("_cid") == F.col("_hid")) & (F.col("_cb") == F.col("_hb")), "left")
+             .withColumn("_cs", F.when(F.col("_ns").isNull(), F.lit(0)).otherwise(
+                 F.pmod(F.xxhash64("click_timestamp", "ingest_timestamp", "properties_display"),
+                        F.col("_ns")).cast("int")))
+             .drop("_hid", "_hb", "_ns"))
+    cp = (cpb.join(hot, (F.col("_pid") == F.col("_hid")) & (F.col("_b") == F.col("_hb")), "left")
+             .withColumn("_s", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)))
+             .drop("_hid", "_hb", "_ns"))
+    return cp, ck
+
+
 def matched_pairs(create_post: DataFrame, click: DataFrame, *,
                   horizon_ms: int = JOIN_HORIZON_MS, strategy: str = "bucketed",
-                  bucket_ms: int = DEFAULT_BUCKET_MS, salt: int = 1) -> DataFrame:
+                  bucket_ms: int = DEFAULT_BUCKET_MS, salt: int | str = 1,
+                  rows_per_task: int = 5_000_000) -> DataFrame:
     """Inner part of the join: one row per in-range (creation, click) pair.
 
     Columns: post_timestamp, click_timestamp, ingest_timestamp, post id,
@@ -70,7 +98,10 @@ def matched_pairs(create_post: DataFrame, click: DataFrame, *,
                                        F.floor((F.col("post_timestamp") + horizon_ms) / w))))
         ckb = ck.withColumn("_cb", F.floor(F.col("click_timestamp") / w))
         cond = (F.col("_pid") == F.col("_cid")) & (F.col("_b") == F.col("_cb"))
-        if salt > 1:
+        if salt == "auto":
+            cpb, ckb = _salt_hot_groups(cpb, ckb, rows_per_task)
+            cond = cond & (F.col("_s") == F.col("_cs"))
+        elif salt > 1:
             cpb = cpb.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
             ckb = ckb.withColumn("_cs", F.pmod(F.xxhash64("click_timestamp", "ingest_timestamp",
                                                           "properties_display"), F.lit(salt)))
@@ -84,7 +115,8 @@ def matched_pairs(create_post: DataFrame, click: DataFrame, *,
 
 def click_recent(create_post: DataFrame, click: DataFrame, *,
                  horizon_ms: int = JOIN_HORIZON_MS, strategy: str = "bucketed",
-                 bucket_ms: int = DEFAULT_BUCKET_MS, salt: int = 1) -> DataFrame:
+                 bucket_ms: int = DEFAULT_BUCKET_MS, salt: int | str = 1,
+                 rows_per_task: int = 5_000_000) -> DataFrame:
     """CREATE_POST LEFT JOIN CLICK WITHIN ``horizon_ms`` (the enriched stream)."""
     if strategy == "plain_left":
         cp, ck = _creations(create_post), _clicks(click)
@@ -92,7 +124,7 @@ def click_recent(create_post: DataFrame, click: DataFrame, *,
         return j.select("post_timestamp", "click_timestamp", "ingest_timestamp",
                         F.col("_pid").alias(POST_ID), "properties_display")
     pairs = matched_pairs(create_post, click, horizon_ms=horizon_ms, strategy=strategy,
-                          bucket_ms=bucket_ms, salt=salt)
+                          bucket_ms=bucket_ms, salt=salt, rows_per_task=rows_per_task)
     matched = pairs.select(F.col(POST_ID).alias("_mid"), F.col("post_timestamp").alias("_mts"))
     unmatched = (_creations(create_post)
                  .join(matched, (F.col("_pid") == F.col("_mid"))

@@ -151,6 +151,18 @@ def q_click_counts_salted(spark, sf_dir):
     return batch.counts(spark, sf_dir, salt=4)
 
 
+@query("click_counts_auto_salt", sql=sql_with("SELECT * FROM cnt"))
+def q_click_counts_auto_salt(spark, sf_dir):
+    # rows_per_task is tiny here so that the hot-group path runs on the test data
+    return batch.counts(spark, sf_dir, salt="auto", rows_per_task=5)
+
+
+@query("click_recent_auto_salt", sql=sql_with("SELECT * FROM cr"))
+def q_click_recent_auto_salt(spark, sf_dir):
+    return click_recent(fx.create_post(spark, sf_dir), fx.click(spark, sf_dir), salt="auto",
+                        rows_per_task=5)
+
+
 @query("live_table", sql=sql_with("SELECT * FROM live"))
 def q_live_table(spark, sf_dir):
     return batch.live(spark, sf_dir)

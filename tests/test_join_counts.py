@@ -47,6 +47,7 @@ def brute(creates, clicks):
 
 @pytest.mark.parametrize("kw", [dict(strategy="bucketed"), dict(strategy="plain"),
                                 dict(strategy="bucketed", salt=3),
+                                dict(strategy="bucketed", salt="auto", rows_per_task=1),
                                 dict(strategy="bucketed", bucket_ms=2 * H)])
 def test_counts_edges(spark, kw):
     cp, ck = edge_frames(spark)
