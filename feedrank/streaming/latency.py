@@ -28,18 +28,19 @@ STATE = "window_index long, click_ts array<long>, ingest_ts array<long>, tiebrea
 def _window_fn(window: int, now_ms: int | None):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         part = int(key[0])
-        new = pd.concat(list(pdfs), ignore_index=True)
-        new = new[new["click_ts"].notna() & new["ingest_ts"].notna()]
+        parts = [p for p in pdfs if len(p)]
+        cols = ["click_ts", "ingest_ts", "tiebreak"]
+        new = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=cols)
+        new = new[new["click_ts"].notna() & new["ingest_ts"].notna()][cols]
         if state.exists:
             w0, cts, its, tbs = state.get
             carried = pd.DataFrame({"click_ts": list(cts), "ingest_ts": list(its), "tiebreak": list(tbs)})
         else:
-            w0, carried = 0, pd.DataFrame({"click_ts": [], "ingest_ts": [], "tiebreak": []})
-        rows = pd.concat([carried, new[["click_ts", "ingest_ts", "tiebreak"]]], ignore_index=True)
+            w0, carried = 0, pd.DataFrame(columns=["click_ts", "ingest_ts", "tiebreak"])
         # carried rows precede the new batch (they were processed earlier)
-        head, tail = rows.iloc[:len(carried)], rows.iloc[len(carried):]
-        rows = pd.concat([head, tail.sort_values(["click_ts", "tiebreak"], kind="mergesort")],
-                         ignore_index=True)
+        tail = new.sort_values(["click_ts", "tiebreak"], kind="mergesort")
+        frames = [f for f in (carried, tail) if len(f)]
+        rows = (pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=cols))
         now = int(now_ms) if now_ms is not None else int(time.time() * 1000)
         full = len(rows) // window
         out = []
