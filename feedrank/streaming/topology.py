@@ -149,11 +149,52 @@ def start_counts(spark: SparkSession, cfg: LiveConfig, clock=None) -> StreamingQ
                   .trigger(**cfg.trigger).start())
 
 
+def _versions(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    from feedrank.session import list_names
+    return sorted(int(n.split("=", 1)[1]) for n in list_names(spark, path) if n.startswith(prefix))
+
+
 def read_changelog(spark: SparkSession, cfg: LiveConfig) -> DataFrame:
-    """The changelog as a batch table (columns of CHANGELOG + post_date)."""
+    """The changelog as a batch table (columns of CHANGELOG + post_date).
+
+    When a compaction exists, it replaces every version up to its mark, so a
+    reader scans the compacted state plus the newer versions only.
+    """
     if not path_exists(spark, cfg.path("changelog")):
         return spark.createDataFrame([], CHANGELOG)
-    return spark.read.parquet(cfg.path("changelog"))
+    marks = [m for m in _versions(spark, cfg.path("changelog_compacted"), "upto=")
+             if path_exists(spark, cfg.path(f"changelog_compacted/upto={m}/_SUCCESS"))]
+    full = spark.read.parquet(cfg.path("changelog"))
+    if not marks:
+        return full
+    mark = marks[-1]
+    comp = spark.read.parquet(cfg.path(f"changelog_compacted/upto={mark}"))
+    return comp.unionByName(full.filter(F.col("version") > F.lit(mark)))
+
+
+def compact_changelog(spark: SparkSession, cfg: LiveConfig, retain_after_ms: int | None = None) -> int | None:
+    """Fold all committed versions into one row per (post id, post_timestamp).
+
+    Rows keep the version that produced them; ``retain_after_ms`` drops groups
+    whose post time is at or before it (they can no longer enter a live
+    window). Written as a new ``changelog_compacted/upto=<v>`` folder; readers
+    switch to it once its ``_SUCCESS`` marker exists, so a failed compaction is
+    never read. Returns the mark, or None when there is nothing to compact.
+    """
+    vs = _versions(spark, cfg.path("changelog"), "version=")
+    if not vs:
+        return None
+    mark = vs[-1]
+    cl = read_changelog(spark, cfg).filter(F.col("version") <= F.lit(mark))
+    if retain_after_ms is not None:
+        cl = cl.filter(F.col("post_timestamp") > F.lit(int(retain_after_ms)))
+    keyed = cl.withColumn("_k", F.struct(POST_ID, "post_timestamp"))
+    latest = latest_per_key(keyed.drop(POST_ID, "post_timestamp"), key="_k", order=("version",))
+    out = latest.select(F.col("_k")[POST_ID].alias(POST_ID),
+                        F.col("_k.post_timestamp").alias("post_timestamp"),
+                        *[c for c in latest.columns if c != "_k"])
+    out.write.mode("overwrite").parquet(cfg.path(f"changelog_compacted/upto={mark}"))
+    return mark
 
 
 def current_counts(spark: SparkSession, cfg: LiveConfig) -> DataFrame:
