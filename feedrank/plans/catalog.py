@@ -517,18 +517,21 @@ def q_score_latest_config(spark, sf_dir):
 # 2.8 monitoring, 2.4 #34 latency windows
 # ----------------------------------------------------------------------------
 
-@query("dashboard_bars", sql=sql_with(f"""
-, lw AS ({sql_live_window(DAY_MS)}),
+_DASH_CTES = f"""lw AS ({sql_live_window(DAY_MS)}),
 mx AS (SELECT max(post_timestamp) AS m FROM lw),
 b AS (
   SELECT {POST_ID}, post_timestamp,
          CAST(post_timestamp - m AS DOUBLE) / 3600000.0 AS h,
          {sql_scores(raw=True)[1]} AS c, {sql_scores(raw=True)[2]} AS ht,
          preview, full_view, CAST(full_view AS DOUBLE) / greatest(preview, 1) AS d
-  FROM lw, mx)
+  FROM lw, mx)"""
+
+
+@query("dashboard_bars", sql=f"""WITH {CTE_BASE},
+{_DASH_CTES}
 SELECT {POST_ID}, post_timestamp, h AS hours_ago, round(c, 6) AS coldness_score,
        round(ht, 6) AS hotness_score, preview, full_view, round(d, 6) AS display_ctr
-FROM b WHERE h BETWEEN -12.0 AND 0.0""".replace("\n, lw", ",\nlw", 1)))
+FROM b WHERE h BETWEEN -12.0 AND 0.0""")
 def q_dashboard_bars(spark, sf_dir):
     from feedrank.operators.monitor import dashboard_bars
     bars = dashboard_bars(batch.snapshot(spark, sf_dir, NOW_MS, DAY_MS), hours_window=12.0)
