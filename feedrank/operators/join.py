@@ -125,7 +125,10 @@ def click_recent(create_post: DataFrame, click: DataFrame, *,
                         F.col("_pid").alias(POST_ID), "properties_display")
     pairs = matched_pairs(create_post, click, horizon_ms=horizon_ms, strategy=strategy,
                           bucket_ms=bucket_ms, salt=salt, rows_per_task=rows_per_task)
-    matched = pairs.select(F.col(POST_ID).alias("_mid"), F.col("post_timestamp").alias("_mts"))
+    # distinct: a partial aggregate collapses a hot creation's pairs to one key per
+    # map task before the anti join's shuffle
+    matched = pairs.select(F.col(POST_ID).alias("_mid"),
+                           F.col("post_timestamp").alias("_mts")).distinct()
     unmatched = (_creations(create_post)
                  .join(matched, (F.col("_pid") == F.col("_mid"))
                        & (F.col("post_timestamp") == F.col("_mts")), "left_anti")

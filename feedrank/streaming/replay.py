@@ -21,11 +21,12 @@ CHUNK_ORIGIN_MS = 1704067200000
 
 def replay(spark: SparkSession, sf_dir: str, cfg: topo.LiveConfig,
            chunk_ms: int = 5 * DAY_MS, origin_ms: int = CHUNK_ORIGIN_MS,
-           on_cycle=None) -> dict:
+           on_cycle=None, reverse: bool = False) -> dict:
     """Run the topology over the events; returns run statistics.
 
     ``on_cycle(chunk_index, now_ms)`` runs before each cycle's queries (e.g. to
-    submit a config update while the topology is live).
+    submit a config update while the topology is live). ``reverse`` feeds the
+    chunks newest first (a late-data drill: watermarks must drop and report).
     """
     chunk = F.floor((F.col("segment_timestamp") - F.lit(origin_ms)) / F.lit(chunk_ms)).cast("long")
     stage_c = cfg.path("_stage/click")
@@ -39,12 +40,13 @@ def replay(spark: SparkSession, sf_dir: str, cfg: topo.LiveConfig,
     old = spark.conf.get(conf_key, "true")
     spark.conf.set(conf_key, "false")
     try:
-        return _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms, on_cycle)
+        return _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms, on_cycle, reverse)
     finally:
         spark.conf.set(conf_key, old)
 
 
-def _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms, on_cycle=None) -> dict:
+def _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms, on_cycle=None,
+                reverse=False) -> dict:
     bounds = (spark.read.parquet(stage_c).select("chunk")
               .unionByName(spark.read.parquet(stage_p).select("chunk"))
               .agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).first())
@@ -53,7 +55,8 @@ def _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms, on_cycle=None
     stats = {"chunks": 0, "dropped_q1": 0, "dropped_q2": 0}
     if bounds["lo"] is None:
         return stats
-    for c in range(int(bounds["lo"]), int(bounds["hi"]) + 1):
+    order = range(int(bounds["lo"]), int(bounds["hi"]) + 1)
+    for c in (reversed(order) if reverse else order):
         spark.read.parquet(stage_c).filter(F.col("chunk") == c).drop("chunk") \
             .write.mode("append").parquet(cfg.path("in/click"))
         spark.read.parquet(stage_p).filter(F.col("chunk") == c).drop("chunk") \

@@ -96,3 +96,9 @@ def test_changelog_compaction_keeps_state(spark):
     assert before == after
     comp = spark.read.parquet(cfg.path(f"changelog_compacted/upto={mark}"))
     assert comp.count() == len(after)
+
+
+def test_late_data_is_dropped_and_reported(spark):
+    cfg = topo.LiveConfig(root=scratch_dir(spark, "live-test"), publish_snapshots=False)
+    stats = rp.replay(spark, SF001, cfg, chunk_ms=10 * DAY, reverse=True)
+    assert stats["dropped_q1"] + stats["dropped_q2"] > 0
