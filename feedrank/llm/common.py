@@ -7,6 +7,10 @@ operator's own ones.
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -19,6 +23,30 @@ from feedrank.session import scratch_dir
 WORD_SPACE = " \t\n\x0b\x0c\r"
 
 
+@functools.cache
+def _package_zip() -> str:
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="feedrank-py-"), "feedrank.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    return path
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors through Spark, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        spark.sparkContext.addPyFile(_package_zip())
+        _shipped.add(app)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The ``documents`` table under ``sf_dir``, optionally only some columns."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
@@ -46,6 +74,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+    """Arrow form of a DDL schema; also makes sure tasks can import this package."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    ship_package(spark)
+    return to_arrow_schema(spark.createDataFrame([], schema).schema)
+
+
 def per_document(docs: DataFrame, schema: str,
                  rows: Callable[[Iterator[tuple]], Iterable[tuple]]) -> DataFrame:
     """Apply ``rows`` to (doc_id, text) pairs, a task at a time, through Arrow.
@@ -59,8 +94,7 @@ def per_document(docs: DataFrame, schema: str,
 def per_batch(df: DataFrame, schema: str,
               rows: Callable[[Iterator[tuple]], Iterable[tuple]]) -> DataFrame:
     """As :func:`per_document` for any columns: tuples in, tuples out."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    target = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
+    target = arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

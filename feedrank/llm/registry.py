@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrank.llm import bpe
+from feedrank.llm import bpe, simhash, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_simhash": simhash.op5_simhash,
     "op7_bpe": bpe.op7_bpe,
+    "op10_token_store": token_store.op10_token_store,
 }
 
 ORACLE_SQL: dict[str, str] = {}
