@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrank.llm import bpe, simhash, token_store
+from feedrank.llm import bpe, quality, rules, simhash, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality": quality.op4_quality,
     "op5_simhash": simhash.op5_simhash,
     "op7_bpe": bpe.op7_bpe,
+    "op8_rules": rules.op8_rules,
     "op10_token_store": token_store.op10_token_store,
 }
 
