@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrank.llm import bpe, quality, rules, simhash, token_store
+from feedrank.llm import bpe, pii, quality, rules, simhash, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": pii.op1_pii,
     "op4_quality": quality.op4_quality,
     "op5_simhash": simhash.op5_simhash,
     "op7_bpe": bpe.op7_bpe,
