@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrank.llm import bpe, pii, quality, rules, simhash, token_store
+from feedrank.llm import (bpe, decontaminate, pii, quality, rules, simhash, token_counts,
+                          token_store, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op4_quality": quality.op4_quality,
     "op5_simhash": simhash.op5_simhash,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_bpe": bpe.op7_bpe,
     "op8_rules": rules.op8_rules,
+    "op9_token_counts": token_counts.op9_token_counts,
     "op10_token_store": token_store.op10_token_store,
 }
 
