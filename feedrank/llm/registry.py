@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrank.llm import (bpe, decontaminate, pii, quality, rules, simhash, token_counts,
+from feedrank.llm import (bpe, chat, decontaminate, pii, quality, rules, simhash, token_counts,
                           token_store, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_chat": chat.op3_chat,
     "op4_quality": quality.op4_quality,
     "op5_simhash": simhash.op5_simhash,
     "op6_toxicity": toxicity.op6_toxicity,
