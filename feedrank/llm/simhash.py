@@ -282,6 +282,30 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHING
             .select("doc_id", "fp", "component_id"))
 
 
+def keep_first(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates of a document with a smaller id.
+
+    Rows without an id stay. Rows that repeat an id are one document: one stays,
+    the first by a hash of its text.
+    """
+    found = stored(near_duplicates(docs, max_bits), "simhash-found")
+    # a repeated id may have several texts, and so several components: its smallest counts
+    ids = (found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("known_id"))
+           .agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c")))
+    gone = stored(ids.filter("n > 1 or c <> known_id"), "simhash-gone")
+    key = F.col("doc_id").cast("long") == F.col("known_id")
+    single = docs.join(gone.select("known_id"), key, "left_anti")
+    repeated = gone.filter("c = known_id")
+    if repeated.isEmpty():
+        return single
+    names = [F.col(c) for c in docs.columns]
+    first = (docs.join(repeated.select("known_id"), key, "left_semi")
+             .groupBy(F.col("doc_id").alias("known_id"))
+             .agg(F.min_by(F.struct(*names), F.struct(F.xxhash64("text"), F.col("text")))
+                  .alias("row")).select("row.*"))
+    return single.unionByName(first)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
