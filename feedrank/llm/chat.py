@@ -216,7 +216,8 @@ def cut_states(lines: DataFrame, model: Model) -> dict[int, tuple[int | None, in
             for i in range(len(chain) - 1, -1, -1):
                 part, _, back = chain[i]
                 entry = given.setdefault(part, [None, None])
-                entry[1] = state
+                if i < len(chain) - 1:              # goes on in the next part
+                    entry[1] = state
                 if back is not None:
                     entry[0] = state = int(back[state])
             chain = []

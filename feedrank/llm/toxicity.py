@@ -1,8 +1,9 @@
 """Operator 6: toxicity severity by cumulative-link ordinal regression.
 
 Grades 0..3 share one weight vector; P(grade <= k) = sigmoid(theta_k - w.x) with
-increasing thresholds. x holds the presence of lower-case words, hashed to
-``SPACE`` features. The score is the expected severity, the sum of
+increasing thresholds. x holds the presence of lower-case words and of their
+inner pieces (``PIECE`` letters), hashed to ``SPACE`` features; an L1 penalty keeps
+the weights sparse, so common words do not drown the few that matter. The score is the expected severity, the sum of
 P(grade > k).
 
 The labels say toxic or not, so training grades come from them: 0 for not toxic;
@@ -39,7 +40,9 @@ MARKER_ODDS = 2.5
 MARKER_DOCS = 5
 STEPS = 150
 RATE = 0.1
-RIDGE = 1e-4
+LASSO = 1e-4
+PIECE = 5
+MOST_STEP = 1e4                 # bound of a feature's step size in the penalty
 PREDICT_AT = 0.5
 WORD = re.compile(r"\w+")
 RESULT = "doc_id long, severity double, p_toxic double, grade int, predicted int"
@@ -48,7 +51,10 @@ RESULT = "doc_id long, severity double, p_toxic double, grade int, predicted int
 def features(text: str | None) -> np.ndarray:
     """Sorted hashed features present in a text."""
     words = set(WORD.findall((text or "").lower()))
-    return np.unique(np.array([xxhash.xxh32_intdigest(w) % SPACE for w in words], dtype=np.int32))
+    pieces = {w[k:k + PIECE] for w in words for k in range(len(w) - PIECE + 1)}
+    digest = xxhash.xxh32_intdigest
+    return np.unique(np.array([*(digest(w) % SPACE for w in words),
+                               *(digest(p, 1) % SPACE for p in pieces)], dtype=np.int32))
 
 
 @dataclass
@@ -71,12 +77,12 @@ def grades(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     odds = (np.log((bad + 0.5) / ((toxic == 1).sum() + 1))
             - np.log((good + 0.5) / ((toxic == 0).sum() + 1)))
     marker = (odds >= MARKER_ODDS) & (bad >= MARKER_DOCS)
-    found = np.array([int(marker[x].sum()) for x in rows])
-    return np.where(toxic == 1, np.clip(found, 1, GRADES - 1), 0)
+    found = np.array([int(marker[x].sum()) for x in rows], dtype=np.int64)
+    return np.where(toxic == 1, np.clip(found, 1, GRADES - 1), 0).astype(np.int64)
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> OrdinalModel:
-    """Weighted maximum likelihood with ridge, by Adam over the whole sample.
+    """Weighted maximum likelihood with an L1 penalty, by proximal Adam steps.
 
     Thresholds are kept in order as a first value plus positive steps.
     """
@@ -102,15 +108,17 @@ def fit(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> OrdinalMod
         p = np.maximum(edge[:, 1] - edge[:, 0], 1e-12)
         slope = edge * (1 - edge) / p[:, None] * weight[:, None]      # d log p by lower, upper
         grad = np.empty_like(value)
-        grad[:k] = (np.bincount(column, (slope[:, 1] - slope[:, 0])[owner], k)
-                    + RIDGE * value[:k])
+        grad[:k] = np.bincount(column, (slope[:, 1] - slope[:, 0])[owner], k)
         by_theta = np.array([slope[y == g + 1, 0].sum() - slope[y == g, 1].sum()
                              for g in range(GRADES - 1)])
         grad[k] = by_theta.sum()
         grad[k + 1:] = np.cumsum(by_theta[::-1])[::-1][1:] * np.exp(value[k + 1:])
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad ** 2
-        value -= RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
+        size = RATE / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
+        value -= size * first / (1 - 0.9 ** step)
+        w = value[:k]
+        w[:] = np.sign(w) * np.maximum(np.abs(w) - LASSO * np.minimum(size[:k], MOST_STEP), 0)
     model.weights[used] = value[:k]
     model.thresholds = value[k] + np.append(0, np.cumsum(np.exp(value[k + 1:])))
     return model
