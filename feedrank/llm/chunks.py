@@ -4,8 +4,8 @@ The pre-token pattern never joins a non-space with a following space, and a
 single space always goes with the word after it. A text may therefore be cut
 before a space unless white space stands on both sides of it. The pieces
 between two cuts ("chunks") encode independently of each other, so their ids
-are remembered: running text repeats most of its words. The memo holds at most
-``limit`` chunks, is emptied when full, and never changes a result.
+are remembered: running text repeats most of its words. The memo is bounded and
+never changes a result.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ import regex
 WHITE_SPACE = ("\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029"
                "\\u202f\\u205f\\u3000")
 UNSAFE_CUT = regex.compile(rf"[{WHITE_SPACE}] (?=[{WHITE_SPACE}]|\Z)")
-MEMO_LIMIT = 500_000
+MEMO_LIMIT = 250_000
+GROUP_CHARS = 1 << 22           # texts encoded together hold about so many characters
 LONGEST_MEMO_CHUNK = 64
 
 
@@ -49,17 +50,56 @@ def chunks(text: str) -> Iterator[str]:
         yield held
 
 
-class Memo(dict):
-    """chunk -> encoded value, filled on a miss by ``encode``; bounded."""
+class Memo:
+    """chunk -> encoded value, in two generations of about ``limit`` chunks.
 
-    def __init__(self, encode: Callable[[str], object], limit: int = MEMO_LIMIT):
-        super().__init__()
+    ``encoded`` handles a group of texts: chunks not met before are encoded
+    together. When the younger generation is full it becomes the older one,
+    which is dropped; a chunk met in the older one moves to the younger. Chunks
+    of unusual length are forgotten after their group.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list], limit: int = MEMO_LIMIT):
         self.encode, self.limit = encode, limit
+        self.young: dict[str, object] = {}
+        self.old: dict[str, object] = {}
+        self.unusual: list[str] = []
+
+    def _trim(self) -> None:
+        for c in self.unusual:
+            del self.young[c]
+        self.unusual = []
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+
+    def encoded(self, texts: list[str]) -> Iterator[list]:
+        """The values of each text's chunks, in order."""
+        self._trim()
+        young = self.young
+        fresh: set[str] = set()
+        for text in texts:
+            fresh.update([c for c in chunks(text) if c not in young])
+        old = self.old
+        missing = []
+        for c in fresh:
+            if c in old:
+                young[c] = old[c]
+            else:
+                missing.append(c)
+        young.update(zip(missing, self.encode(missing)))
+        self.unusual = [c for c in missing if len(c) > LONGEST_MEMO_CHUNK]
+        for text in texts:
+            yield [young[c] for c in chunks(text)]
 
-    def __missing__(self, chunk: str):
-        value = self.encode(chunk)
-        if len(chunk) <= LONGEST_MEMO_CHUNK:
-            if len(self) >= self.limit:
-                self.clear()
-            self[chunk] = value
-        return value
+
+def groups(pairs: Iterator[tuple], size: int = GROUP_CHARS) -> Iterator[list[tuple]]:
+    """(key, text) pairs in runs of about ``size`` characters; a null text is empty."""
+    held, chars = [], 0
+    for key, text in pairs:
+        held.append((key, text or ""))
+        chars += len(text or "") + 64
+        if chars >= size:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held

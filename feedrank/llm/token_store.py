@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -40,7 +41,7 @@ BLOCK = (f"run int, before long, n_ids long, id_bytes int, ids binary, ends {SEQ
          f"n_null int, first_id long, doc_ids {SEQUENCE}")
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
-_encoders: dict[str, Callable[[str], bytes]] = {}
+_encoders: dict[str, Callable[[list[str]], Iterator[bytes]]] = {}
 
 
 def _splits_at_spaces(spec: dict) -> bool:
@@ -51,21 +52,24 @@ def _splits_at_spaces(spec: dict) -> bool:
             and model["type"] == "BPE" and not model.get("dropout"))
 
 
-def encoder_of(raw: bytes) -> Callable[[str], bytes]:
-    """text -> ids as little-endian bytes, by the tokenizers library."""
+def encoder_of(raw: bytes) -> Callable[[list[str]], Iterator[bytes]]:
+    """texts -> ids of each as little-endian bytes, by the tokenizers library."""
     key = hashlib.sha256(raw).hexdigest()
     if key not in _encoders:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # one core a task
         from tokenizers import Tokenizer
         tok = Tokenizer.from_str(raw.decode("utf-8"))
         tok.encode_special_tokens = True
         kind = id_type(tok.get_vocab_size())
 
-        def encode(text: str) -> bytes:
-            return np.asarray(tok.encode(text, add_special_tokens=False).ids, kind).tobytes()
+        def encode(texts: list[str]) -> list[bytes]:
+            return [np.array(e.ids, kind).tobytes()
+                    for k in range(0, len(texts), 1024)
+                    for e in tok.encode_batch_fast(texts[k:k + 1024], add_special_tokens=False)]
 
         if _splits_at_spaces(json.loads(raw)):
             memo = chunks.Memo(encode)
-            _encoders[key] = lambda text: b"".join([memo[c] for c in chunks.chunks(text)])
+            _encoders[key] = lambda texts: map(b"".join, memo.encoded(texts))
         else:
             _encoders[key] = encode
     return _encoders[key]
@@ -101,6 +105,13 @@ class _Block:
                 "doc_ids": vars(EliasFano.encode(ids))}
 
 
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            yield from zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+
+
 def write_store(docs: DataFrame, path: str, tokenizer: bytes, end_id: int = 2) -> str:
     """Encode every text, append ``end_id``, write the store to ``path``."""
     spark = docs.sparkSession
@@ -113,15 +124,13 @@ def write_store(docs: DataFrame, path: str, tokenizer: bytes, end_id: int = 2) -
         encode, me = encoder_of(shared.value), TaskContext.get().partitionId()
         end, width = np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize
         block, before = _Block(), 0
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    block.add(doc_id, encode(text or "") + end, width)
-                    if block.size >= BLOCK_IDS or len(block.ends) >= BLOCK_DOCS:
-                        yield pa.RecordBatch.from_pylist([block.row(me, before, width)], target)
-                        before += block.size
-                        block = _Block()
+        for group in chunks.groups(_pairs(batches)):
+            for (doc_id, _), ids in zip(group, encode([t for _, t in group])):
+                block.add(doc_id, ids + end, width)
+                if block.size >= BLOCK_IDS or len(block.ends) >= BLOCK_DOCS:
+                    yield pa.RecordBatch.from_pylist([block.row(me, before, width)], target)
+                    before += block.size
+                    block = _Block()
         if block.ends:
             yield pa.RecordBatch.from_pylist([block.row(me, before, width)], target)
 
