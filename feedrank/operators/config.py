@@ -64,7 +64,7 @@ def read_history(spark: SparkSession, history_path: str) -> DataFrame:
     from feedrank.session import path_exists
     if not path_exists(spark, history_path):
         return spark.createDataFrame([], CONFIG_HISTORY)
-    return spark.read.schema(CONFIG_HISTORY).parquet(history_path)
+    return spark.read.schema(CONFIG_HISTORY).parquet(history_path).select(*CONFIG_HISTORY.names)
 
 
 def config_asof(times: DataFrame, time_col: str, history: DataFrame) -> DataFrame:
@@ -76,24 +76,31 @@ def config_asof(times: DataFrame, time_col: str, history: DataFrame) -> DataFram
                                    for n in PARAMS])
 
 
-def score_with_history(snapshots: DataFrame, history: DataFrame,
-                       time_col: str = "snapshot_ts") -> DataFrame:
-    """Score snapshot rows with the config in force at their ``time_col``."""
-    cfg = config_asof(snapshots, time_col, history).select(
+def score_with_history(snapshots: DataFrame, history: DataFrame, time_col: str = "snapshot_ts",
+                       times: DataFrame | None = None) -> DataFrame:
+    """Score snapshot rows with the config in force at their ``time_col``.
+
+    ``times``: the snapshot times, where they are known without computing the
+    snapshots (a calendar, the post times); else they are read from the rows.
+    """
+    cfg = config_asof(snapshots if times is None else times, time_col, history).select(
         F.col(time_col).alias("_cfg_t"), *[F.col(n).alias("_cfg_" + n) for n in PARAMS])
     joined = snapshots.join(cfg, F.col(time_col) == F.col("_cfg_t"), "inner")
     scored = with_scores(joined, config_columns("_cfg_"))
     return scored.drop("_cfg_t", *["_cfg_" + n for n in PARAMS])
 
 
-def score_with_config_frame(table: DataFrame, config: DataFrame) -> DataFrame:
+def score_with_config_frame(table: DataFrame, config: DataFrame, scorer=None) -> DataFrame:
     """Score every row with a one-row config frame (e.g. ``config_latest``).
 
+    ``scorer``: a scoring function in place of the built-in one.
+
     The config frame is one row by construction (a global aggregate), so the
     broadcast is size-bounded.
     """
     cfg = config.select(*[F.col(n).alias("_cfg_" + n) for n in PARAMS])
-    scored = with_scores(table.crossJoin(F.broadcast(cfg)), config_columns("_cfg_"))
+    scored = with_scores(table.crossJoin(F.broadcast(cfg)), config_columns("_cfg_"),
+                         **({"scorer": scorer} if scorer else {}))
     return scored.drop(*["_cfg_" + n for n in PARAMS])
 
 
@@ -113,9 +120,9 @@ def config_updates_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedrank.sources.tables import epoch_millis
     ev = events(spark, sf_dir, ["ts", "event_type", "props"]).filter(F.col("event_type") == "error")
     first = (ev.select(epoch_millis("ts").alias("ts_ms"), prop_k().alias("k"),
-                       F.dayofmonth("ts").alias("dom"))
-               .groupBy("dom").agg(F.min_by(F.struct("ts_ms", "k"), "ts_ms").alias("r"))
-               .select("dom", "r.ts_ms", "r.k"))
+                       F.to_date("ts").alias("day"), "ts")
+               .groupBy("day").agg(F.min_by(F.struct("ts_ms", "k"), "ts").alias("r"))
+               .select(F.dayofmonth("day").alias("dom"), "r.ts_ms", "r.k"))
     d, a = ScoringConfig(), ALTERNATIVE_CONFIG
     partial = (F.col("dom") % 5) == 0
     odd = (F.col("dom") % 2) == 1

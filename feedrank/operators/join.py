@@ -56,8 +56,8 @@ def _salt_hot_groups(cpb: DataFrame, ckb: DataFrame, rows_per_task: int):
     """Salt only the (post, bucket) groups with more than ``rows_per_task`` clicks.
 
     The hot-group table comes from a partial/final count over the clicks; it
-    has at most ``#clicks / rows_per_task`` rows - a proven bound - so it is
-    broadcast. A hot group with n clicks is spread over ceil(n / rows_per_task)
+    has at most ``#clicks / rows_per_task`` rows; whether it is broadcast is left
+    to the planner and its measured size. A hot group with n clicks is spread over ceil(n / rows_per_task)
     salts: clicks draw one from their own columns, the group's creation rows
     are copied once per salt. Cold groups keep salt 0 and are not copied.
     """
@@ -65,7 +65,6 @@ def _salt_hot_groups(cpb: DataFrame, ckb: DataFrame, rows_per_task: int):
               .filter(F.col("_n") > F.lit(int(rows_per_task)))
               .select(F.col("_cid").alias("_hid"), F.col("_cb").alias("_hb"),
                       F.ceil(F.col("_n") / F.lit(int(rows_per_task))).cast("int").alias("_ns")))
-    hot = F.broadcast(hot)
     ck = (ckb.join(hot, (F.col("_cid") == F.col("_hid")) & (F.col("_cb") == F.col("_hb")), "left")
              .withColumn("_cs", F.when(F.col("_ns").isNull(), F.lit(0)).otherwise(
                  F.pmod(F.xxhash64("click_timestamp", "ingest_timestamp", "properties_display"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedrank.functions.scoring import display_ctr
@@ -15,14 +15,18 @@ UPTIME_GAP_LIMIT_MS = 1000 * 60 * 5
 HOUR_MS = 60 * 60 * 1000
 
 
-def dashboard_bars(scored: DataFrame, hours_window: float = 3.0) -> DataFrame:
+def dashboard_bars(scored: DataFrame, hours_window: float = 3.0,
+                   post_times: DataFrame | None = None) -> DataFrame:
     """Per post: hours before the newest post, cold/hot bars, counts, display CTR.
 
     The newest post time is a one-row global aggregate joined by broadcast
-    (one row: a proven size), not an unpartitioned window. Bars outside the
-    x-axis range ``[-hours_window, 0]`` are dropped.
+    (one row: a proven size), not an unpartitioned window. ``post_times`` gives
+    the ``post_timestamp`` values to take it from (the creations in the window),
+    so that the scored table is computed once; by default the table itself. Bars
+    outside the x-axis range ``[-hours_window, 0]`` are dropped.
     """
-    newest = scored.agg(F.max("post_timestamp").alias("_max_ts"))
+    times = scored if post_times is None else post_times
+    newest = times.agg(F.max("post_timestamp").alias("_max_ts"))
     t = scored.crossJoin(F.broadcast(newest))
     hours_ago = (F.col("post_timestamp") - F.col("_max_ts")).cast("double") / F.lit(float(HOUR_MS))
     out = t.select(
@@ -46,12 +50,26 @@ def heartbeat_status(heartbeats: DataFrame, now_ms: int,
         (age_s <= F.lit(float(limit_s))).alias("alive"))
 
 
+def uptime_buckets(push_log: DataFrame, limit_ms: int = UPTIME_GAP_LIMIT_MS) -> DataFrame:
+    """Push log summed up per bucket of ``limit_ms``: ``n``, ``first_ts``, ``last_ts``,
+    and ``prev_ts``, the last push of the bucket before.
+
+    A gap over the limit can only lie between two buckets, so the rows of the log
+    need no order among themselves: each task sums up its part, and the ordered
+    step runs over one row per five minutes with a push.
+    """
+    bucket = F.floor(F.col("ts_ms") / F.lit(int(limit_ms))).alias("_bucket")
+    summed = push_log.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"),
+                                          F.min("ts_ms").alias("first_ts"),
+                                          F.max("ts_ms").alias("last_ts"))
+    return previous_ts(summed, "last_ts", out_col="prev_ts")
+
+
 def uptime_gaps(push_log: DataFrame, limit_ms: int = UPTIME_GAP_LIMIT_MS) -> DataFrame:
-    """Push log rows with ``prev_ts`` and ``gap_ms``; ``down`` when gap > limit."""
-    g = previous_ts(push_log, "ts_ms", tiebreak=["filename"], out_col="prev_ts")
-    gap = F.col("ts_ms") - F.col("prev_ts")
-    return g.withColumn("gap_ms", gap).withColumn("down", F.coalesce(gap > F.lit(limit_ms),
-                                                                    F.lit(False)))
+    """(prev_ts, ts_ms, gap_ms) of every gap over the limit."""
+    gap = F.col("first_ts") - F.col("prev_ts")
+    return (uptime_buckets(push_log, limit_ms).filter(gap > F.lit(limit_ms))
+            .select("prev_ts", F.col("first_ts").alias("ts_ms"), gap.alias("gap_ms")))
 
 
 def uptime_timeline(push_log: DataFrame, now_ms: int | None = None,
@@ -63,18 +81,15 @@ def uptime_timeline(push_log: DataFrame, now_ms: int | None = None,
     ``last + 1`` and ``now`` when the last push is older than the limit, else
     an up point at ``now``.
     """
-    g = uptime_gaps(push_log, limit_ms)
-    pts = F.when(F.col("down"), F.array(
-        F.struct((F.col("prev_ts") + 1).alias("ts"), F.lit(0).alias("up_flag"),
-                 F.lit("").alias("s3_filename")),
-        F.struct((F.col("ts_ms") - 1).alias("ts"), F.lit(0).alias("up_flag"),
-                 F.lit("").alias("s3_filename")),
-        F.struct(F.col("ts_ms").alias("ts"), F.lit(1).alias("up_flag"),
-                 F.col("filename").alias("s3_filename")),
-    )).otherwise(F.array(
-        F.struct(F.col("ts_ms").alias("ts"), F.lit(1).alias("up_flag"),
-                 F.col("filename").alias("s3_filename"))))
-    out = g.select(F.explode(pts).alias("p")).select("p.*")
+    def point(ts: Column, up: int, name: Column) -> Column:
+        return F.struct(ts.alias("ts"), F.lit(up).alias("up_flag"), name.alias("s3_filename"))
+
+    up = push_log.select(F.col("ts_ms").alias("ts"), F.lit(1).alias("up_flag"),
+                         F.col("filename").alias("s3_filename"))
+    down_points = uptime_gaps(push_log, limit_ms).select(F.explode(F.array(
+        point(F.col("prev_ts") + 1, 0, F.lit("")),
+        point(F.col("ts_ms") - 1, 0, F.lit("")))).alias("p")).select("p.*")
+    out = up.unionByName(down_points)
     if now_ms is None:
         return out
     last = push_log.agg(F.max("ts_ms").alias("_last"))
@@ -98,12 +113,13 @@ def uptime_summary(push_log: DataFrame, now_ms: int | None = None,
     ``now - last`` when it is over the limit. Span = newest - oldest timeline
     point (the tail's ``now`` included).
     """
-    g = uptime_gaps(push_log, limit_ms)
-    s = g.agg(F.count(F.lit(1)).alias("records"),
-              F.count(F.when(F.col("down"), 1)).alias("down_gaps"),
-              F.coalesce(F.sum(F.when(F.col("down"), F.col("gap_ms"))), F.lit(0)).cast("long")
-               .alias("gap_downtime_ms"),
-              F.min("ts_ms").alias("first_ts"), F.max("ts_ms").alias("last_ts"))
+    gap = F.col("first_ts") - F.col("prev_ts")
+    down = gap > F.lit(limit_ms)
+    s = uptime_buckets(push_log, limit_ms).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
+        F.count(F.when(down, 1)).alias("down_gaps"),
+        F.coalesce(F.sum(F.when(down, gap)), F.lit(0)).cast("long").alias("gap_downtime_ms"),
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
     if now_ms is None:
         tail = F.lit(0).cast("long")
         end = F.col("last_ts")

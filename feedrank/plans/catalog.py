@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedrank.functions import scoring as sc
-from feedrank.operators.counts import click_counts
+from feedrank.operators.counts import click_counts, counts_from_streams
 from feedrank.operators.join import click_recent
 from feedrank.operators.live_table import DAY_MS, changelog_since
 from feedrank.plans import batch
@@ -25,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 NOW_MS = fx.FIXTURE_NOW_MS
+CHUNK_ORIGIN_MS = 1704067200000     # fixed value: where the replay's 5-day chunks start
 H = JOIN_HORIZON_MS
 
 
@@ -73,9 +74,18 @@ def sql_with(body: str) -> str:
     return f"WITH {CTE_BASE}\n{body}"
 
 
-def sql_live_window(window_ms: int) -> str:
+def sql_as_of(as_of_ms: int, body: str) -> str:
+    """``body`` over what had happened by ``as_of_ms``: no later post, no later click."""
+    bounded = CTE_BASE
+    for name, part in (("cp", fx.SQL_CREATE_POST), ("ck", fx.SQL_CLICK)):
+        bounded = bounded.replace(f"{name} AS ({part})",
+                                  f"{name} AS ({part} AND {fx.SQL_TS_MS} <= {as_of_ms})")
+    return f"WITH {bounded}\n{body}"
+
+
+def sql_live_window(window_ms: int, as_of_ms: int = NOW_MS) -> str:
     return f"""
-  SELECT * FROM cnt WHERE post_timestamp > {NOW_MS - window_ms}
+  SELECT * FROM cnt WHERE post_timestamp > {as_of_ms - window_ms}
   QUALIFY row_number() OVER (PARTITION BY {POST_ID} ORDER BY post_timestamp DESC) = 1"""
 
 
@@ -173,6 +183,26 @@ def q_live_table_window(spark, sf_dir):
     return batch.live(spark, sf_dir, NOW_MS, DAY_MS)
 
 
+# Fixed value: a time in the middle of the data, posts and clicks lie on both sides.
+MID_MS = 1705104000000          # 2024-01-13 00:00:00
+
+
+@query("live_table_as_of", sql=sql_as_of(MID_MS, sql_live_window(2 * DAY_MS, MID_MS)))
+def q_live_table_as_of(spark, sf_dir):
+    return batch.live(spark, sf_dir, MID_MS, 2 * DAY_MS)
+
+
+@query("score_as_of", sql=sql_as_of(
+    MID_MS, f"SELECT *, {sql_scores_cols()} FROM ({sql_live_window(2 * DAY_MS, MID_MS)})"))
+def q_score_as_of(spark, sf_dir):
+    return scored_r6(batch.live(spark, sf_dir, MID_MS, 2 * DAY_MS))
+
+
+@query("click_counts_as_of", sql=sql_as_of(MID_MS, "SELECT * FROM cnt"))
+def q_click_counts_as_of(spark, sf_dir):
+    return batch.counts(spark, sf_dir, MID_MS)
+
+
 @query("live_table_window_3d", sql=sql_with(sql_live_window(3 * DAY_MS)))
 def q_live_table_window_3d(spark, sf_dir):
     return batch.live(spark, sf_dir, NOW_MS, 3 * DAY_MS)
@@ -181,7 +211,11 @@ def q_live_table_window_3d(spark, sf_dir):
 @query("changelog_since", sql=sql_with(
     f"SELECT * FROM cnt WHERE post_timestamp >= {NOW_MS - 3 * DAY_MS}"))
 def q_changelog_since(spark, sf_dir):
-    return changelog_since(batch.counts(spark, sf_dir), NOW_MS - 3 * DAY_MS)
+    # the bound reaches the scan of posts and clicks; changelog_since keeps the exact one
+    start = NOW_MS - 3 * DAY_MS
+    posts = fx.create_post(spark, sf_dir, start - 1)
+    clicks = fx.click(spark, sf_dir, start - 1 - JOIN_HORIZON_MS)
+    return changelog_since(counts_from_streams(posts, clicks), start)
 
 
 # ----------------------------------------------------------------------------
@@ -225,17 +259,19 @@ SQL_ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
 
 def _ingested(spark, sf_dir):
     from feedrank.sources import ingest as ing
-    raw = fx.raw_events(spark, sf_dir)
-    return ing.ingest(raw, NOW_MS, schema=None, keep=["doc_id"])
+    return ing.ingest(fx.raw_events(spark, sf_dir), NOW_MS, keep=["doc_id"])
+
+
+def _ingested_mixed(spark, sf_dir):
+    from feedrank.sources import ingest as ing
+    return ing.ingest(fx.raw_events_mixed(spark, sf_dir), NOW_MS, keep=["doc_id"])
 
 
 @query("ingest_raw", sql=f"""
 SELECT event_id AS doc_id, 'track' AS type, {SQL_EVENT_NAME} AS event, {SQL_ISO} AS timestamp
 FROM events""")
 def q_ingest_raw(spark, sf_dir):
-    from feedrank.sources import ingest as ing
-    p = ing.parse(fx.raw_events(spark, sf_dir))
-    return p.select("doc_id", "doc.type", "doc.event", "doc.timestamp")
+    return _ingested(spark, sf_dir).select("doc_id", "type", "event", "timestamp")
 
 
 @query("ingest_flatten", sql=f"""
@@ -246,7 +282,36 @@ SELECT event_id AS doc_id, {fx.SQL_K} AS context_k, event_type AS context_tags_0
        {fx.SQL_TS_MS} AS segment_timestamp, CAST({NOW_MS} AS BIGINT) AS ingest_timestamp
 FROM events""")
 def q_ingest_flatten(spark, sf_dir):
-    return _ingested(spark, sf_dir).drop("topic", "key", "reason")
+    from feedrank.sources import ingest as ing
+    return ing.flat_fields(
+        _ingested(spark, sf_dir),
+        "context_k long, context_tags_0 string, context_tags_1 string, event string, "
+        "properties_display string, properties_shoppable_post_id long, timestamp string, "
+        "type string, userId string", keep=["doc_id", "segment_timestamp", "ingest_timestamp"])
+
+
+@query("ingest_flatten_nested", sql=f"""
+SELECT event_id AS doc_id, 's' AS items_0_sku, 1 AS items_0_sizes_0, 2 AS items_0_sizes_1_0,
+       3 AS items_0_sizes_1_1, 1 AS dotted, 'upper' AS upper_k, 'lower' AS lower_k,
+       1152921504606846977 AS big, '0.10' AS mixed, event_type AS context_tags_0,
+       user_id AS properties_shoppable_post_id
+FROM events WHERE event_id % 16 = 11""")
+def q_ingest_flatten_nested(spark, sf_dir):
+    from feedrank.sources import ingest as ing
+    nested = _ingested_mixed(spark, sf_dir).filter("doc_id % 16 = 11 and reason is null")
+
+    def field(name, kind="int"):
+        return F.get_json_object("flat", f"$['{name}']").cast(kind)
+
+    return nested.select(
+        "doc_id", field("items_0_sku", "string").alias("items_0_sku"),
+        field("items_0_sizes_0").alias("items_0_sizes_0"),
+        field("items_0_sizes_1_0").alias("items_0_sizes_1_0"),
+        field("items_0_sizes_1_1").alias("items_0_sizes_1_1"), field("e.f").alias("dotted"),
+        field("K", "string").alias("upper_k"), field("k", "string").alias("lower_k"),
+        field("big", "long").alias("big"), F.regexp_extract("flat", '"mixed":([0-9.]+)', 1).alias("mixed"),
+        field("context_tags_0", "string").alias("context_tags_0"),
+        field("properties_shoppable_post_id", "long").alias("properties_shoppable_post_id"))
 
 
 @query("ingest_epoch_millis", sql=f"""
@@ -265,9 +330,22 @@ def q_ingest_topic(spark, sf_dir):
     return _ingested(spark, sf_dir).select("doc_id", "topic")
 
 
-@query("ingest_key", sql="SELECT event_id AS doc_id, CAST(user_id AS VARCHAR) AS key FROM events")
+SQL_MIXED_EVENT = (f"CASE WHEN event_id % 16 IN (8, 9) THEN 'Assigned AB Test Shard' "
+                   f"WHEN event_id % 16 = 10 THEN 'Other Event' ELSE {SQL_EVENT_NAME} END")
+SQL_MIXED_REASON = """CASE event_id % 16 WHEN 0 THEN 'invalid_json' WHEN 1 THEN 'not_an_object'
+    WHEN 2 THEN 'not_an_object' WHEN 4 THEN 'bad_post_id' WHEN 5 THEN 'missing_post_id'
+    WHEN 6 THEN 'missing_type_or_event' WHEN 7 THEN 'bad_timestamp'
+    WHEN 9 THEN 'missing_user_id' ELSE 'ok' END"""
+
+
+@query("ingest_key", sql=f"""
+SELECT event_id AS doc_id, regexp_replace('track' || {SQL_MIXED_EVENT}, '[^A-Za-z0-9]', '', 'g')
+       || '_00_raw_flatJSON' AS topic,
+       CASE WHEN event_id % 16 = 10 THEN '0' ELSE CAST(user_id AS VARCHAR) END AS key
+FROM events WHERE {SQL_MIXED_REASON} = 'ok'""")
 def q_ingest_key(spark, sf_dir):
-    return _ingested(spark, sf_dir).select("doc_id", "key")
+    return (_ingested_mixed(spark, sf_dir).filter("reason is null")
+            .select("doc_id", "topic", "key"))
 
 
 @query("ingest_route_counts", sql=f"""
@@ -277,11 +355,13 @@ def q_ingest_route_counts(spark, sf_dir):
     return ing.records(_ingested(spark, sf_dir)).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("ingest_dead_letter", sql="SELECT 'ok' AS reason, count(*) AS n FROM events")
+@query("ingest_dead_letter", sql=f"""
+SELECT {SQL_MIXED_REASON} AS reason, count(*) AS n, count(*) AS n_with_value
+FROM events GROUP BY 1""")
 def q_ingest_dead_letter(spark, sf_dir):
-    t = _ingested(spark, sf_dir)
-    return (t.select(F.coalesce("reason", F.lit("ok")).alias("reason"))
-             .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+    return (_ingested_mixed(spark, sf_dir)
+            .groupBy(F.coalesce("reason", F.lit("ok")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("n_with_value")))
 
 
 @query("ingest_click_stream", sql=f"""
@@ -445,9 +525,10 @@ def _sql_config_updates() -> str:
         cols.append(f"CAST({v} AS DOUBLE) AS {n}")
     return f"""cfgu AS (
   SELECT ts_ms, {', '.join(cols)} FROM (
-    SELECT dayofmonth(ts) AS dom, arg_min(epoch_us(ts) // 1000, epoch_us(ts)) AS ts_ms,
+    SELECT dayofmonth(CAST(ts AS DATE)) AS dom,
+           arg_min(epoch_us(ts) // 1000, epoch_us(ts)) AS ts_ms,
            arg_min({fx.SQL_K}, epoch_us(ts)) AS k
-    FROM events WHERE event_type = 'error' GROUP BY 1)),
+    FROM events WHERE event_type = 'error' GROUP BY CAST(ts AS DATE))),
 cfgd AS (
   SELECT ts_ms, {', '.join(f"coalesce({n}, {getattr(d, n)!r}) AS {n}" for n in sc.ScoringConfig.names())}
   FROM cfgu)"""
@@ -475,8 +556,20 @@ def _sql_asof() -> str:
     s, c, h = _sql_param_scores()
     dflt = ", ".join(f"coalesce(g.{n}, {getattr(d, n)!r}) AS {n}" for n in sc.ScoringConfig.names())
     return f"""WITH {CTE_BASE}, {_sql_config_updates()},
+scnt AS (
+  SELECT cp2.{POST_ID}, cp2.post_timestamp, cp2.snapshot_ts,
+         max(click_timestamp) AS last_click_timestamp, max(ingest_timestamp) AS ingest_timestamp,
+         CAST(greatest(count(click_timestamp), any_value(cp2.n)) AS BIGINT) AS total,
+         CAST(count(*) FILTER (WHERE properties_display IN ('preview', 'thumbnail')) AS BIGINT) AS preview,
+         CAST(count(*) FILTER (WHERE properties_display IN ('detail', 'full_view')) AS BIGINT) AS full_view
+  FROM (SELECT {POST_ID}, segment_timestamp AS post_timestamp, count(*) AS n,
+               CAST(ceil(segment_timestamp / {DAY_MS}.0) * {DAY_MS} AS BIGINT) AS snapshot_ts
+        FROM cp GROUP BY ALL) cp2
+  LEFT JOIN cr ON cr.{POST_ID} = cp2.{POST_ID} AND cr.post_timestamp = cp2.post_timestamp
+       AND cr.click_timestamp <= cp2.snapshot_ts
+  GROUP BY 1, 2, 3),
 snaps AS (
-  SELECT * FROM (SELECT *, (post_timestamp // 86400000 + 1) * 86400000 AS snapshot_ts FROM cnt)
+  SELECT * FROM scnt
   QUALIFY row_number() OVER (PARTITION BY snapshot_ts, {POST_ID} ORDER BY post_timestamp DESC) = 1),
 withcfg AS (
   SELECT s.*, {dflt} FROM snaps s ASOF LEFT JOIN cfgd g ON s.snapshot_ts >= g.ts_ms)
@@ -489,8 +582,10 @@ FROM withcfg"""
 @query("score_config_asof", sql=_sql_asof())
 def q_score_config_asof(spark, sf_dir):
     from feedrank.operators import config as cfgop
-    snaps = batch.periodic_snapshots(batch.counts(spark, sf_dir), DAY_MS)
-    scored = cfgop.score_with_history(snaps, cfgop.config_updates_fixture(spark, sf_dir))
+    posts = fx.create_post(spark, sf_dir)
+    snaps = batch.periodic_snapshots(posts, fx.click(spark, sf_dir), DAY_MS)
+    scored = cfgop.score_with_history(snaps, cfgop.config_updates_fixture(spark, sf_dir),
+                                      times=batch.periodic_times(posts, DAY_MS))
     return scored.select(*[c for c in snaps.columns],
                          r6(F.col("score")).alias("score"),
                          r6(F.col("coldness_score")).alias("coldness_score"),
@@ -534,7 +629,9 @@ SELECT {POST_ID}, post_timestamp, h AS hours_ago, round(c, 6) AS coldness_score,
 FROM b WHERE h BETWEEN -12.0 AND 0.0""")
 def q_dashboard_bars(spark, sf_dir):
     from feedrank.operators.monitor import dashboard_bars
-    bars = dashboard_bars(batch.snapshot(spark, sf_dir, NOW_MS, DAY_MS), hours_window=12.0)
+    posts = fx.create_post(spark, sf_dir, NOW_MS - DAY_MS, NOW_MS)
+    bars = dashboard_bars(batch.snapshot(spark, sf_dir, NOW_MS, DAY_MS), hours_window=12.0,
+                          post_times=posts.withColumnRenamed("segment_timestamp", "post_timestamp"))
     return bars.select(POST_ID, "post_timestamp", "hours_ago",
                        r6(F.col("coldness_score")).alias("coldness_score"),
                        r6(F.col("hotness_score")).alias("hotness_score"), "preview", "full_view",
@@ -597,10 +694,6 @@ def q_uptime_summary_no_tail(spark, sf_dir):
     return uptime_summary(fx.push_log(spark, sf_dir), None)
 
 
-def _latency_window(sf_dir: str) -> int:
-    return 100 if sf_dir.rstrip("/").endswith("sf0.001") else 1000
-
-
 def _sql_latency(window: int) -> str:
     return f"""WITH {CTE_BASE},
 lat AS (
@@ -614,21 +707,18 @@ SELECT source_partition, CAST((rn - 1) // {window} AS BIGINT) AS window_index, c
 FROM num GROUP BY 1, 2 HAVING count(*) = {window}"""
 
 
+@query("latency_windows", sql=_sql_latency(1000))
 def q_latency_windows(spark, sf_dir):
     from feedrank.operators.latency import latency_windows
     ck = fx.click_with_order(spark, sf_dir).select(
         (F.col(POST_ID) % 4).alias("source_partition"), F.col("segment_timestamp").alias("click_ts"),
         F.col("ingest_timestamp").alias("ingest_ts"), "event_id")
-    out = latency_windows(ck, NOW_MS, _latency_window(sf_dir), tiebreak=["event_id"])
+    out = latency_windows(ck, NOW_MS, tiebreak=["event_id"])
     return out.select("source_partition", "window_index", "n",
                       r6(F.col("average_latency_ingest")).alias("average_latency_ingest"),
                       r6(F.col("average_latency_click")).alias("average_latency_click"))
 
 
-QUERIES["latency_windows"] = q_latency_windows
-ORACLES["latency_windows"] = _sql_latency(1000)  # the oracle runs at sf0.01
-
-
 # ----------------------------------------------------------------------------
 # 2.7 streaming: live topology replayed over the events in event order
 # ----------------------------------------------------------------------------
@@ -681,7 +771,8 @@ def q_stream_live_table(spark, sf_dir):
 def q_stream_snapshot_scores(spark, sf_dir):
     from feedrank.streaming.replay import replayed
     cfg = replayed(spark, sf_dir)
-    snap = spark.read.parquet(cfg.path("snapshots")).filter(F.col("snapshot_ts") == NOW_MS)
+    snap = (spark.read.parquet(cfg.path("snapshots")).drop("batch")
+            .filter(F.col("snapshot_ts") == NOW_MS))
     return snap.select(*[r6(F.col(c)).alias(c) if c in sc_cols() else F.col(c)
                          for c in snap.columns])
 
@@ -697,19 +788,36 @@ def q_stream_score_csv(spark, sf_dir):
     return writers.read_score_csv(spark, f"{cfg.path('csv')}/{writers.csv_name(NOW_MS)}")
 
 
+# The replay publishes at the end of every 5-day chunk from the first event's to the last's.
+SQL_CYCLES = (f"SELECT CAST({{origin}} + (c + 1) * {5 * DAY_MS} AS BIGINT) AS ts_ms FROM ("
+              f"SELECT unnest(range(min(k), max(k) + 1)) AS c FROM ("
+              f"SELECT ({fx.SQL_TS_MS} - {{origin}}) // {5 * DAY_MS} AS k FROM events))")
+
+
+@query("stream_push_log", sql=f"""
+SELECT ts_ms, 'rtscore_' || {SQL_PACIFIC.format('ts_ms')} || '.csv' AS filename
+FROM ({SQL_CYCLES.format(origin=CHUNK_ORIGIN_MS)})""")
 def q_stream_push_log(spark, sf_dir):
-    from feedrank.schemas import PUSH_LOG
+    from feedrank.sinks import writers
     from feedrank.streaming.replay import replayed
-    return spark.read.schema(PUSH_LOG).parquet(replayed(spark, sf_dir).path("push_log"))
+    return writers.read_push_log(spark, replayed(spark, sf_dir).path("push_log"))
 
 
-QUERIES["stream_push_log"] = q_stream_push_log  # rows-only: file names follow the replay clock
+@query("config_running", sql=f"""
+SELECT ts_ms, {', '.join(f"CAST({v!r} AS DOUBLE) AS {n}" for n, v in
+                         sc.ScoringConfig().as_dict().items())}
+FROM (SELECT min(ts_ms) AS ts_ms FROM ({SQL_CYCLES.format(origin=CHUNK_ORIGIN_MS)}))""")
+def q_config_running(spark, sf_dir):
+    """The running-config records of the replay: one, as no update is submitted."""
+    from feedrank.operators.config import read_history
+    from feedrank.streaming.replay import replayed
+    return read_history(spark, replayed(spark, sf_dir).path("config_running"))
 
 
 def q_stream_latency_windows(spark, sf_dir):
     from feedrank.session import scratch_dir
     from feedrank.streaming.latency import replay_latency
-    out = replay_latency(spark, sf_dir, scratch_dir(spark, "latency"), _latency_window(sf_dir), NOW_MS)
+    out = replay_latency(spark, sf_dir, scratch_dir(spark, "latency"), 1000, NOW_MS)
     return out.select("source_partition", "window_index", "n",
                       r6(F.col("average_latency_ingest")).alias("average_latency_ingest"),
                       r6(F.col("average_latency_click")).alias("average_latency_click"))

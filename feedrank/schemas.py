@@ -69,19 +69,3 @@ LATENCY_METRIC = T.StructType([
     T.StructField("average_latency_ingest", D),
     T.StructField("average_latency_click", D),
 ])
-
-# Raw Segment-style document fields the ingest step reads by name.
-RAW_EVENT = T.StructType([
-    T.StructField("type", S),
-    T.StructField("event", S),
-    T.StructField("timestamp", S),
-    T.StructField("userId", S),
-    T.StructField("properties", T.StructType([
-        T.StructField("shoppable_post_id", L),
-        T.StructField("display", S),
-    ])),
-    T.StructField("context", T.StructType([
-        T.StructField("k", L),
-        T.StructField("tags", T.ArrayType(S)),
-    ])),
-])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -56,20 +59,47 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session. Only when it is unset (local runs and tests) is a
-    folder under the system temp directory created and registered, so that a
-    cluster job never writes state to a machine-local folder.
+    Read from the session. Where it is unset, a local master gets a folder under
+    the system temp directory (tests); a cluster job is refused, because a
+    machine-local folder would not be seen by the other machines.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="feedrank-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+@functools.cache
+def _package_zip() -> str:
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="feedrank-py-"), "feedrank.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    return path
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors through Spark, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        spark.sparkContext.addPyFile(_package_zip())
+        _shipped.add(app)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
@@ -83,6 +113,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's FileSystem (works for any scheme)."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries directly under ``path`` (empty if it does not exist)."""
     jvm = spark.sparkContext._jvm
@@ -93,10 +129,5 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(jpath)]
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "ensure_utc", "checkpoint_root", "scratch_dir",
-           "path_exists", "list_names", "local_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "ensure_utc", "checkpoint_root", "scratch_dir", "ship_package",
+           "path_exists", "delete_path", "list_names", "DEFAULT_CONF"]

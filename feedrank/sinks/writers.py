@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from feedrank.functions.scoring import round_half_even
 from feedrank.functions.timefmt import pacific_compact_py
 from feedrank.schemas import POST_ID, PUSH_LOG
+from feedrank.session import path_exists
 
 CSV_HEADER = ("shoppable_post_id", "score")
 
@@ -43,8 +44,17 @@ def read_score_csv(spark: SparkSession, path: str) -> DataFrame:
         "shoppable_post_id long, score long").csv(path)
 
 
-def append_push_log(spark: SparkSession, log_path: str, ts_ms: int, filename: str) -> None:
-    spark.createDataFrame([(int(ts_ms), filename)], PUSH_LOG).write.mode("append").parquet(log_path)
+def write_push_log(spark: SparkSession, log_path: str, ts_ms: int, filename: str,
+                   batch_id: int) -> None:
+    """One push record, kept under its batch: a retried batch replaces its own."""
+    (spark.createDataFrame([(int(ts_ms), filename)], PUSH_LOG)
+     .write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/batch={int(batch_id)}"))
+
+
+def read_push_log(spark: SparkSession, log_path: str) -> DataFrame:
+    if not path_exists(spark, log_path):
+        return spark.createDataFrame([], PUSH_LOG)
+    return spark.read.parquet(log_path).select("ts_ms", "filename")
 
 
 def snapshot_json(scored: DataFrame, snapshot_ts_col: str | None = None) -> DataFrame:
@@ -57,3 +67,9 @@ def snapshot_json(scored: DataFrame, snapshot_ts_col: str | None = None) -> Data
 def write_routed(records: DataFrame, out_dir: str, mode: str = "append") -> None:
     """Raw flat records, one folder per topic (``topic=<name>``)."""
     records.write.mode(mode).partitionBy("topic").parquet(out_dir)
+
+
+def write_routed_batch(records: DataFrame, out_dir: str, batch_id: int) -> None:
+    """One micro-batch of routed records; a retried batch replaces its own files."""
+    (records.write.mode("overwrite").partitionBy("topic")
+     .parquet(f"{out_dir.rstrip('/')}/batch={int(batch_id)}"))

@@ -51,15 +51,34 @@ def display_of(event_type: Column) -> Column:
     return c
 
 
-def create_post(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir, ["ts", "user_id", "event_type"])
+def between(ev: DataFrame, after_ms: int | None, until_ms: int | None) -> DataFrame:
+    """Events with ``after_ms < epoch ms <= until_ms``, as bounds on the raw ``ts``
+    column, so that they reach the scan."""
+    kind = ev.schema["ts"].dataType.simpleString()
+
+    def first_of(ms: int) -> Column:        # first instant of the millisecond after ``ms``
+        at = F.timestamp_millis(F.lit(int(ms) + 1))
+        return at.cast(kind)
+
+    if after_ms is not None:
+        ev = ev.filter(F.col("ts") >= first_of(after_ms))
+    if until_ms is not None:
+        ev = ev.filter(F.col("ts") < first_of(until_ms))
+    return ev
+
+
+def create_post(spark: SparkSession, sf_dir: str, after_ms: int | None = None,
+                until_ms: int | None = None) -> DataFrame:
+    ev = between(events(spark, sf_dir, ["ts", "user_id", "event_type"]), after_ms, until_ms)
     return (ev.filter(F.col("event_type") == "signup")
               .select(F.col("user_id").alias(POST_ID),
                       epoch_millis("ts").alias("segment_timestamp")))
 
 
-def click(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir, ["ts", "user_id", "event_type", "props"])
+def click(spark: SparkSession, sf_dir: str, after_ms: int | None = None,
+          until_ms: int | None = None) -> DataFrame:
+    ev = between(events(spark, sf_dir, ["ts", "user_id", "event_type", "props"]),
+                 after_ms, until_ms)
     ts_ms = epoch_millis("ts")
     return (ev.filter(F.col("event_type") != "signup")
               .select(F.col("user_id").alias(POST_ID),
@@ -103,6 +122,43 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_id").alias("doc_id"), F.to_json(doc).alias("value"))
 
 
+# What every event_id modulo 16 becomes in ``raw_events_mixed``.
+MIXED_KINDS = {
+    0: "cut off (invalid JSON)", 1: "array document", 2: "scalar document",
+    3: "post id as a string", 4: "post id that is no number", 5: "no post id",
+    6: "no type", 7: "timestamp without zone", 8: "user-keyed event", 9: "user-keyed, no user",
+    10: "other event", 11: "nested arrays, dotted and case-colliding keys, large integer",
+}
+
+
+def raw_events_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`raw_events`, but with malformed and unusual documents mixed in."""
+    raw = raw_events(spark, sf_dir)
+    v, kind = F.col("value"), F.col("doc_id") % 16
+
+    def swap(pattern: str, to: str) -> Column:
+        return F.regexp_replace(v, pattern, to)
+
+    name = '"event":"[^"]*"'
+    value = (F.when(kind == 0, F.expr("substring(value, 1, length(value) - 5)"))
+             .when(kind == 1, F.concat(F.lit("["), v, F.lit("]")))
+             .when(kind == 2, F.lit("5"))
+             .when(kind == 3, swap('"shoppable_post_id":([0-9]+)', '"shoppable_post_id":"$1"'))
+             .when(kind == 4, swap('"shoppable_post_id":[0-9]+', '"shoppable_post_id":"abc"'))
+             .when(kind == 5, swap('"shoppable_post_id":[0-9]+,?', ""))
+             .when(kind == 6, swap('"type":"track",', ""))
+             .when(kind == 7, swap('Z","userId"', '","userId"'))
+             .when(kind == 8, swap(name, '"event":"Assigned AB Test Shard"'))
+             .when(kind == 9, F.regexp_replace(swap(name, '"event":"Assigned AB Test Shard"'),
+                                               '"userId":"[^"]*",', ""))
+             .when(kind == 10, swap(name, '"event":"Other Event"'))
+             .when(kind == 11, F.concat(
+                 F.lit('{"items":[{"sku":"s","sizes":[1,[2,3]]}],"e.f":1,"K":"upper","k":"lower",'
+                       '"big":1152921504606846977,"mixed":0.10,'), F.expr("substring(value, 2)")))
+             .otherwise(v))
+    return raw.select("doc_id", value.alias("value"))
+
+
 def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heartbeat log: one row per event, component = event_type."""
     ev = events(spark, sf_dir, ["ts", "event_type"])

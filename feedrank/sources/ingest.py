@@ -1,29 +1,34 @@
 """Raw event ingest: JSON documents -> flat records routed to per-event topics.
 
-Steps, all column expressions over a DataFrame of raw JSON strings:
-
-1. parse with a declared schema, or with one inferred by a distributed
-   aggregate (``schema_of_variant_agg``; only the merged schema string reaches
-   the driver);
-2. flatten nested objects to one level, names joined by ``_``, array items by
-   index (``a_0``, ``a_1``...);
-3. stamp ``segment_timestamp`` (epoch ms of the ISO-8601 UTC ``timestamp``)
+One pass over the documents, no schema and no action beforehand:
+
+1. parse each document once and flatten nested objects and arrays to one level,
+   names joined by ``_``, array items by index (``a_0``, ``a_1``...). Any depth,
+   any width, any key is kept; numbers keep their exact text. When two paths
+   flatten to one name, the later in document order wins. This step is a small
+   Arrow-batched Python function: a tree of unknown depth has no fixed set of
+   columns, so the flat record is one JSON string (``flat``);
+2. stamp ``segment_timestamp`` (epoch ms of the ISO-8601 UTC ``timestamp``)
    and ``ingest_timestamp``;
-4. derive the topic (alphanumerics of ``type`` + ``event``, then
+3. derive the topic (alphanumerics of ``type`` + ``event``, then
    ``_00_raw_flatJSON``) and the partition key;
-5. split malformed documents into a dead-letter frame with a ``reason``
-   (the reference rejected such requests with an error).
+4. split off dead letters with a ``reason`` and their raw ``value`` (the
+   reference rejected such requests with an error).
+
+Steps 2-4 are column expressions. The same code serves batch and streams.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedrank.schemas import RAW_EVENT
+from feedrank.session import ship_package
 
 # Fixed values of the ingest step.
 TOPIC_SUFFIX = "_00_raw_flatJSON"
@@ -33,114 +38,126 @@ ISO_UTC_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}Z$"
 ISO_UTC_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSX"
 CLICK_TOPIC = "trackViewedShoppableFit" + TOPIC_SUFFIX
 CREATE_POST_TOPIC = "trackCreatedStory" + TOPIC_SUFFIX
+STAMPS = ("segment_timestamp", "ingest_timestamp")
+
+PARSED = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("problem", "flat", "type", "event", "timestamp",
+                                                "post_id")]
+    + [T.StructField("has_post_id", T.BooleanType()), T.StructField("user_id", T.StringType())])
+INTEGER = re.compile(r"\s*[+-]?[0-9]+\s*\Z")
 
 
 # --------------------------------------------------------------------------
-# schema
+# parse and flatten
 # --------------------------------------------------------------------------
 
-def infer_schema(raw: DataFrame, value_col: str = "value") -> T.StructType:
-    """Merged schema of all documents, computed as one distributed aggregate.
+class _Number(str):
+    """A JSON number as its own text."""
+
+
+def _no_constant(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
+def flatten_value(doc: dict) -> dict:
+    """One level of names for a parsed object; empty containers stay as values."""
+    out: dict = {}
+    stack = [iter([("", doc)])]
+    while stack:
+        try:
+            name, value = next(stack[-1])
+        except StopIteration:
+            stack.pop()
+            continue
+        prefix = name + "_" if name else ""
+        if isinstance(value, dict) and value:
+            stack.append(iter([(prefix + k, v) for k, v in value.items()]))
+        elif isinstance(value, list) and value:
+            stack.append(iter([(f"{prefix}{i}", v) for i, v in enumerate(value)]))
+        else:
+            out.pop(name, None)
+            out[name] = value
+    return out
 
-    Exact decimals of JSON numbers are widened to DOUBLE.
-    """
-    s = (raw.select(F.expr(f"schema_of_variant_agg(try_parse_json({value_col}))").alias("s"))
-            .first()["s"])
-    if not s or not s.startswith("OBJECT<"):
-        return T.StructType([])
-    ddl = s.replace("OBJECT<", "STRUCT<")
-    ddl = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
-    ddl = ddl.replace("VARIANT", "STRING")
-    dt = T._parse_datatype_string(ddl)
-    return dt
-
-
-def parse(raw: DataFrame, schema: T.StructType | None = None,
-          value_col: str = "value") -> DataFrame:
-    """Add a ``doc`` struct column (null for invalid JSON) and ``_valid_json``."""
-    schema = schema if schema is not None else RAW_EVENT
-    # The one-element explode is a barrier: filters on flat fields (e.g. the
-    # dead-letter split) cannot be pushed below it, which would otherwise
-    # substitute - and re-run - from_json once per referenced field.
-    return raw.select(
-        *[c for c in raw.columns if c != value_col],
-        F.expr(f"try_parse_json({value_col})").isNotNull().alias("_valid_json"),
-        F.explode(F.array(F.from_json(F.col(value_col), schema))).alias("doc"))
 
+def _text(value) -> str | None:
+    if not isinstance(value, str) or isinstance(value, _Number):
+        return None
+    return value.encode("utf-8", "replace").decode("utf-8")      # lone surrogates
 
-# --------------------------------------------------------------------------
-# flatten
-# --------------------------------------------------------------------------
 
-def _array_paths(dt: T.DataType, path: tuple = ()) -> list[tuple]:
-    out = []
-    if isinstance(dt, T.StructType):
-        for f in dt.fields:
-            out += _array_paths(f.dataType, path + (f.name,))
-    elif isinstance(dt, T.ArrayType):
-        out.append(path)
-    return out
+def _whole(value) -> str | None:
+    """An integer's decimal text, read as ``int(...)`` reads numbers and strings."""
+    if isinstance(value, str) and INTEGER.match(value):
+        return str(int(value)) if len(value) < 1000 else None
+    if isinstance(value, _Number):
+        try:
+            return str(int(float(value)))
+        except OverflowError:
+            return None
+    return None
 
 
-def _get(base: Column, path: tuple) -> Column:
-    c = base
-    for p in path:
-        c = c.getField(p)
-    return c
-
-
-def array_sizes(df: DataFrame, schema: T.StructType, doc_col: str = "doc") -> dict[tuple, int]:
-    """Largest size of every array reachable through structs (one aggregate)."""
-    paths = _array_paths(schema)
-    if not paths:
-        return {}
-    row = df.agg(*[F.max(F.size(_get(F.col(doc_col), p))).alias(f"_a{i}")
-                   for i, p in enumerate(paths)]).first()
-    return {p: max(int(row[f"_a{i}"] or 0), 0) for i, p in enumerate(paths)}
-
-
-def flat_columns(dt: T.DataType, base: Column, name: str, sizes: dict[tuple, int],
-                 path: tuple = (), sep: str = "_") -> list[tuple[str, Column]]:
-    """(flat name, Column) pairs for one value, recursing through structs/arrays."""
-    if isinstance(dt, T.StructType):
-        out = []
-        for f in dt.fields:
-            child = f"{name}{sep}{f.name}" if name else f.name
-            out += flat_columns(f.dataType, base.getField(f.name), child, sizes,
-                                path + (f.name,), sep)
-        return out
-    if isinstance(dt, T.ArrayType):
-        n = sizes.get(path, 0)
-        out = []
-        for i in range(n):
-            el = F.get(base, i)
-            if isinstance(dt.elementType, (T.StructType,)):
-                out += flat_columns(dt.elementType, el, f"{name}{sep}{i}", {}, (), sep)
-            elif isinstance(dt.elementType, T.ArrayType):
-                out.append((f"{name}{sep}{i}", F.to_json(el)))
-            else:
-                out.append((f"{name}{sep}{i}", el))
-        return out
-    return [(name, base)]
-
-
-def flatten(df: DataFrame, schema: T.StructType, doc_col: str = "doc",
-            sizes: dict[tuple, int] | None = None, keep: list[str] | None = None) -> DataFrame:
-    """Replace the ``doc`` struct by its flat columns.
-
-    ``sizes`` gives the number of items per array path (declared for streams;
-    measured with :func:`array_sizes` in batch). When two paths flatten to the
-    same name (``a_b`` and ``a.b``), the later one in schema order wins where
-    it is non-null.
-    """
-    if sizes is None:
-        sizes = array_sizes(df, schema, doc_col)
-    pairs = flat_columns(schema, F.col(doc_col), "", sizes)
-    merged: dict[str, Column] = {}
-    for n, c in pairs:
-        merged[n] = F.coalesce(c, merged[n]) if n in merged else c
-    keep = keep or [c for c in df.columns if c not in (doc_col, "_valid_json")]
-    return df.select(*keep, *[c.alias(n) for n, c in merged.items()])
+def _dump(flat: dict) -> str:
+    def pair(k, v, ascii_only: bool) -> str:
+        leaf = str(v) if isinstance(v, _Number) else json.dumps(v, ensure_ascii=ascii_only)
+        return f"{json.dumps(k, ensure_ascii=ascii_only)}:{leaf}"
+
+    text = "{" + ",".join([pair(k, v, False) for k, v in flat.items()]) + "}"
+    try:
+        text.encode("utf-8")
+    except UnicodeEncodeError:
+        text = "{" + ",".join([pair(k, v, True) for k, v in flat.items()]) + "}"
+    return text
+
+
+def parse_document(value: str | None) -> tuple:
+    """The fields of ``PARSED`` for one raw document."""
+    try:
+        doc = json.loads(value or "", parse_int=_Number, parse_float=_Number,
+                         parse_constant=_no_constant)
+        if not isinstance(doc, dict):
+            return ("not_an_object", *[None] * 7)
+        flat = flatten_value(doc)
+    except (ValueError, RecursionError):
+        return ("invalid_json", *[None] * 7)
+    for name in STAMPS:
+        flat.pop(name, None)                                     # set by the ingest step
+    post, user = flat.get("properties_shoppable_post_id"), flat.get("userId")
+    return (None, _dump(flat), _text(flat.get("type")), _text(flat.get("event")),
+            _text(flat.get("timestamp")), _whole(post), post is not None,
+            str(user) if isinstance(user, _Number) else _text(user))
+
+
+def _parse_batch(values: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([parse_document(v) for v in values],
+                        columns=PARSED.names)
+
+
+# Not to be pushed below or repeated in filters: one parse a document.
+_parse_udf = F.pandas_udf(_parse_batch, PARSED).asNondeterministic()
+
+
+def parse(raw: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """``keep`` columns, the raw ``value`` and the fields of ``PARSED``."""
+    ship_package(raw.sparkSession)
+    keep = keep if keep is not None else [c for c in raw.columns if c != value_col]
+    return (raw.select(*keep, F.col(value_col).alias("value"),
+                       _parse_udf(F.col(value_col)).alias("_doc"))
+            .select(*keep, "value", "_doc.*"))
+
+
+def flat_fields(ingested: DataFrame, schema: str, keep: list[str] | None = None) -> DataFrame:
+    """Typed columns of the flat record (DDL ``schema``); others stay unread."""
+    return _typed(ingested, "flat", T._parse_datatype_string(schema), keep or [])
+
+
+def _typed(df: DataFrame, column: str, schema: T.StructType, keep: list[str]) -> DataFrame:
+    # Read as text first: a number sent as a string still casts.
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    return (df.select(*keep, F.from_json(column, texts).alias("_r"))
+            .select(*keep, *[F.col("_r").getField(f.name).try_cast(f.dataType).alias(f.name)
+                             for f in schema.fields]))
 
 
 # --------------------------------------------------------------------------
@@ -162,77 +179,56 @@ def topic_of(type_col: Column, event_col: Column) -> Column:
 
 def key_of(event_col: Column, post_id_col: Column, user_id_col: Column) -> Column:
     """Partition key as a string: post id, user id, or ``0``."""
-    return (F.when(event_col.isin(*POST_KEYED_EVENTS), post_id_col.cast("long").cast("string"))
-             .when(event_col.isin(*USER_KEYED_EVENTS), user_id_col.cast("string"))
+    return (F.when(event_col.isin(*POST_KEYED_EVENTS), post_id_col)
+             .when(event_col.isin(*USER_KEYED_EVENTS), user_id_col)
              .otherwise(F.lit("0")))
 
 
-def reason_of(flat: DataFrame) -> Column:
-    """Dead-letter reason for a flat record, null when the record is valid."""
-    cols = set(flat.columns)
-
-    def c(n):
-        return F.col(n) if n in cols else F.lit(None)
+def reason_of() -> Column:
+    """Dead-letter reason of a parsed document, null when it is valid."""
+    posts = F.col("event").isin(*POST_KEYED_EVENTS)
+    return (F.when(F.col("problem").isNotNull(), F.col("problem"))
+             .when(F.col("type").isNull() | F.col("event").isNull(), F.lit("missing_type_or_event"))
+             .when(iso_to_epoch_millis(F.col("timestamp")).isNull(), F.lit("bad_timestamp"))
+             .when(posts & ~F.col("has_post_id"), F.lit("missing_post_id"))
+             .when(posts & F.col("post_id").isNull(), F.lit("bad_post_id"))
+             .when(F.col("event").isin(*USER_KEYED_EVENTS) & F.col("user_id").isNull(),
+                   F.lit("missing_user_id")))
 
-    ev = c("event")
-    return (F.when(~F.col("_valid_json"), F.lit("invalid_json"))
-             .when(c("type").isNull() | ev.isNull(), F.lit("missing_type_or_event"))
-             .when(iso_to_epoch_millis(c("timestamp")).isNull(), F.lit("bad_timestamp"))
-             .when(ev.isin(*POST_KEYED_EVENTS) & c("properties_shoppable_post_id").isNull(),
-                   F.lit("missing_post_id"))
-             .when(ev.isin(*USER_KEYED_EVENTS) & c("userId").isNull(), F.lit("missing_user_id")))
 
-
-def ingest(raw: DataFrame, ingest_ts_ms: Column | int, schema: T.StructType | None = None,
-           sizes: dict[tuple, int] | None = None, value_col: str = "value",
+def ingest(raw: DataFrame, ingest_ts_ms: Column | int, value_col: str = "value",
            keep: list[str] | None = None) -> DataFrame:
     """Raw documents -> flat records with segment/ingest time, topic, key, reason.
 
     ``ingest_ts_ms``: the ingest stamp (``unix_millis(current_timestamp())`` in a
-    live job; a literal in tests). ``schema=None`` infers it from the data.
+    live job; a literal in tests).
     """
-    from feedrank.sources.tables import ensure_parallel
-    if raw.isStreaming:
-        # A stream cannot be scanned ahead: the schema and array sizes are declared.
-        schema = schema if schema is not None else RAW_EVENT
-        sizes = sizes if sizes is not None else {p: 0 for p in _array_paths(schema)}
-    else:
-        raw = ensure_parallel(raw)
-        if schema is None:
-            schema = infer_schema(raw, value_col)
-    parsed = parse(raw, schema, value_col)
     keep = keep if keep is not None else [c for c in raw.columns if c != value_col]
-    flat = flatten(parsed, schema, "doc", sizes, keep=keep + ["_valid_json"])
     stamp = ingest_ts_ms if isinstance(ingest_ts_ms, Column) else F.lit(int(ingest_ts_ms))
-    cols = set(flat.columns)
-
-    def c(n):
-        return F.col(n) if n in cols else F.lit(None).cast("string")
-
-    flat_names = [n for n in flat.columns if n not in keep and n != "_valid_json"]
-    return flat.select(
-        *keep, *flat_names,
-        iso_to_epoch_millis(c("timestamp")).alias("segment_timestamp"),
+    return parse(raw, value_col, keep).select(
+        *keep, "value", "flat", "type", "event", "timestamp",
+        iso_to_epoch_millis(F.col("timestamp")).alias("segment_timestamp"),
         stamp.cast("long").alias("ingest_timestamp"),
-        topic_of(c("type"), c("event")).alias("topic"),
-        key_of(c("event"), c("properties_shoppable_post_id"), c("userId")).alias("key"),
-        reason_of(flat).alias("reason"))
+        topic_of(F.col("type"), F.col("event")).alias("topic"),
+        key_of(F.col("event"), F.col("post_id"), F.col("user_id")).alias("key"),
+        reason_of().alias("reason"))
 
 
 def records(ingested: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Valid records as (topic, key, value JSON) ready for a file or Kafka sink."""
-    meta = set(keep or []) | {"topic", "key", "reason"}
-    body = [c for c in ingested.columns if c not in meta]
+    stamps = F.concat(*[x for n in STAMPS for x in (F.lit(f',"{n}":'), F.col(n).cast("string"))])
+    body = F.expr("substring(flat, 1, length(flat) - 1)")
     return (ingested.filter(F.col("reason").isNull())
-                    .select(*(keep or []), "topic", "key",
-                            F.to_json(F.struct(*body)).alias("value")))
+            .select(*(keep or []), "topic", "key",
+                    F.concat(body, stamps, F.lit("}")).alias("value")))
 
 
-def dead_letters(ingested: DataFrame, raw_cols: list[str] | None = None) -> DataFrame:
-    return ingested.filter(F.col("reason").isNotNull())
+def dead_letters(ingested: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Rejected documents: ``keep`` columns, the raw ``value`` and the ``reason``."""
+    return (ingested.filter(F.col("reason").isNotNull())
+            .select(*(keep or []), "value", "reason"))
 
 
 def scan_topic(routed: DataFrame, topic: str, schema: T.StructType) -> DataFrame:
     """Declared-schema scan of one topic: only the declared fields are read."""
-    return (routed.filter(F.col("topic") == topic)
-                  .select(F.from_json("value", schema).alias("r")).select("r.*"))
+    return _typed(routed.filter(F.col("topic") == topic), "value", schema, [])

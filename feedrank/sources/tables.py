@@ -28,17 +28,3 @@ def epoch_millis(col) -> "F.Column":
     """
     c = F.col(col) if isinstance(col, str) else col
     return F.unix_millis(c.cast("timestamp"))
-
-
-def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a CPU-heavy per-row stage over all task slots.
-
-    A scan yields one partition per file split; a few large row groups give
-    fewer splits than cores. Only then is the input redistributed (round robin,
-    no key); on a cluster reading many files this is a no-op.
-    """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

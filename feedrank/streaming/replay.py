@@ -80,17 +80,19 @@ _CACHE: dict = {}
 def replayed(spark: SparkSession, sf_dir: str) -> topo.LiveConfig:
     """Replay once per (session, sf_dir) and reuse the result folders."""
     from feedrank.session import scratch_dir
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         cfg = topo.LiveConfig(root=scratch_dir(spark, "live"))
         stats = replay(spark, sf_dir, cfg)
+        if stats["dropped_q1"] or stats["dropped_q2"]:
+            raise RuntimeError(f"the replay dropped late rows: {stats}")
         _CACHE[key] = (cfg, stats)
     return _CACHE[key][0]
 
 
 def replay_stats(spark: SparkSession, sf_dir: str) -> dict:
     replayed(spark, sf_dir)
-    return _CACHE[(id(spark), sf_dir)][1]
+    return _CACHE[(spark.sparkContext.applicationId, sf_dir)][1]
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:

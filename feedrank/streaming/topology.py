@@ -20,10 +20,12 @@ Snapshot publisher (inside query 2's ``foreachBatch``)
     Keeps a compacted live table (previous live table + this batch's changes,
     latest per post, sliding window) written as ``live/version=<batch_id>``:
     the cost per batch is the live window plus the changes, never the whole
-    changelog. It scores with the config in force (re-read from the config
-    history every batch: parameters change without restart), writes the
-    snapshot rows, and - at most once per ``csv_interval_ms`` - the score CSV
-    plus a push-log record.
+    changelog; superseded versions are deleted. It scores with the scorer and the
+    config in force (re-read every batch: both change without restart), records
+    a config it takes up in ``config_running``, writes the snapshot rows, and -
+    at most once per ``csv_interval_ms``, by the stored push log - the score CSV
+    plus a push-log record. Everything is keyed by the batch id, so a retried
+    batch replaces its own output.
 
 Equality with the batch path holds when query 2 takes each query-1 batch
 whole (no ``maxFilesPerTrigger`` on query 2) and data arrives within the
@@ -45,7 +47,7 @@ from feedrank.operators.counts import count_aggregates
 from feedrank.operators.live_table import DAY_MS, in_window, latest_per_key
 from feedrank.schemas import (CHANGELOG, CLICK, CLICK_RECENT, COUNT_COLUMNS, COUNTS, CREATE_POST,
                               POST_ID)
-from feedrank.session import path_exists
+from feedrank.session import delete_path, path_exists
 
 HOUR_MS = 60 * 60 * 1000
 
@@ -105,8 +107,19 @@ def enriched_stream(create_post: DataFrame, click: DataFrame, horizon_ms: int,
 
 def start_enriched(spark: SparkSession, cfg: LiveConfig, click_dir: str,
                    create_dir: str) -> StreamingQuery:
-    ck = spark.readStream.schema(CLICK).parquet(click_dir)
-    cp = spark.readStream.schema(CREATE_POST).parquet(create_dir)
+    """Query 1 over typed CLICK / CREATE_POST folders."""
+    return start_enriched_streams(cfg, spark.readStream.schema(CLICK).parquet(click_dir),
+                                  spark.readStream.schema(CREATE_POST).parquet(create_dir))
+
+
+def start_enriched_routed(spark: SparkSession, cfg: LiveConfig, routed_dir: str) -> StreamingQuery:
+    """Query 1 over the routed records that :func:`start_ingest` writes."""
+    from feedrank.sources import ingest as ing
+    return start_enriched_streams(cfg, topic_stream(spark, routed_dir, ing.CLICK_TOPIC, CLICK),
+                                  topic_stream(spark, routed_dir, ing.CREATE_POST_TOPIC, CREATE_POST))
+
+
+def start_enriched_streams(cfg: LiveConfig, ck: DataFrame, cp: DataFrame) -> StreamingQuery:
     out = enriched_stream(cp, ck, cfg.horizon_ms, cfg.lateness_ms)
     return (out.writeStream.format("parquet").outputMode("append")
                .option("path", cfg.path("enriched"))
@@ -133,11 +146,15 @@ def _write_changes(batch: DataFrame, batch_id: int, cfg: LiveConfig) -> None:
         cfg.path(f"changelog/version={int(batch_id)}"))
 
 
-def start_counts(spark: SparkSession, cfg: LiveConfig, clock=None) -> StreamingQuery:
-    """Start query 2. ``clock(batch_id) -> epoch ms`` is the snapshot time."""
+def start_counts(spark: SparkSession, cfg: LiveConfig, clock=None, scorer=None) -> StreamingQuery:
+    """Start query 2.
+
+    ``clock(batch_id) -> epoch ms`` is the snapshot time; ``scorer()`` gives the
+    scoring function of the next snapshot (default: the built-in one).
+    """
     enriched = spark.readStream.schema(CLICK_RECENT).parquet(cfg.path("enriched"))
     counts = counts_stream(enriched, cfg.horizon_ms, cfg.lateness_ms)
-    publisher = SnapshotPublisher(spark, cfg, clock) if cfg.publish_snapshots else None
+    publisher = SnapshotPublisher(spark, cfg, clock, scorer) if cfg.publish_snapshots else None
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         _write_changes(batch, batch_id, cfg)
@@ -181,10 +198,13 @@ def compact_changelog(spark: SparkSession, cfg: LiveConfig, retain_after_ms: int
     switch to it once its ``_SUCCESS`` marker exists, so a failed compaction is
     never read. Returns the mark, or None when there is nothing to compact.
     """
-    vs = _versions(spark, cfg.path("changelog"), "version=")
-    if not vs:
+    mark = None
+    for v in _versions(spark, cfg.path("changelog"), "version="):
+        if not path_exists(spark, cfg.path(f"changelog/version={v}/_SUCCESS")):
+            break           # being written: neither it nor a later one may be folded yet
+        mark = v
+    if mark is None:
         return None
-    mark = vs[-1]
     cl = read_changelog(spark, cfg).filter(F.col("version") <= F.lit(mark))
     if retain_after_ms is not None:
         cl = cl.filter(F.col("post_timestamp") > F.lit(int(retain_after_ms)))
@@ -215,29 +235,42 @@ def current_counts(spark: SparkSession, cfg: LiveConfig) -> DataFrame:
 class SnapshotPublisher:
     """Maintains the compacted live table and publishes scored snapshots."""
 
-    def __init__(self, spark: SparkSession, cfg: LiveConfig, clock=None):
+    def __init__(self, spark: SparkSession, cfg: LiveConfig, clock=None, scorer=None):
         self.spark = spark
         self.cfg = cfg
         self.clock = clock or (lambda batch_id: int(time.time() * 1000))
-        self.last_csv_ms: int | None = None
+        self.scorer = scorer or (lambda: None)
 
     def _previous_live(self, batch_id: int) -> DataFrame | None:
         """The newest complete live table written by an earlier batch."""
-        from feedrank.session import list_names
-        versions = []
-        for name in list_names(self.spark, self.cfg.path("live")):
-            if name.startswith("version="):
-                v = int(name.split("=", 1)[1])
-                if v < int(batch_id) and path_exists(
-                        self.spark, self.cfg.path(f"live/version={v}/_SUCCESS")):
-                    versions.append(v)
-        if not versions:
-            return None
-        return self.spark.read.parquet(self.cfg.path(f"live/version={max(versions)}"))
+        for v in reversed(_versions(self.spark, self.cfg.path("live"), "version=")):
+            if v < int(batch_id) and path_exists(
+                    self.spark, self.cfg.path(f"live/version={v}/_SUCCESS")):
+                return self.spark.read.parquet(self.cfg.path(f"live/version={v}"))
+        return None
+
+    def _drop_superseded(self, batch_id: int, keep: int = 2) -> None:
+        """Delete live tables older than the last ``keep`` (a retry reads the one before)."""
+        old = [v for v in _versions(self.spark, self.cfg.path("live"), "version=") if v <= batch_id]
+        for v in old[:-keep]:
+            delete_path(self.spark, self.cfg.path(f"live/version={v}"))
+
+    def _running_config(self, as_of: int, batch_id: int) -> DataFrame:
+        """The config in force, recorded when it is not the one recorded last."""
+        from feedrank.operators.config import PARAMS, config_latest, read_history
+        history = read_history(self.spark, self.cfg.path("config_history"))
+        conf = config_latest(history.filter(F.col("ts_ms") <= F.lit(as_of)))
+        values = conf.select(*PARAMS).first()
+        log = self.cfg.path("config_running")
+        before = config_latest(read_history(self.spark, log).filter(F.col("ts_ms") < F.lit(as_of)))
+        last = before.first()
+        if last["ts_ms"] is None or tuple(last)[1:] != tuple(values):
+            (conf.withColumn("ts_ms", F.lit(as_of).cast("long")).select("ts_ms", *PARAMS)
+             .write.mode("overwrite").parquet(f"{log}/batch={int(batch_id)}"))
+        return conf
 
     def publish(self, batch_id: int) -> str:
-        from feedrank.functions.timefmt import pacific_compact_py
-        from feedrank.operators.config import config_latest, read_history, score_with_config_frame
+        from feedrank.operators.config import score_with_config_frame
         from feedrank.sinks import writers
         spark, cfg = self.spark, self.cfg
         as_of = int(self.clock(batch_id))
@@ -250,18 +283,18 @@ class SnapshotPublisher:
         live_path = cfg.path(f"live/version={int(batch_id)}")
         live.write.mode("overwrite").parquet(live_path)     # cuts the lineage
         live = spark.read.parquet(live_path)
-        history = read_history(spark, cfg.path("config_history"))
-        conf = config_latest(history.filter(F.col("ts_ms") <= F.lit(as_of)))  # in force at as_of
-        scored = score_with_config_frame(live.drop("version"), conf) \
+        conf = self._running_config(as_of, batch_id)
+        scored = score_with_config_frame(live.drop("version"), conf, self.scorer()) \
             .withColumn("snapshot_ts", F.lit(as_of).cast("long"))
-        scored.write.mode("overwrite").parquet(cfg.path(f"snapshots/snapshot_ts={as_of}"))
-        if self.last_csv_ms is None or as_of - self.last_csv_ms >= cfg.csv_interval_ms:
-            name = writers.write_score_csv(scored, cfg.path("csv"), as_of)
-            writers.append_push_log(spark, cfg.path("push_log"), as_of,
-                                    f"rtscore_{pacific_compact_py(as_of)}.csv")
-            self.last_csv_ms = as_of
-            return name
-        return ""
+        scored.write.mode("overwrite").parquet(cfg.path(f"snapshots/batch={int(batch_id)}"))
+        self._drop_superseded(int(batch_id))
+        last = (writers.read_push_log(spark, cfg.path("push_log"))
+                .filter(F.col("ts_ms") < F.lit(as_of)).agg(F.max("ts_ms")).first()[0])
+        if last is not None and as_of - last < cfg.csv_interval_ms:
+            return ""
+        name = writers.write_score_csv(scored, cfg.path("csv"), as_of)
+        writers.write_push_log(spark, cfg.path("push_log"), as_of, writers.csv_name(as_of), batch_id)
+        return name
 
 
 # --------------------------------------------------------------------------
@@ -270,41 +303,55 @@ class SnapshotPublisher:
 
 def start_heartbeat(spark: SparkSession, component: str, table_path: str, ckpt: str,
                     interval_s: int = 120) -> StreamingQuery:
-    """A ``rate`` stream writing one heartbeat row per interval for a component."""
-    hb = (spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-               .select(F.lit(component).alias("component"), F.col("timestamp").alias("ts")))
-    return (hb.writeStream.format("parquet").outputMode("append")
-              .option("path", table_path).option("checkpointLocation", ckpt)
-              .trigger(processingTime=f"{int(interval_s)} seconds").start())
+    """One heartbeat row per interval for a component.
+
+    A ``rate`` stream only sets the pace; each micro-batch is one row, its newest
+    tick, kept under the batch id.
+    """
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+    def beat(batch: DataFrame, batch_id: int) -> None:
+        (batch.agg(F.max("timestamp").alias("ts")).filter("ts is not null")
+         .select(F.lit(component).alias("component"), "ts")
+         .write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/batch={int(batch_id)}"))
+
+    return (ticks.writeStream.foreachBatch(beat).option("checkpointLocation", ckpt)
+            .trigger(processingTime=f"{int(interval_s)} seconds").start())
 
 
 def dropped_rows(q: StreamingQuery) -> int:
-    """Rows dropped by watermarks in the last progress (alert when > 0)."""
-    p = q.lastProgress or {}
+    """Rows dropped by watermarks in all progress the query still holds (alert when > 0)."""
     return sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
-               for op in p.get("stateOperators", []))
+               for p in q.recentProgress for op in p.get("stateOperators", []))
 
 
 # --------------------------------------------------------------------------
 # Live ingest: raw JSON lines -> routed flat records
 # --------------------------------------------------------------------------
 
-def start_ingest(spark: SparkSession, raw_dir: str, out_dir: str, ckpt: str,
-                 schema=None, sizes: dict | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Read JSON lines, stamp the ingest time, write valid records per topic.
+def start_ingest(spark: SparkSession, raw_dir: str | None, out_dir: str, ckpt: str,
+                 trigger: dict | None = None, source: str = "text",
+                 options: dict | None = None) -> StreamingQuery:
+    """Read raw documents, stamp the ingest time, write valid records per topic.
 
-    Dead letters go to ``<out_dir>/_dead_letter`` in the same micro-batch.
+    ``source`` / ``options`` name any streaming source with a ``value`` column
+    (``text`` folders by default, ``kafka`` where its connector is installed).
+    Dead letters, with their raw value, go to ``<out_dir>_dead_letter``. Both are
+    written under the batch id: a retried batch replaces its own output.
     """
+    from feedrank.sinks import writers
     from feedrank.sources import ingest as ing
-    raw = spark.readStream.text(raw_dir)
-    flat = ing.ingest(raw, F.unix_millis(F.current_timestamp()), schema=schema, sizes=sizes,
-                      keep=[])
+    reader = spark.readStream.format(source).options(**(options or {}))
+    raw = (reader.load(raw_dir) if raw_dir else reader.load()).select(
+        F.col("value").cast("string").alias("value"))
+    flat = ing.ingest(raw, F.unix_millis(F.current_timestamp()), keep=[])
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            ing.records(batch).write.mode("append").partitionBy("topic").parquet(out_dir)
-            ing.dead_letters(batch).write.mode("append").parquet(out_dir.rstrip("/") + "_dead_letter")
+            writers.write_routed_batch(ing.records(batch), out_dir, batch_id)
+            (ing.dead_letters(batch).write.mode("overwrite")
+             .parquet(f"{out_dir.rstrip('/')}_dead_letter/batch={int(batch_id)}"))
         finally:
             batch.unpersist()
 
@@ -315,5 +362,6 @@ def start_ingest(spark: SparkSession, raw_dir: str, out_dir: str, ckpt: str,
 def topic_stream(spark: SparkSession, routed_dir: str, topic: str, schema) -> DataFrame:
     """Declared-schema stream of one routed topic (CLICK or CREATE_POST)."""
     from feedrank.sources import ingest as ing
-    routed = spark.readStream.schema("key string, value string, topic string").parquet(routed_dir)
+    routed = (spark.readStream.schema("key string, value string, topic string, batch long")
+              .parquet(routed_dir))
     return ing.scan_topic(routed, topic, schema)

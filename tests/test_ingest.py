@@ -24,7 +24,7 @@ def test_reasons(spark):
         {"type": "track", "event": "Assigned AB Test Shard", "timestamp": "2019-09-21T20:31:07.9Z"},
         {"type": "identify", "event": "Other", "timestamp": "2019-09-21T20:31:07.942123Z"},
     ]
-    out = ing.ingest(frame(spark, docs), 123, schema=None, keep=["doc_id"])
+    out = ing.ingest(frame(spark, docs), 123, keep=["doc_id"])
     got = dict(rows(out, "doc_id", "reason"))
     assert got == {0: None, 1: "invalid_json", 2: "missing_type_or_event", 3: "bad_timestamp",
                    4: "missing_post_id", 5: "missing_user_id", 6: None}
@@ -42,16 +42,47 @@ def test_fraction_digits(spark):
     assert got == [1569097867900, 1569097867942, 1569097867942]
 
 
-def test_flatten_nested_arrays_and_collisions(spark):
-    docs = [dict(GOOD, context={"tags": ["a", "b", "c"], "deep": {"x": [1, 2]}}),
-            dict(GOOD, context={"tags": ["z"]}, a_b=1, a={"b": 2})]
+def flat_of(spark, docs):
     out = ing.ingest(frame(spark, docs), 0, keep=["doc_id"])
-    cols = set(out.columns)
-    assert {"context_tags_0", "context_tags_1", "context_tags_2", "context_deep_x_0",
-            "context_deep_x_1", "properties_shoppable_post_id", "a_b"} <= cols
-    r = {x.doc_id: x for x in out.collect()}
-    assert r[0].context_tags_2 == "c" and r[1].context_tags_1 is None
-    assert r[1].a_b == 1   # colliding names: the later path in schema order (a < a_b) wins
+    return {r.doc_id: json.loads(r.flat) for r in out.collect() if r.flat}
+
+
+def test_flatten_nested_arrays_and_collisions(spark):
+    docs = [dict(GOOD, context={"tags": ["a", "b", "c"], "deep": {"x": [1, [2, {"y": 3}]]}}),
+            dict(GOOD, a_b=1, a={"b": 2}), dict(GOOD, a={"b": 2}, a_b=1),
+            dict(GOOD, **{"e.f": 1, "K": 1, "k": 2, "empty": {}, "none": []})]
+    got = flat_of(spark, docs)
+    assert got[0]["context_tags_2"] == "c" and got[0]["context_deep_x_1_1_y"] == 3
+    assert got[1]["a_b"] == 2 and got[2]["a_b"] == 1          # later in document order wins
+    assert got[3]["e.f"] == 1 and (got[3]["K"], got[3]["k"]) == (1, 2)
+    assert got[3]["empty"] == {} and got[3]["none"] == []
+
+
+def test_numbers_keep_their_text(spark):
+    raw = json.dumps(GOOD)[:-1] + ', "a": 9007199254740993, "b": 1.10, "c": 123456789012345678901234567890}'
+    flat = ing.ingest(frame(spark, [raw]), 0, keep=["doc_id"]).first().flat
+    assert '"a":9007199254740993' in flat and '"b":1.10' in flat
+    assert '"c":123456789012345678901234567890' in flat
+
+
+def test_bad_documents_never_stop_or_hide_others(spark):
+    post = lambda v: dict(GOOD, properties={"shoppable_post_id": v})
+    docs = [GOOD, "[1, 2]", "5", "null", post("42"), post("abc"), post(None), post([1]), post(7.0),
+            '{"a": NaN}', "[" * 3000, dict(GOOD, type=5), dict(GOOD, x="\ud800"), "", post(10 ** 30)]
+    out = {r.doc_id: r for r in ing.ingest(frame(spark, docs), 0, keep=["doc_id"]).collect()}
+    assert [out[i].reason for i in range(len(docs))] == [
+        None, "not_an_object", "not_an_object", "not_an_object", None, "bad_post_id",
+        "missing_post_id", "missing_post_id", None, "invalid_json", "invalid_json",
+        "missing_type_or_event", None, "invalid_json", None]
+    assert out[4].key == "42" and out[8].key == "7" and out[14].key == "1" + "0" * 30
+    dead = {r.doc_id: r.value for r in ing.dead_letters(
+        ing.ingest(frame(spark, docs), 0, keep=["doc_id"]), keep=["doc_id"]).collect()}
+    assert dead[1] == "[1, 2]" and dead[9] == '{"a": NaN}' and dead[5] == json.dumps(docs[5])
+
+
+def test_null_value(spark):
+    df = spark.createDataFrame([(1, None)], "doc_id long, value string")
+    assert ing.ingest(df, 0).first().reason == "invalid_json"
 
 
 def test_routed_click_scan(spark):
@@ -63,7 +94,18 @@ def test_routed_click_scan(spark):
     assert recs.filter("topic = 'trackCreatedStory_00_raw_flatJSON'").count() == 1
 
 
-def test_declared_schema_ignores_undeclared(spark):
-    out = ing.ingest(frame(spark, [dict(GOOD, extra={"x": 1})]), 0, schema=ing.RAW_EVENT,
-                     keep=["doc_id"])
-    assert "extra_x" not in out.columns and "properties_display" in out.columns
+def test_string_post_id_is_read_by_the_scan(spark):
+    recs = ing.records(ing.ingest(frame(spark, [dict(GOOD, properties={"shoppable_post_id": "42"})]), 9))
+    assert ing.scan_topic(recs, ing.CLICK_TOPIC, CLICK).first()[0] == 42
+
+
+def test_records_carry_stamps_once_and_every_field(spark):
+    doc = dict(GOOD, extra={"z": 1}, segment_timestamp="old", ingest_timestamp=1)
+    value = json.loads(ing.records(ing.ingest(frame(spark, [doc]), 99)).first().value)
+    assert value["extra_z"] == 1 and value["ingest_timestamp"] == 99
+    assert value["segment_timestamp"] == 1569097867942
+
+
+def test_one_parse_per_document(spark):
+    plan = ing.records(ing.ingest(frame(spark, [GOOD]), 0))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

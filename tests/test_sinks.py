@@ -23,9 +23,11 @@ def test_csv_round_trip_and_name(spark):
 
 def test_push_log_append(spark):
     p = scratch_dir(spark, "push")
-    writers.append_push_log(spark, p, 1, "a.csv")
-    writers.append_push_log(spark, p, 2, "b.csv")
-    assert rows(spark.read.parquet(p), "ts_ms", "filename") == [(1, "a.csv"), (2, "b.csv")]
+    assert writers.read_push_log(spark, p).count() == 0
+    writers.write_push_log(spark, p, 1, "a.csv", 0)
+    writers.write_push_log(spark, p, 2, "b.csv", 1)
+    writers.write_push_log(spark, p, 2, "b.csv", 1)         # the batch is retried
+    assert rows(writers.read_push_log(spark, p), "ts_ms", "filename") == [(1, "a.csv"), (2, "b.csv")]
 
 
 def test_routed_write_partitions_by_topic(spark):
