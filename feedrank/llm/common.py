@@ -7,46 +7,18 @@ operator's own ones.
 
 from __future__ import annotations
 
-import functools
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedrank.session import scratch_dir
+from feedrank.session import scratch_dir, ship_package
 
 # Fixed value: ASCII white space, the separators of words.
 WORD_SPACE = " \t\n\x0b\x0c\r"
 
 
-@functools.cache
-def _package_zip() -> str:
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="feedrank-py-"), "feedrank.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    return path
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Hand this package to the executors through Spark, once per application."""
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        spark.sparkContext.addPyFile(_package_zip())
-        _shipped.add(app)
-
-
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The ``documents`` table under ``sf_dir``, optionally only some columns."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
