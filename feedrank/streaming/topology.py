@@ -63,7 +63,10 @@ class LiveConfig:
     window_ms: int = DAY_MS                    # live table window
     csv_interval_ms: int = 2 * 60 * 1000       # at most one CSV per interval
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
-    publish_snapshots: bool = True
+    # True: query 2 publishes after each of its batches; "timer": it only keeps the live
+    # table and start_snapshots publishes on a clock; False: changelog only
+    publish_snapshots: bool | str = True
+    keep_live: int = 10                        # live table versions kept for late readers
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -159,13 +162,29 @@ def start_counts(spark: SparkSession, cfg: LiveConfig, clock=None, scorer=None)
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         _write_changes(batch, batch_id, cfg)
         if publisher is not None:
-            publisher.publish(batch_id)
+            publisher.update_live(batch_id)
+            if cfg.publish_snapshots != "timer":
+                publisher.publish(batch_id)
 
     return (counts.writeStream.outputMode("update").foreachBatch(on_batch)
                   .option("checkpointLocation", cfg.path("_ckpt/counts"))
                   .trigger(**cfg.trigger).start())
 
 
+def start_snapshots(spark: SparkSession, cfg: LiveConfig, ckpt: str, interval_s: float = 1,
+                    clock=None, scorer=None) -> StreamingQuery:
+    """Publish a snapshot at every tick of a timer, with or without new events.
+
+    Posts expire, and a new config or scorer takes effect, also while no event
+    arrives. Needs ``publish_snapshots="timer"``.
+    """
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    publisher = SnapshotPublisher(spark, cfg, clock, scorer)
+    return (ticks.writeStream.foreachBatch(lambda batch, batch_id: publisher.publish(batch_id))
+            .option("checkpointLocation", ckpt)
+            .trigger(processingTime=f"{int(interval_s * 1000)} milliseconds").start())
+
+
 def _versions(spark: SparkSession, path: str, prefix: str) -> list[int]:
     from feedrank.session import list_names
     return sorted(int(n.split("=", 1)[1]) for n in list_names(spark, path) if n.startswith(prefix))
@@ -243,16 +262,19 @@ class SnapshotPublisher:
 
     def _previous_live(self, batch_id: int) -> DataFrame | None:
         """The newest complete live table written by an earlier batch."""
+        return self._newest_live(below=int(batch_id))
+
+    def _newest_live(self, below: float = float("inf")) -> DataFrame | None:
         for v in reversed(_versions(self.spark, self.cfg.path("live"), "version=")):
-            if v < int(batch_id) and path_exists(
+            if v < below and path_exists(
                     self.spark, self.cfg.path(f"live/version={v}/_SUCCESS")):
                 return self.spark.read.parquet(self.cfg.path(f"live/version={v}"))
         return None
 
-    def _drop_superseded(self, batch_id: int, keep: int = 2) -> None:
-        """Delete live tables older than the last ``keep`` (a retry reads the one before)."""
+    def _drop_superseded(self, batch_id: int) -> None:
+        """Delete live tables older than the last ``keep_live``."""
         old = [v for v in _versions(self.spark, self.cfg.path("live"), "version=") if v <= batch_id]
-        for v in old[:-keep]:
+        for v in old[:-max(2, self.cfg.keep_live)]:
             delete_path(self.spark, self.cfg.path(f"live/version={v}"))
 
     def _running_config(self, as_of: int, batch_id: int) -> DataFrame:
@@ -269,9 +291,8 @@ class SnapshotPublisher:
              .write.mode("overwrite").parquet(f"{log}/batch={int(batch_id)}"))
         return conf
 
-    def publish(self, batch_id: int) -> str:
-        from feedrank.operators.config import score_with_config_frame
-        from feedrank.sinks import writers
+    def update_live(self, batch_id: int) -> None:
+        """Fold this batch's changes into the live table."""
         spark, cfg = self.spark, self.cfg
         as_of = int(self.clock(batch_id))
         changes = (spark.read.schema(CHANGES_FILE).parquet(cfg.path(f"changelog/version={int(batch_id)}"))
@@ -280,14 +301,24 @@ class SnapshotPublisher:
         prev = self._previous_live(batch_id)
         merged = changes if prev is None else prev.unionByName(changes)
         live = latest_per_key(in_window(merged, as_of, cfg.window_ms))
-        live_path = cfg.path(f"live/version={int(batch_id)}")
-        live.write.mode("overwrite").parquet(live_path)     # cuts the lineage
-        live = spark.read.parquet(live_path)
+        # a written table cuts the lineage
+        live.write.mode("overwrite").parquet(cfg.path(f"live/version={int(batch_id)}"))
+        self._drop_superseded(int(batch_id))
+
+    def publish(self, batch_id: int) -> str:
+        """Score and publish the newest live table as it stands at the clock's time."""
+        from feedrank.operators.config import score_with_config_frame
+        from feedrank.sinks import writers
+        spark, cfg = self.spark, self.cfg
+        as_of = int(self.clock(batch_id))
+        newest = self._newest_live()
+        if newest is None:
+            return ""
+        live = in_window(newest, as_of, cfg.window_ms)
         conf = self._running_config(as_of, batch_id)
         scored = score_with_config_frame(live.drop("version"), conf, self.scorer()) \
             .withColumn("snapshot_ts", F.lit(as_of).cast("long"))
         scored.write.mode("overwrite").parquet(cfg.path(f"snapshots/batch={int(batch_id)}"))
-        self._drop_superseded(int(batch_id))
         last = (writers.read_push_log(spark, cfg.path("push_log"))
                 .filter(F.col("ts_ms") < F.lit(as_of)).agg(F.max("ts_ms")).first()[0])
         if last is not None and as_of - last < cfg.csv_interval_ms:

@@ -89,6 +89,30 @@ def test_compaction_stops_at_a_version_being_written(spark):
     assert topo.current_counts(spark, cfg).first().total == 9
 
 
+def test_timer_publishes_without_new_events(spark):
+    cfg = topo.LiveConfig(root=scratch_dir(spark, "live-test"), window_ms=60 * DAY,
+                          publish_snapshots="timer")
+    rp.replay(spark, SF001, cfg, chunk_ms=40 * DAY)
+    times = {}
+
+    def clock(batch_id):        # the third tick lies after every post has expired
+        if batch_id == 1:
+            submit_config(spark, cfg.path("config_history"), rp.CHUNK_ORIGIN_MS, ALTERNATIVE_CONFIG.as_dict())
+        return times.setdefault(batch_id, rp.CHUNK_ORIGIN_MS + (40 + (200 if batch_id > 1 else batch_id)) * DAY)
+
+    q = topo.start_snapshots(spark, cfg, cfg.path("_ckpt/timer"), interval_s=1, clock=clock)
+    try:
+        deadline = time.time() + 120
+        while time.time() < deadline and (q.lastProgress or {}).get("batchId", 0) < 3:
+            time.sleep(1)
+    finally:
+        q.stop()
+    snaps = spark.read.parquet(cfg.path("snapshots"))
+    by_batch = {r.batch: r for r in snaps.groupBy("batch").agg(F.count("*").alias("n"), F.max("score").alias("m")).collect()}
+    assert by_batch[0].n == by_batch[1].n > 0 and by_batch[0].m != by_batch[1].m
+    assert 2 not in by_batch
+
+
 def test_raw_json_to_scores_as_one_topology(spark):
     from feedrank.plans import batch
     from feedrank.sources import fixtures as fx
