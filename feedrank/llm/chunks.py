@@ -23,31 +23,28 @@ GROUP_CHARS = 1 << 22           # texts encoded together hold about so many char
 LONGEST_MEMO_CHUNK = 64
 
 
-def chunks(text: str) -> Iterator[str]:
+def chunks(text: str) -> list[str]:
     """Cut ``text`` at spaces where that is safe; the chunks join to ``text``.
 
-    >>> list(chunks("a b  c"))
+    >>> chunks("a b  c")
     ['a', ' b  c']
     """
     parts = text.split(" ")
-    if UNSAFE_CUT.search(text) is None and "  " not in text:
-        if parts[0]:
-            yield parts[0]
-        for part in parts[1:]:
-            yield " " + part
-        return
-    held = parts[0]
-    for k, part in enumerate(parts[1:], 1):
+    if "  " not in text and UNSAFE_CUT.search(text) is None:
+        head = parts[:1] if parts[0] else []
+        return head + [" " + part for part in parts[1:]]
+    out, held = [], parts[0]
+    for part in parts[1:]:
         before_space = not held or held[-1].isspace()
         after_space = not part or part[0].isspace()
         if before_space or after_space:      # leave white space runs in one chunk
             held += " " + part
         else:
-            if held:
-                yield held
+            out.append(held)
             held = " " + part
     if held:
-        yield held
+        out.append(held)
+    return out
 
 
 class Memo:
@@ -75,21 +72,21 @@ class Memo:
     def encoded(self, texts: list[str]) -> Iterator[list]:
         """The values of each text's chunks, in order."""
         self._trim()
-        young = self.young
+        young, old = self.young, self.old
+        cut = [chunks(text) for text in texts]
         fresh: set[str] = set()
-        for text in texts:
-            fresh.update([c for c in chunks(text) if c not in young])
-        old = self.old
+        for row in cut:
+            fresh.update(row)
         missing = []
-        for c in fresh:
+        for c in fresh.difference(young):
             if c in old:
                 young[c] = old[c]
             else:
                 missing.append(c)
         young.update(zip(missing, self.encode(missing)))
         self.unusual = [c for c in missing if len(c) > LONGEST_MEMO_CHUNK]
-        for text in texts:
-            yield [young[c] for c in chunks(text)]
+        for row in cut:
+            yield list(map(young.__getitem__, row))
 
 
 def groups(pairs: Iterator[tuple], size: int = GROUP_CHARS) -> Iterator[list[tuple]]:

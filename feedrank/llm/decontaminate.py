@@ -14,6 +14,8 @@ score is divided by the item's best possible one.
 The test set is held in blocks of at most ``BLOCK_WORDS`` words, broadcast one
 by one; every document is compared with every block through its seeds.
 
+Documents are turned into word ids once; the passes work on those.
+
 Cases: null or empty texts and items match nothing; items shorter than three
 words use grams up to their length; repeated rows of documents each give their
 rows; an item id with several rows reports its best one.
@@ -25,19 +27,23 @@ import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedrank.llm.common import arrow_schema, documents, narrow, per_batch, per_document, table
+from feedrank.llm.common import (arrow_schema, documents, per_batch, per_document,
+                                  stored, table)
 
 WORD = re.compile(r"\w+")
-GRAMS = (1, 2, 3)
+GRAMS = (1, 2, 3)       # lengths, each by one longer than the one before
+SIEVE_BITS = 20
 RARE_SHARE = 0.001
 RARE_LEAST = 5          # documents: a gram in no more is rare in any corpus
-THRESHOLD = 0.5
+THRESHOLD = 0.4         # unrelated texts stay below 0.35
 SLACK = 8               # words around a window
 BLOCK_WORDS = 200_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -46,13 +52,18 @@ RESULT = "doc_id long, item_id long, score double, start long, end long"
 
 @dataclass
 class Index:
-    """One block of the test set: words, items as word ids, grams by length."""
+    """One block of the test set: words, items as word ids, grams by length.
+
+    A gram is known by its number in ``grams[n - 1]``, a sorted array of keys.
+    """
 
     words: dict[str, int]
     item_ids: list[int | None]
     items: list[np.ndarray]
-    grams: list[np.ndarray]             # sorted distinct keys for each of GRAMS
-    seeds: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] | None = None
+    grams: list[np.ndarray]
+    sieves: list[np.ndarray]            # hashed membership, to drop most positions early
+    # by length: (first seed of each gram number, items, positions)
+    seeds: list[tuple[np.ndarray, np.ndarray, np.ndarray]] | None = None
 
     @classmethod
     def of(cls, rows: list[tuple[int | None, str | None]]) -> "Index":
@@ -63,35 +74,49 @@ class Index:
             if seq:
                 ids.append(item_id)
                 items.append(np.array(seq, dtype=np.int64))
-        index = cls(words, ids, items, [])
-        index.grams = [np.unique(np.concatenate([index.keys(s, n) for s in items])
-                                 if items else np.zeros(0, np.int64)) for n in GRAMS]
+        index = cls(words, ids, items, [], [])
+        for n in GRAMS:
+            keys = [index.keys(s, np.arange(len(s) - n + 1), n) for s in items if len(s) >= n]
+            index.grams.append(np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64))
+            sieve = np.zeros(1 << SIEVE_BITS, dtype=bool)
+            sieve[hashed(index.grams[-1])] = True
+            index.sieves.append(sieve)
         return index
 
-    def keys(self, seq: np.ndarray, n: int) -> np.ndarray:
-        """Key of the n-gram at each position; negative where a word is unknown."""
-        size = len(seq) - n + 1
-        if size <= 0:
-            return np.zeros(0, dtype=np.int64)
-        key, known = np.zeros(size, dtype=np.int64), np.ones(size, dtype=bool)
-        for k in range(n):
-            part = seq[k:k + size]
-            key = key * len(self.words) + part
-            known &= part >= 0
-        return np.where(known, key, -1)
+    def keys(self, seq: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """Keys of the n-grams that start at positions ``at``."""
+        key = seq[at]
+        for k in range(1, n):
+            key = key * len(self.words) + seq[at + k]
+        return key
 
     def sequence(self, text: str) -> np.ndarray:
-        get = self.words.get
-        return np.array([get(w, -1) for w in WORD.findall(text.lower())], dtype=np.int64)
+        """Word ids of a text, -1 for words that no item holds."""
+        found = WORD.findall(text.lower())
+        return np.fromiter(map(self.words.get, found, repeat(-1)), dtype=np.int64,
+                           count=len(found))
+
+    def hits(self, seq: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(positions, gram numbers) of the known grams, for each of GRAMS.
+
+        A longer gram can only stand where two known ones overlap.
+        """
+        at = np.flatnonzero(seq >= 0)
+        out = [(at, seq[at])]                   # a word's id is its gram number
+        for n, table_, sieve in zip(GRAMS[1:], self.grams[1:], self.sieves[1:]):
+            at = at[:-1][at[1:] - at[:-1] == 1]
+            key = self.keys(seq, at, n)
+            on = sieve[hashed(key)]
+            at, number = at[on], find(table_, key[on])
+            at, number = at[number >= 0], number[number >= 0]
+            out.append((at, number))
+        return out
 
     def present(self, seq: np.ndarray) -> np.ndarray:
-        """Numbers of the distinct grams of a document."""
-        out, before = [], 0
-        for n, table_ in zip(GRAMS, self.grams):
-            at = find(table_, np.unique(self.keys(seq, n)))
-            out.append(at[at >= 0] + before)
-            before += len(table_)
-        return np.concatenate(out)
+        """Numbers of the distinct grams of a document, counted on over the lengths."""
+        offset = np.cumsum([0, *map(len, self.grams)])
+        return np.concatenate([np.unique(number) + o
+                               for (_, number), o in zip(self.hits(seq), offset)])
 
     def choose(self, count: np.ndarray, n_docs: int) -> None:
         """Pick the seeds from the document frequency of each gram number."""
@@ -99,37 +124,36 @@ class Index:
         chosen: list[list[tuple[int, int, int]]] = [[] for _ in GRAMS]
         offset = np.cumsum([0, *map(len, self.grams)])
         for item, seq in enumerate(self.items):
-            per = [self.keys(seq, n) for n in GRAMS]
+            per = [find(g, self.keys(seq, np.arange(max(0, len(seq) - n + 1)), n))
+                   for n, g in zip(GRAMS, self.grams)]
+            longest = min(GRAMS[-1], len(seq))
             for at in range(len(seq)):
-                last = max((i for i, k in enumerate(per) if at < len(k)))
-                for i in range(last + 1):
-                    number = offset[i] + find(self.grams[i], per[i][at:at + 1])[0]
-                    if i == last or count[number] <= rare:
-                        # near an item's end a shorter, frequent gram adds nothing
-                        if count[number] <= rare or GRAMS[i] == min(GRAMS[-1], len(seq)):
-                            chosen[i].append((int(per[i][at]), item, at))
+                for i, numbers in enumerate(per):
+                    if at >= len(numbers):
+                        break       # near an item's end: a shorter, frequent gram adds nothing
+                    if count[offset[i] + numbers[at]] <= rare or GRAMS[i] == longest:
+                        chosen[i].append((int(numbers[at]), item, at))
                         break
         self.seeds = []
-        for rows in chosen:
+        for rows, table_ in zip(chosen, self.grams):
             a = np.array(sorted(rows), dtype=np.int64).reshape(-1, 3)
-            keys, first = np.unique(a[:, 0], return_index=True)
-            self.seeds.append((keys, np.append(first, len(a)), a[:, 1], a[:, 2]))
+            first = np.searchsorted(a[:, 0], np.arange(len(table_) + 1))
+            self.seeds.append((first, a[:, 1], a[:, 2]))
 
     def candidates(self, seq: np.ndarray) -> dict[int, list[tuple[int, int]]]:
         """item -> merged windows of the document that its seeds point at."""
-        hits: list[np.ndarray] = []
-        for n, (keys, first, item, at) in zip(GRAMS, self.seeds):
-            number = find(keys, self.keys(seq, n))
-            where = np.flatnonzero(number >= 0)
-            if not len(where):
-                continue
-            lo, size = first[number[where]], np.diff(first)[number[where]]
-            pick = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-            hits.append(np.stack([item[pick], np.repeat(where, size) - at[pick]], axis=1))
+        found: list[np.ndarray] = []
+        for (where, number), (first, item, at) in zip(self.hits(seq), self.seeds):
+            size = first[number + 1] - first[number]
+            on = size > 0
+            where, lo, size = where[on], first[number[on]], size[on]
+            if len(where):
+                pick = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+                found.append(np.stack([item[pick], np.repeat(where, size) - at[pick]], axis=1))
         out: dict[int, list[tuple[int, int]]] = {}
-        if not hits:
+        if not found:
             return out
-        for item, diagonal in np.unique(np.concatenate(hits), axis=0).tolist():
+        for item, diagonal in np.unique(np.concatenate(found), axis=0).tolist():
             start = max(0, diagonal - SLACK)
             end = min(len(seq), diagonal + len(self.items[item]) + SLACK)
             windows = out.setdefault(item, [])
@@ -140,6 +164,12 @@ class Index:
         return out
 
 
+def hashed(keys: np.ndarray) -> np.ndarray:
+    """Sieve positions of gram keys."""
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
+
+
 def find(table_: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Position of each key in a sorted table, -1 if absent."""
     if not len(table_):
@@ -164,27 +194,26 @@ def align(item: np.ndarray, doc: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def matches(index: Index, text: str, threshold: float = THRESHOLD) -> list[tuple]:
-    """(item_id, score, start, end) of the items found in a text (code points)."""
-    seq = index.sequence(text)
+def matches(index: Index, seq: np.ndarray, threshold: float = THRESHOLD) -> list[tuple]:
+    """(item_id, score, start, end) of the items found in a word sequence."""
+    here = np.zeros(len(index.words) + 1, dtype=bool)      # the last place: unknown words
     best: dict[int | None, tuple[float, int, int]] = {}
     for number, windows in index.candidates(seq).items():
         item = index.items[number]
         full, item_id = MATCH * len(item), index.item_ids[number]
         for start, end in windows:
             doc = seq[start:end]
-            if MATCH * int(np.isin(item, doc).sum()) < threshold * full:
+            here[doc] = True
+            reach = MATCH * int(np.count_nonzero(here[item]))
+            here[doc] = False
+            if reach < threshold * full:
                 continue
             score, stop = align(item, doc)
             if score < threshold * full or score / full <= best.get(item_id, (0,))[0]:
                 continue
             back = align(item[::-1], doc[:stop][::-1])[1]
             best[item_id] = (score / full, start + stop - back, start + stop)
-    if not best:
-        return []
-    spans = [m.span() for m in WORD.finditer(text.lower())]
-    return [(item_id, score, spans[s][0], spans[e - 1][1])
-            for item_id, (score, s, e) in best.items()]
+    return [(item_id, *found) for item_id, found in best.items()]
 
 
 # --------------------------------------------------------------------- Spark
@@ -201,60 +230,77 @@ def blocks(items: DataFrame, words: int = BLOCK_WORDS) -> Iterator[list[tuple]]:
                      key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
 
 
-def seeded(docs: DataFrame, rows: list[tuple]) -> Index:
-    """Index of one block, its seeds chosen by a count over all documents."""
-    index = Index.of(rows)
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-    n_grams = sum(map(len, index.grams))
+def encoded(docs: DataFrame, index: Broadcast) -> DataFrame:
+    """``doc_id`` and the word sequence of every document, as packed word ids."""
+
+    def rows(pairs: Iterator[tuple]) -> Iterator[tuple]:
+        for doc_id, text in pairs:
+            yield doc_id, index.value.sequence(text or "").astype("<i4").tobytes()
+
+    return per_document(docs, "doc_id long, seq binary", rows)
+
+
+def unpacked(seq: bytes) -> np.ndarray:
+    return np.frombuffer(seq, dtype="<i4").astype(np.int64)
+
+
+def seeded(sequences: DataFrame, index: Broadcast) -> Index:
+    """The index with seeds chosen by a count over all word sequences."""
+    n_grams = sum(map(len, index.value.grams))
 
     def count(pairs: Iterator[tuple]) -> Iterator[tuple]:
         seen, n = np.zeros(n_grams, dtype=np.int64), 0
-        for _, text in pairs:
+        for _, seq in pairs:
             n += 1
-            if text:
-                seen[shared.value.present(shared.value.sequence(text))] += 1
+            seen[index.value.present(unpacked(seq))] += 1
         yield -1, n
         on = np.flatnonzero(seen)
         yield from zip(on.tolist(), seen[on].tolist())
 
-    sums = (per_batch(narrow(docs), "gram long, n long", count)
+    sums = (per_batch(sequences, "gram long, n long", count)
             .groupBy("gram").agg(F.sum("n").alias("n")).collect())   # grams of the block
     found = {r["gram"]: r["n"] for r in sums}
     df = np.zeros(n_grams, dtype=np.int64)
     for gram, n in found.items():
         if gram >= 0:
             df[gram] = n
-    index.choose(df, found.get(-1, 0))
-    return index
+    chosen = index.value
+    chosen.choose(df, found.get(-1, 0))
+    return chosen
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document and item found in it."""
+    """One row per document and item found in it; ``start``, ``end`` count words."""
+    share = docs.sparkSession.sparkContext.broadcast
     parts: list[DataFrame] = []
     for block in blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(seeded(docs, block))
+        index = share(Index.of(block))
+        sequences = stored(encoded(docs, index), "decontaminate-words")
+        ready = share(seeded(sequences, index))
 
-        def rows(pairs: Iterator[tuple], shared=shared) -> Iterator[tuple]:
-            for doc_id, text in pairs:
-                for item_id, score, start, end in matches(shared.value, text or "", threshold):
-                    yield doc_id, item_id, score, start, end
+        def rows(pairs: Iterator[tuple], ready=ready) -> Iterator[tuple]:
+            for doc_id, seq in pairs:
+                for found in matches(ready.value, unpacked(seq), threshold):
+                    yield doc_id, *found
 
-        parts.append(per_document(docs, RESULT, rows))
+        parts.append(per_batch(sequences, RESULT, rows))
     return functools.reduce(DataFrame.union, parts)
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` (all columns) in which no test item is found."""
+    share = docs.sparkSession.sparkContext.broadcast
     arrow_schema(docs.sparkSession, RESULT)                     # ships the package
     at, out = docs.columns.index("text"), docs
     for block in blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(seeded(docs, block))
+        index = share(Index.of(block))
+        ready = share(seeded(encoded(docs, index), index))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], ready=ready) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array(
-                    [not matches(shared.value, t.as_py() or "", threshold)
-                     for t in batch.column(at)], type=pa.bool_()))
+                clean = [not matches(ready.value, ready.value.sequence(t.as_py() or ""), threshold)
+                         for t in batch.column(at)]
+                yield batch.filter(pa.array(clean, type=pa.bool_()))
 
         out = out.mapInArrow(run, docs.schema)
     return out

@@ -14,7 +14,7 @@ spans are clamped to their kind. A token whose marginal for a kind reaches
 ``CONFIDENCE`` adds a span; base spans always stay.
 
 Potentials are learned from the base spans themselves (tokens inside a span have
-its kind, others O) on at most ``TRAIN_DOCS`` documents in hash order. A token
+its kind, others O) on at most ``TRAIN_DOCS`` distinct texts in hash order. A token
 that passes a pattern's checks alone, but lies in a longer match that failed
 them, is left out of training: it is neither. Each training text also counts a
 second time with its cards and addresses spoilt (wrong check digit, a part above
@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from feedrank.llm.common import arrow_schema, documents, narrow, per_batch, per_document
 
 TRAIN_DOCS = 4_000
+TRAIN_TOKENS = 200              # candidate tokens taken from a training text
 CONFIDENCE = 0.9
 ROUNDS = 8                      # of message passing
 SKIP_STRENGTH = 4.0             # log-potential of two equal labels on a skip edge
@@ -225,7 +226,7 @@ def fit(docs: list[Tokens], steps: int = 150, rate: float = 0.5) -> Field:
     at = 0
     for d in docs:
         for i, linked in enumerate(d.linked):
-            if linked and known[at + i] and known[at + i + 1]:
+            if linked and i + 1 < len(d.linked) and known[at + i] and known[at + i + 1]:
                 counts[y[at + i], y[at + i + 1]] += 1
         at += len(d.linked)
     joint = counts / counts.sum()
@@ -329,9 +330,12 @@ def added_spans(tokens: Tokens, p: np.ndarray, base: list[Span]) -> list[Span]:
 
 def train(docs: DataFrame, limit: int = TRAIN_DOCS) -> Field:
     """Fit the field on candidate tokens of at most ``limit`` documents."""
-    sample = (narrow(docs).filter(F.col("text").rlike("[0-9@]"))
-              .select("doc_id", "text", F.xxhash64("text").alias("h"))
-              .orderBy("h", "doc_id").limit(limit).drop("h"))
+    hinted = (narrow(docs).filter(F.col("text").rlike("[0-9@]"))
+              .withColumn("h", F.xxhash64("text")))
+    # the hashes are chosen first, so that no task gathers more texts than the sample
+    chosen = hinted.select("h").distinct().orderBy("h").limit(limit)
+    sample = (hinted.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min("text").alias("text"))
+              .select(F.col("h").alias("doc_id"), "text"))
     schema = ("doc_id long, features array<array<int>>, fixed array<int>, "
               "linked array<boolean>, alone array<int>")
 
@@ -339,7 +343,8 @@ def train(docs: DataFrame, limit: int = TRAIN_DOCS) -> Field:
         for doc_id, text in pairs:
             for seen in (text, spoilt(text, base_spans(text))):
                 t = candidates(seen, base_spans(seen))
-                yield doc_id, t.features, t.fixed, t.linked, t.alone
+                n = TRAIN_TOKENS
+                yield doc_id, t.features[:n], t.fixed[:n], t.linked[:n], t.alone[:n]
 
     rows = sorted(per_batch(sample, schema, compute).collect())      # at most 2 * ``limit`` rows
     return fit([Tokens([(0, 0)] * len(r["fixed"]), r["features"], [[]] * len(r["fixed"]),

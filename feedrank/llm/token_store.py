@@ -36,6 +36,7 @@ from feedrank.session import scratch_dir
 
 BLOCK_IDS = 1 << 18             # a block is closed at so many ids ...
 BLOCK_DOCS = 1 << 13            # ... or documents
+MEMO_LIMIT = 450_000            # chunks remembered a worker, in each generation
 SEQUENCE = "struct<n:int,width:int,low:binary,high:binary,samples:binary>"
 BLOCK = (f"run int, before long, n_ids long, id_bytes int, ids binary, ends {SEQUENCE}, "
          f"n_null int, first_id long, doc_ids {SEQUENCE}")
@@ -64,17 +65,52 @@ def encoder_of(raw: bytes) -> Callable[[list[str]], Iterator[bytes]]:
 
         def encode(texts: list[str]) -> list[bytes]:
             return [np.array(e.ids, kind).tobytes()
-                    for k in range(0, len(texts), 1024)
-                    for e in tok.encode_batch_fast(texts[k:k + 1024], add_special_tokens=False)]
+                    for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
         if _splits_at_spaces(json.loads(raw)):
-            memo = chunks.Memo(encode)
+            memo = chunks.Memo(_JoinedEncoder(tok, kind, encode), MEMO_LIMIT)
             _encoders[key] = lambda texts: map(b"".join, memo.encoded(texts))
         else:
             _encoders[key] = encode
     return _encoders[key]
 
 
+class _JoinedEncoder:
+    """Encodes many chunks in few calls of the library.
+
+    Chunks that start with one space and end in another sign may stand side by
+    side without changing each other's ids. Byte-level tokens spell out their
+    bytes, so the ids of the joined text are dealt back by byte length.
+    """
+
+    JOIN = 512
+
+    def __init__(self, tok, kind: str, alone: Callable[[list[str]], list[bytes]]):
+        self.tok, self.kind, self.alone = tok, kind, alone
+        vocab = tok.get_vocab(with_added_tokens=False)
+        self.bytes_of = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+        for token, i in vocab.items():
+            self.bytes_of[i] = len(token)                  # one sign a byte
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        out: dict[str, bytes] = {}
+        free = [c for c in texts if len(c) > 1 and c[0] == " " and not c[1].isspace()
+                and not c[-1].isspace()]
+        other = set(texts).difference(free)
+        out.update(zip(other, self.alone(list(other))))
+        for k in range(0, len(free), self.JOIN):
+            part = free[k:k + self.JOIN]
+            ids = np.array(self.tok.encode_batch_fast(
+                ["".join(part)], add_special_tokens=False)[0].ids, dtype=np.int64)
+            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]),
+                                   np.cumsum([len(c.encode("utf-8")) for c in part])) + 1
+            raw, width, at = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize, 0
+            for c, end in zip(part, ends.tolist()):
+                out[c] = raw[at * width:end * width]
+                at = end
+        return [out[c] for c in texts]
+
+
 def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 

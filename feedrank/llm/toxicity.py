@@ -42,19 +42,39 @@ STEPS = 150
 RATE = 0.1
 LASSO = 1e-4
 PIECE = 5
+MEMO_LIMIT = 200_000
+LONGEST_MEMO_WORD = 40
+LEAST_DOCS = 3                  # training documents that a feature must occur in
+LEAST_Z = 4.0                   # features less related to the label are left out
 MOST_STEP = 1e4                 # bound of a feature's step size in the penalty
 PREDICT_AT = 0.5
 WORD = re.compile(r"\w+")
 RESULT = "doc_id long, severity double, p_toxic double, grade int, predicted int"
 
 
+_of_word: dict[str, tuple[int, ...]] = {}
+
+
+def word_features(word: str) -> tuple[int, ...]:
+    """Hashed features of a word: itself and its inner pieces (bounded memo)."""
+    found = _of_word.get(word)
+    if found is None:
+        digest = xxhash.xxh32_intdigest
+        found = (digest(word) % SPACE, *(digest(word[k:k + PIECE], 1) % SPACE
+                                         for k in range(len(word) - PIECE + 1)))
+        if len(_of_word) >= MEMO_LIMIT:
+            _of_word.clear()
+        if len(word) <= LONGEST_MEMO_WORD:
+            _of_word[word] = found
+    return found
+
+
 def features(text: str | None) -> np.ndarray:
     """Sorted hashed features present in a text."""
-    words = set(WORD.findall((text or "").lower()))
-    pieces = {w[k:k + PIECE] for w in words for k in range(len(w) - PIECE + 1)}
-    digest = xxhash.xxh32_intdigest
-    return np.unique(np.array([*(digest(w) % SPACE for w in words),
-                               *(digest(p, 1) % SPACE for p in pieces)], dtype=np.int32))
+    found: set[int] = set()
+    for word in set(WORD.findall((text or "").lower())):
+        found.update(word_features(word))
+    return np.array(sorted(found), dtype=np.int32)
 
 
 @dataclass
@@ -81,6 +101,17 @@ def grades(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     return np.where(toxic == 1, np.clip(found, 1, GRADES - 1), 0).astype(np.int64)
 
 
+def telling(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Which features are at all related to the label: a test of two proportions."""
+    def frequency(on: np.ndarray) -> np.ndarray:
+        return np.bincount(np.concatenate([rows[i] for i in np.flatnonzero(on)]), minlength=SPACE)
+
+    bad, good, n, m = frequency(toxic), frequency(~toxic), toxic.sum(), (~toxic).sum()
+    share = (bad + good) / (n + m)
+    spread = np.sqrt(share * (1 - share) * (1 / n + 1 / m)) + 1e-12
+    return (bad + good >= LEAST_DOCS) & (np.abs(bad / n - good / m) >= LEAST_Z * spread)
+
+
 def fit(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> OrdinalModel:
     """Weighted maximum likelihood with an L1 penalty, by proximal Adam steps.
 
@@ -91,6 +122,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> OrdinalMod
     model = OrdinalModel(np.zeros(SPACE), start)
     if len(y) == 0 or y.min() == y.max():
         return model
+    rows = [x[keep[x]] for keep in [telling(rows, y > 0)] for x in rows]
     owner = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
     used, column = np.unique(np.concatenate(rows), return_inverse=True)
     gaps = np.log(np.maximum(np.diff(start), 0.05))
