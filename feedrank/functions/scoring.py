@@ -69,9 +69,6 @@ ALTERNATIVE_CONFIG = ScoringConfig(
     max_hotness_score=60.0, ctr_hotness_threshold=0.14, hot_threshold_steepness=13.0,
     score_offset=0.0)
 
-CONFIG_SCHEMA = T.StructType([T.StructField(n, T.DoubleType(), False)
-                              for n in ScoringConfig.names()])
-
 ConfigLike = Union[ScoringConfig, Mapping[str, Column], None]
 
 

@@ -16,11 +16,3 @@ def rank_topk(scored: DataFrame, k: int = 50, score_col: str = "score") -> DataF
     """
     ordered = scored.orderBy(F.col(score_col).desc(), F.col(POST_ID).asc()).limit(k)
     return ordered
-
-
-def with_rank(scored: DataFrame, k: int = 50, score_col: str = "score") -> DataFrame:
-    """Top ``k`` with an explicit 1-based ``rank`` column (computed on k rows only)."""
-    top = rank_topk(scored, k, score_col)
-    from pyspark.sql import Window
-    w = Window.orderBy(F.col(score_col).desc(), F.col(POST_ID).asc())
-    return top.withColumn("rank", F.row_number().over(w))

@@ -290,30 +290,6 @@ def q_ingest_flatten(spark, sf_dir):
         "type string, userId string", keep=["doc_id", "segment_timestamp", "ingest_timestamp"])
 
 
-@query("ingest_flatten_nested", sql=f"""
-SELECT event_id AS doc_id, 's' AS items_0_sku, 1 AS items_0_sizes_0, 2 AS items_0_sizes_1_0,
-       3 AS items_0_sizes_1_1, 1 AS dotted, 'upper' AS upper_k, 'lower' AS lower_k,
-       1152921504606846977 AS big, '0.10' AS mixed, event_type AS context_tags_0,
-       user_id AS properties_shoppable_post_id
-FROM events WHERE event_id % 16 = 11""")
-def q_ingest_flatten_nested(spark, sf_dir):
-    from feedrank.sources import ingest as ing
-    nested = _ingested_mixed(spark, sf_dir).filter("doc_id % 16 = 11 and reason is null")
-
-    def field(name, kind="int"):
-        return F.get_json_object("flat", f"$['{name}']").cast(kind)
-
-    return nested.select(
-        "doc_id", field("items_0_sku", "string").alias("items_0_sku"),
-        field("items_0_sizes_0").alias("items_0_sizes_0"),
-        field("items_0_sizes_1_0").alias("items_0_sizes_1_0"),
-        field("items_0_sizes_1_1").alias("items_0_sizes_1_1"), field("e.f").alias("dotted"),
-        field("K", "string").alias("upper_k"), field("k", "string").alias("lower_k"),
-        field("big", "long").alias("big"), F.regexp_extract("flat", '"mixed":([0-9.]+)', 1).alias("mixed"),
-        field("context_tags_0", "string").alias("context_tags_0"),
-        field("properties_shoppable_post_id", "long").alias("properties_shoppable_post_id"))
-
-
 @query("ingest_epoch_millis", sql=f"""
 SELECT event_id AS doc_id, {SQL_ISO} AS timestamp, {fx.SQL_TS_MS} AS segment_timestamp
 FROM events""")
@@ -348,6 +324,37 @@ def q_ingest_key(spark, sf_dir):
             .select("doc_id", "topic", "key"))
 
 
+def _sql_nested(value: str) -> str:
+    return f"CASE WHEN event_id % 16 = 11 THEN {value} END"
+
+
+@query("ingest_flatten_nested", sql=f"""
+SELECT event_id AS doc_id, {_sql_nested("'s'")} AS items_0_sku,
+       {_sql_nested("1")} AS items_0_sizes_0, {_sql_nested("2")} AS items_0_sizes_1_0,
+       {_sql_nested("3")} AS items_0_sizes_1_1, {_sql_nested("1")} AS dotted,
+       {_sql_nested("'upper'")} AS upper_k, {_sql_nested("'lower'")} AS lower_k,
+       {_sql_nested("1152921504606846977")} AS big,
+       CASE WHEN event_id % 16 = 11 THEN '0.10' ELSE '' END AS mixed,
+       event_type AS context_tags_0, user_id AS properties_shoppable_post_id
+FROM events WHERE {SQL_MIXED_REASON} = 'ok'""")
+def q_ingest_flatten_nested(spark, sf_dir):
+    from feedrank.sources import ingest as ing
+    nested = _ingested_mixed(spark, sf_dir).filter("reason is null")
+
+    def field(name, kind="int"):
+        return F.get_json_object("flat", f"$['{name}']").cast(kind)
+
+    return nested.select(
+        "doc_id", field("items_0_sku", "string").alias("items_0_sku"),
+        field("items_0_sizes_0").alias("items_0_sizes_0"),
+        field("items_0_sizes_1_0").alias("items_0_sizes_1_0"),
+        field("items_0_sizes_1_1").alias("items_0_sizes_1_1"), field("e.f").alias("dotted"),
+        field("K", "string").alias("upper_k"), field("k", "string").alias("lower_k"),
+        field("big", "long").alias("big"), F.regexp_extract("flat", '"mixed":([0-9.]+)', 1).alias("mixed"),
+        field("context_tags_0", "string").alias("context_tags_0"),
+        field("properties_shoppable_post_id", "long").alias("properties_shoppable_post_id"))
+
+
 @query("ingest_route_counts", sql=f"""
 SELECT {SQL_TOPIC} AS topic, count(*) AS n FROM events GROUP BY 1""")
 def q_ingest_route_counts(spark, sf_dir):

@@ -54,18 +54,7 @@ COUNT_COLUMNS = [f.name for f in COUNTS.fields]
 
 SCORE_COLUMNS = ["score", "coldness_score", "hotness_score"]
 
-HEARTBEAT = T.StructType([
-    T.StructField("component", S),
-    T.StructField("ts", T.TimestampType()),
-])
-
 PUSH_LOG = T.StructType([
     T.StructField("ts_ms", L),
     T.StructField("filename", S),
 ])
-
-LATENCY_METRIC = T.StructType([
-    T.StructField("window_start_ts", T.TimestampType()),
-    T.StructField("average_latency_ingest", D),
-    T.StructField("average_latency_click", D),
-])

@@ -13,10 +13,3 @@ def latest_message(log: DataFrame, order: list[str]) -> DataFrame:
     is kept, no global sort and no single-partition requirement on the log.
     """
     return log.orderBy(*[F.col(c).desc() for c in order]).limit(1)
-
-
-def latest_per_group(log: DataFrame, group: list[str], order: str) -> DataFrame:
-    """Newest record per group (``max_by``; partial aggregation before shuffle)."""
-    rest = [c for c in log.columns if c not in group]
-    return (log.groupBy(*group).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r"))
-               .select(*group, *[F.col("_r")[c].alias(c) for c in rest]))
