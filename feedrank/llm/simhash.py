@@ -275,9 +275,10 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHING
     member = nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "first", "root")
     smallest = member.groupBy("root").agg(F.min("first").alias("smallest"))
     linked = member.join(smallest, "root").select(F.col("fp").alias("linked_fp"), "smallest")
-    named = (nodes.join(linked, nodes["fp"] == linked["linked_fp"], "left")
-             .select(F.col("fp").alias("named_fp"),
-                     F.coalesce("smallest", "first").alias("component_id")))
+    # written first: a join of two scans is one whose hot keys Spark can split
+    named = stored(nodes.join(linked, nodes["fp"] == linked["linked_fp"], "left")
+                   .select(F.col("fp").alias("named_fp"),
+                           F.coalesce("smallest", "first").alias("component_id")), "simhash-named")
     return (fps.join(named, fps["fp"] == named["named_fp"])
             .select("doc_id", "fp", "component_id"))
 
