@@ -12,12 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import regex
-
-# Characters with the Unicode White_Space property.
-WHITE_SPACE = ("\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029"
-               "\\u202f\\u205f\\u3000")
-UNSAFE_CUT = regex.compile(rf"[{WHITE_SPACE}] (?=[{WHITE_SPACE}]|\Z)")
+# Signs with the Unicode White_Space property (and the few more that Python counts).
+WHITE_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+SPACE_PAIRS = [c + " " for c in WHITE_SPACE]
 MEMO_LIMIT = 250_000
 GROUP_CHARS = 1 << 22           # texts encoded together hold about so many characters
 LONGEST_MEMO_CHUNK = 64
@@ -30,7 +27,7 @@ def chunks(text: str) -> list[str]:
     ['a', ' b  c']
     """
     parts = text.split(" ")
-    if "  " not in text and UNSAFE_CUT.search(text) is None:
+    if not any(pair in text for pair in SPACE_PAIRS):       # no white space before a space
         head = parts[:1] if parts[0] else []
         return head + [" " + part for part in parts[1:]]
     out, held = [], parts[0]
@@ -76,9 +73,9 @@ class Memo:
         cut = [chunks(text) for text in texts]
         fresh: set[str] = set()
         for row in cut:
-            fresh.update(row)
+            fresh.update([c for c in row if c not in young])
         missing = []
-        for c in fresh.difference(young):
+        for c in fresh:
             if c in old:
                 young[c] = old[c]
             else:

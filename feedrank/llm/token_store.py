@@ -36,7 +36,7 @@ from feedrank.session import scratch_dir
 
 BLOCK_IDS = 1 << 18             # a block is closed at so many ids ...
 BLOCK_DOCS = 1 << 13            # ... or documents
-MEMO_LIMIT = 450_000            # chunks remembered a worker, in each generation
+MEMO_LIMIT = 700_000            # chunks remembered a worker, in each generation
 SEQUENCE = "struct<n:int,width:int,low:binary,high:binary,samples:binary>"
 BLOCK = (f"run int, before long, n_ids long, id_bytes int, ids binary, ends {SEQUENCE}, "
          f"n_null int, first_id long, doc_ids {SEQUENCE}")
