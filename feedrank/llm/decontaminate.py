@@ -1,24 +1,27 @@
-"""Operator 2: benchmark decontamination by rare seeds and local alignment.
+"""Operator 2: benchmark decontamination by local alignment.
 
 Both sides are word sequences (runs of letters, digits and underscores, lower
-case). One pass counts in how many documents each 1-, 2- and 3-gram of the test
-items occurs. At every position of an item the shortest gram found in at most
-``RARE_SHARE`` of the documents becomes a seed; where none is that rare, the
-longest gram is the seed, however frequent, so passages copied into many
-documents are still found. A second pass joins documents to items on seeds. Each
-hit opens a window around its diagonal; a window whose words cannot reach the
-threshold is skipped (an upper bound: the item positions whose word occurs in
-it), the others are scored by Smith-Waterman: +2 match, -1 mismatch, -1 gap. The
-score is divided by the item's best possible one.
+case). A document holds an item if their Smith-Waterman score (+2 match, -1
+mismatch, -1 gap), divided by the item's best possible one, reaches the
+threshold.
+
+Three upper bounds of the score pick the pairs and windows to align. None of
+them looks at how often a word or passage occurs, and none drops a pair that
+reaches the threshold:
+
+1. reach: the item positions whose word the document holds count +2;
+2. along the item: the best run of positions, +2 for a word the document holds
+   and -1 for another, as an item word without a match costs at least 1;
+3. along the document: the same over its words. A best alignment never falls to
+   zero on its way, so it lies within one stretch in which that running sum
+   stays above zero. These stretches are the windows; each must pass bound 2 by
+   itself before it is aligned.
 
 The test set is held in blocks of at most ``BLOCK_WORDS`` words, broadcast one
-by one; every document is compared with every block through its seeds.
+by one; every document is compared with every block, in one pass for each.
 
-Documents are turned into word ids once; the passes work on those.
-
-Cases: null or empty texts and items match nothing; items shorter than three
-words use grams up to their length; repeated rows of documents each give their
-rows; an item id with several rows reports its best one.
+Cases: null or empty texts and items match nothing; repeated rows of documents
+each give their rows; an item id with several rows reports its best one.
 """
 
 from __future__ import annotations
@@ -26,69 +29,43 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedrank.llm.common import (arrow_schema, documents, per_batch, per_document,
-                                  stored, table)
+from feedrank.llm.common import arrow_schema, documents, per_document, table
 
 WORD = re.compile(r"\w+")
-GRAMS = (1, 2, 3)       # lengths, each by one longer than the one before
-SIEVE_BITS = 20
-RARE_SHARE = 0.001
-RARE_LEAST = 5          # documents: a gram in no more is rare in any corpus
 THRESHOLD = 0.4         # unrelated texts stay below 0.35
-SLACK = 8               # words around a window
 BLOCK_WORDS = 200_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 RESULT = "doc_id long, item_id long, score double, start long, end long"
 
 
-@dataclass
 class Index:
-    """One block of the test set: words, items as word ids, grams by length.
-
-    A gram is known by its number in ``grams[n - 1]``, a sorted array of keys.
-    """
-
-    words: dict[str, int]
-    item_ids: list[int | None]
-    items: list[np.ndarray]
-    grams: list[np.ndarray]
-    sieves: list[np.ndarray]            # hashed membership, to drop most positions early
-    # by length: (first seed of each gram number, items, positions)
-    seeds: list[tuple[np.ndarray, np.ndarray, np.ndarray]] | None = None
-
-    @classmethod
-    def of(cls, rows: list[tuple[int | None, str | None]]) -> "Index":
-        words: dict[str, int] = {}
-        ids, items = [], []
+    """One block of the test set: words, items as word ids, item positions by word."""
+
+    def __init__(self, rows: list[tuple[int | None, str | None]]):
+        self.words: dict[str, int] = {}
+        self.item_ids: list[int | None] = []
+        self.items: list[np.ndarray] = []
         for item_id, text in rows:
-            seq = [words.setdefault(w, len(words)) for w in WORD.findall((text or "").lower())]
+            seq = [self.words.setdefault(w, len(self.words))
+                   for w in WORD.findall((text or "").lower())]
             if seq:
-                ids.append(item_id)
-                items.append(np.array(seq, dtype=np.int64))
-        index = cls(words, ids, items, [], [])
-        for n in GRAMS:
-            keys = [index.keys(s, np.arange(len(s) - n + 1), n) for s in items if len(s) >= n]
-            index.grams.append(np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64))
-            sieve = np.zeros(1 << SIEVE_BITS, dtype=bool)
-            sieve[hashed(index.grams[-1])] = True
-            index.sieves.append(sieve)
-        return index
-
-    def keys(self, seq: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-        """Keys of the n-grams that start at positions ``at``."""
-        key = seq[at]
-        for k in range(1, n):
-            key = key * len(self.words) + seq[at + k]
-        return key
+                self.item_ids.append(item_id)
+                self.items.append(np.array(seq, dtype=np.int64))
+        self.apart = [np.concatenate([[-1], s]) for s in self.items]
+        self.full = MATCH * np.array([len(s) for s in self.items], dtype=np.int64)
+        flat = np.concatenate([*self.items, np.zeros(0, dtype=np.int64)])
+        owner = np.repeat(np.arange(len(self.items)), [len(s) for s in self.items])
+        order = np.argsort(flat, kind="stable")
+        self.owner = owner[order]               # items by word, once for each position
+        self.first = np.searchsorted(flat[order], np.arange(len(self.words) + 1))
+        self.here = np.zeros(len(self.words) + 1, dtype=bool)   # the last place: unknown words
 
     def sequence(self, text: str) -> np.ndarray:
         """Word ids of a text, -1 for words that no item holds."""
@@ -96,86 +73,45 @@ class Index:
         return np.fromiter(map(self.words.get, found, repeat(-1)), dtype=np.int64,
                            count=len(found))
 
-    def hits(self, seq: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(positions, gram numbers) of the known grams, for each of GRAMS.
-
-        A longer gram can only stand where two known ones overlap.
-        """
-        at = np.flatnonzero(seq >= 0)
-        out = [(at, seq[at])]                   # a word's id is its gram number
-        for n, table_, sieve in zip(GRAMS[1:], self.grams[1:], self.sieves[1:]):
-            at = at[:-1][at[1:] - at[:-1] == 1]
-            key = self.keys(seq, at, n)
-            on = sieve[hashed(key)]
-            at, number = at[on], find(table_, key[on])
-            at, number = at[number >= 0], number[number >= 0]
-            out.append((at, number))
-        return out
-
-    def present(self, seq: np.ndarray) -> np.ndarray:
-        """Numbers of the distinct grams of a document, counted on over the lengths."""
-        offset = np.cumsum([0, *map(len, self.grams)])
-        return np.concatenate([np.unique(number) + o
-                               for (_, number), o in zip(self.hits(seq), offset)])
-
-    def choose(self, count: np.ndarray, n_docs: int) -> None:
-        """Pick the seeds from the document frequency of each gram number."""
-        rare = max(RARE_LEAST, RARE_SHARE * n_docs)
-        chosen: list[list[tuple[int, int, int]]] = [[] for _ in GRAMS]
-        offset = np.cumsum([0, *map(len, self.grams)])
-        for item, seq in enumerate(self.items):
-            per = [find(g, self.keys(seq, np.arange(max(0, len(seq) - n + 1)), n))
-                   for n, g in zip(GRAMS, self.grams)]
-            longest = min(GRAMS[-1], len(seq))
-            for at in range(len(seq)):
-                for i, numbers in enumerate(per):
-                    if at >= len(numbers):
-                        break       # near an item's end: a shorter, frequent gram adds nothing
-                    if count[offset[i] + numbers[at]] <= rare or GRAMS[i] == longest:
-                        chosen[i].append((int(numbers[at]), item, at))
-                        break
-        self.seeds = []
-        for rows, table_ in zip(chosen, self.grams):
-            a = np.array(sorted(rows), dtype=np.int64).reshape(-1, 3)
-            first = np.searchsorted(a[:, 0], np.arange(len(table_) + 1))
-            self.seeds.append((first, a[:, 1], a[:, 2]))
-
-    def candidates(self, seq: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """item -> merged windows of the document that its seeds point at."""
-        found: list[np.ndarray] = []
-        for (where, number), (first, item, at) in zip(self.hits(seq), self.seeds):
-            size = first[number + 1] - first[number]
-            on = size > 0
-            where, lo, size = where[on], first[number[on]], size[on]
-            if len(where):
-                pick = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-                found.append(np.stack([item[pick], np.repeat(where, size) - at[pick]], axis=1))
-        out: dict[int, list[tuple[int, int]]] = {}
-        if not found:
-            return out
-        for item, diagonal in np.unique(np.concatenate(found), axis=0).tolist():
-            start = max(0, diagonal - SLACK)
-            end = min(len(seq), diagonal + len(self.items[item]) + SLACK)
-            windows = out.setdefault(item, [])
-            if windows and windows[-1][1] >= start:
-                windows[-1] = (windows[-1][0], end)
-            else:
-                windows.append((start, end))
-        return out
-
-
-def hashed(keys: np.ndarray) -> np.ndarray:
-    """Sieve positions of gram keys."""
-    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
-
-
-def find(table_: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Position of each key in a sorted table, -1 if absent."""
-    if not len(table_):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(table_, keys), len(table_) - 1)
-    return np.where(table_[at] == keys, at, -1)
+    def reached(self, held: np.ndarray, threshold: float) -> np.ndarray:
+        """Items that pass bounds 1 and 2 in a document with the words marked in ``held``."""
+        on = held[:-1].nonzero()[0]
+        lo, size = self.first[on], self.first[on + 1] - self.first[on]
+        pick = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+        reach = MATCH * np.bincount(self.owner[pick], minlength=len(self.items))
+        some = (reach >= threshold * self.full).nonzero()[0]
+        if not len(some):
+            return some
+        # the items side by side, each after a step that takes the sum to zero
+        part = [self.apart[i] for i in some.tolist()]
+        first = np.cumsum([0, *map(len, part)])[:-1]
+        step = np.where(held[np.concatenate(part)], MATCH, -1)
+        step[first] = -int(self.full.max())
+        return some[np.maximum.reduceat(running(step), first) >= threshold * self.full[some]]
+
+    def among(self, seq: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """+2 where ``known`` holds the word of ``seq``, -1 elsewhere."""
+        self.here[known] = True
+        self.here[-1] = False
+        step = np.where(self.here[seq], MATCH, -1)
+        self.here[known] = False
+        return step
+
+    def windows(self, item: np.ndarray, seq: np.ndarray, least: float) -> list[tuple[int, int]]:
+        """Stretches of a document in which an alignment can score ``least``."""
+        above = running(self.among(seq, item))
+        if above.max() < least:
+            return []
+        edge = np.diff(above > 0, prepend=False, append=False).nonzero()[0]
+        return [(start, end) for start, end in edge.reshape(-1, 2).tolist()
+                if above[start:end].max() >= least
+                and running(self.among(item, seq[start:end])).max() >= least]
+
+
+def running(step: np.ndarray) -> np.ndarray:
+    """Running sum that stops at zero."""
+    total = np.cumsum(step)
+    return total - np.minimum(np.minimum.accumulate(total), 0)
 
 
 def align(item: np.ndarray, doc: np.ndarray) -> tuple[int, int]:
@@ -196,18 +132,14 @@ def align(item: np.ndarray, doc: np.ndarray) -> tuple[int, int]:
 
 def matches(index: Index, seq: np.ndarray, threshold: float = THRESHOLD) -> list[tuple]:
     """(item_id, score, start, end) of the items found in a word sequence."""
-    here = np.zeros(len(index.words) + 1, dtype=bool)      # the last place: unknown words
     best: dict[int | None, tuple[float, int, int]] = {}
-    for number, windows in index.candidates(seq).items():
-        item = index.items[number]
-        full, item_id = MATCH * len(item), index.item_ids[number]
-        for start, end in windows:
+    held = np.zeros(len(index.words) + 1, dtype=bool)
+    held[seq] = True
+    held[-1] = False
+    for number in index.reached(held, threshold).tolist():
+        item, full, item_id = index.items[number], int(index.full[number]), index.item_ids[number]
+        for start, end in index.windows(item, seq, threshold * full):
             doc = seq[start:end]
-            here[doc] = True
-            reach = MATCH * int(np.count_nonzero(here[item]))
-            here[doc] = False
-            if reach < threshold * full:
-                continue
             score, stop = align(item, doc)
             if score < threshold * full or score / full <= best.get(item_id, (0,))[0]:
                 continue
@@ -230,60 +162,19 @@ def blocks(items: DataFrame, words: int = BLOCK_WORDS) -> Iterator[list[tuple]]:
                      key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
 
 
-def encoded(docs: DataFrame, index: Broadcast) -> DataFrame:
-    """``doc_id`` and the word sequence of every document, as packed word ids."""
-
-    def rows(pairs: Iterator[tuple]) -> Iterator[tuple]:
-        for doc_id, text in pairs:
-            yield doc_id, index.value.sequence(text or "").astype("<i4").tobytes()
-
-    return per_document(docs, "doc_id long, seq binary", rows)
-
-
-def unpacked(seq: bytes) -> np.ndarray:
-    return np.frombuffer(seq, dtype="<i4").astype(np.int64)
-
-
-def seeded(sequences: DataFrame, index: Broadcast) -> Index:
-    """The index with seeds chosen by a count over all word sequences."""
-    n_grams = sum(map(len, index.value.grams))
-
-    def count(pairs: Iterator[tuple]) -> Iterator[tuple]:
-        seen, n = np.zeros(n_grams, dtype=np.int64), 0
-        for _, seq in pairs:
-            n += 1
-            seen[index.value.present(unpacked(seq))] += 1
-        yield -1, n
-        on = np.flatnonzero(seen)
-        yield from zip(on.tolist(), seen[on].tolist())
-
-    sums = (per_batch(sequences, "gram long, n long", count)
-            .groupBy("gram").agg(F.sum("n").alias("n")).collect())   # grams of the block
-    found = {r["gram"]: r["n"] for r in sums}
-    df = np.zeros(n_grams, dtype=np.int64)
-    for gram, n in found.items():
-        if gram >= 0:
-            df[gram] = n
-    chosen = index.value
-    chosen.choose(df, found.get(-1, 0))
-    return chosen
-
-
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document and item found in it; ``start``, ``end`` count words."""
     share = docs.sparkSession.sparkContext.broadcast
     parts: list[DataFrame] = []
     for block in blocks(items):
-        index = share(Index.of(block))
-        sequences = stored(encoded(docs, index), "decontaminate-words")
-        ready = share(seeded(sequences, index))
+        index = share(Index(block))
 
-        def rows(pairs: Iterator[tuple], ready=ready) -> Iterator[tuple]:
-            for doc_id, seq in pairs:
-                for found in matches(ready.value, unpacked(seq), threshold):
+        def rows(pairs: Iterator[tuple], index=index) -> Iterator[tuple]:
+            for doc_id, text in pairs:
+                for found in matches(index.value, index.value.sequence(text or ""), threshold):
                     yield doc_id, *found
 
-        parts.append(per_batch(sequences, RESULT, rows))
+        parts.append(per_document(docs, RESULT, rows))
     return functools.reduce(DataFrame.union, parts)
 
 
@@ -293,12 +184,11 @@ def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD)
     arrow_schema(docs.sparkSession, RESULT)                     # ships the package
     at, out = docs.columns.index("text"), docs
     for block in blocks(items):
-        index = share(Index.of(block))
-        ready = share(seeded(encoded(docs, index), index))
+        index = share(Index(block))
 
-        def run(batches: Iterator[pa.RecordBatch], ready=ready) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                clean = [not matches(ready.value, ready.value.sequence(t.as_py() or ""), threshold)
+                clean = [not matches(index.value, index.value.sequence(t.as_py() or ""), threshold)
                          for t in batch.column(at)]
                 yield batch.filter(pa.array(clean, type=pa.bool_()))
 

@@ -74,6 +74,35 @@ def test_a_passage_in_every_document_is_still_found(spark):
     assert q.contaminated(many, items).filter("item_id = 3").count() == 3000
 
 
+def test_edited_copies_of_a_hot_item_are_found(spark):
+    rng = random.Random(5)
+    item = words(rng, 30).split()
+    third = [w if k % 3 < 2 else "zzz" for k, w in enumerate(item)]
+    longer = [x for k, w in enumerate(item) for x in ([w, "yyy"] if k % 2 else [w])]
+    doubled = [x for w in item for x in (w, "xxx")]
+    edited = {2000: third, 2001: longer, 2002: doubled}
+    docs = [(d, f"{words(rng, 10)} {' '.join(item if d % 3 == 0 else [])} {words(rng, 10)}") for d in range(1500)]
+    docs += [(d, f"{words(rng, 10)} {' '.join(w)} {words(rng, 10)}") for d, w in edited.items()]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in q.contaminated(docs, items).collect()}
+    assert set(got) == {*range(0, 1500, 3), *edited}
+    assert all(abs(got[d] - s) < 0.05 for d, s in ((2000, 0.5), (2001, 0.77), (2002, 0.5)))
+    assert {r["doc_id"] for r in q.keep_clean(docs, items).collect()} == {d for d in range(1500) if d % 3}
+
+
+@given(st.lists(st.lists(st.integers(0, 6), min_size=1, max_size=8), min_size=1, max_size=4),
+       st.lists(st.integers(0, 9), max_size=40), st.sampled_from([0.2, 0.4, 0.7]))
+@settings(max_examples=400, deadline=None)
+def test_no_pair_over_the_threshold_is_missed(items, doc, threshold):
+    text = [" ".join(f"w{w}" for w in x) for x in items]
+    index = q.Index(list(enumerate(text)))
+    seq = index.sequence(" ".join(f"w{w}" for w in doc))
+    expected = {i: s for i, x in enumerate(items)
+                if (s := brute_align(x, doc) / (2 * len(x))) > 0 and s >= threshold}
+    assert {i: score for i, score, _, _ in q.matches(index, seq, threshold)} == expected
+
+
 def test_blocks_cover_the_test_set(spark, monkeypatch):
     docs, items, planted = corpus(spark, 1)
     parts = list(q.blocks(items, words=100))
