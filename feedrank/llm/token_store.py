@@ -10,7 +10,8 @@ only, and survives lost executors. The place of a block in the whole
 concatenation is its place in its task's run plus the sizes of earlier runs
 (one number per task).
 
-Cases: a null or empty text is a document with the end id alone; a null
+Cases: a text that spells an added token, such as ``<|endoftext|>``, gets its id, as
+the library does by default; a null or empty text is a document with the end id alone; a null
 ``doc_id`` sorts first and is kept; repeated ids or rows each keep a place,
 ordered by a hash of their text; an empty table gives an empty store.
 """
@@ -48,6 +49,9 @@ _encoders: dict[str, Callable[[list[str]], Iterator[bytes]]] = {}
 def _splits_at_spaces(spec: dict) -> bool:
     """True for tokenizers whose pieces never depend on text beyond a chunk."""
     pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or not t["content"]
+           or any(c.isspace() for c in t["content"]) for t in spec.get("added_tokens", [])):
+        return False            # such a token reads or takes signs beyond its own
     return (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
             and pre.get("use_regex", True) and not spec.get("normalizer")
             and model["type"] == "BPE" and not model.get("dropout"))
@@ -60,7 +64,6 @@ def encoder_of(raw: bytes) -> Callable[[list[str]], Iterator[bytes]]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # one core a task
         from tokenizers import Tokenizer
         tok = Tokenizer.from_str(raw.decode("utf-8"))
-        tok.encode_special_tokens = True
         kind = id_type(tok.get_vocab_size())
 
         def encode(texts: list[str]) -> list[bytes]:
@@ -88,9 +91,12 @@ class _JoinedEncoder:
     def __init__(self, tok, kind: str, alone: Callable[[list[str]], list[bytes]]):
         self.tok, self.kind, self.alone = tok, kind, alone
         vocab = tok.get_vocab(with_added_tokens=False)
-        self.bytes_of = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+        added = tok.get_added_tokens_decoder()
+        self.bytes_of = np.zeros(max([*vocab.values(), *added]) + 1, dtype=np.int64)
         for token, i in vocab.items():
             self.bytes_of[i] = len(token)                  # one sign a byte
+        for i, token in added.items():
+            self.bytes_of[i] = len(token.content.encode("utf-8"))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: dict[str, bytes] = {}

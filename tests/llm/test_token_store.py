@@ -63,6 +63,22 @@ def test_odd_rows_small_blocks_and_empty(spark, odd_docs, monkeypatch):
     assert ts.read_store(spark, empty, ts.crc32_of, ts.RESULT).count() == 0
 
 
+def test_special_tokens_in_texts_as_the_library_does(spark):
+    raw, end = ts.public_tokenizer(), "<|endoftext|>"
+    texts = ["before", f"end {end} next", end, f"a{end}b", f" {end} ", f"x  {end}  y", f"{end}{end} {end}",
+             f"é{end}\n {end}. {end}\t", f"many words {end} in one text {end} of several {end}", "after all"]
+    tok = Tokenizer.from_str(raw.decode())
+    ids = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids[1] == [437, 220, 50256, 1306]
+    joined = ts.encoder_of(raw)(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in joined] == ids
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = ts.write_store(docs, scratch_dir(spark, "t"), raw)
+    got = [tuple(r) for r in ts.read_store(spark, path, ts.crc32_of, ts.RESULT).orderBy("start").collect()]
+    start = np.cumsum([0, *(len(i) + 1 for i in ids)]).tolist()
+    assert got == [(d, start[d], len(i) + 1, zlib.crc32(np.array(i + [2], "<u4").tobytes())) for d, i in enumerate(ids)]
+
+
 def test_block_row_round_trip():
     b = ts._Block()
     b.add(None, b"\1\0", 2)
