@@ -6,8 +6,8 @@ return the columns of ``documents``; each works on everything its predecessor
 kept and its decision takes effect:
 
 1. quality: documents scored below the threshold go;
-2. near_duplicates: one document of each group stays, the one with the smallest
-   id (documents without an id stay; repeated rows of one id become one row);
+2. near_duplicates: one row of each group stays, the one with the smallest id
+   (rows without an id come last);
 3. decontaminate: documents that hold a benchmark passage go;
 4. pii: personal data are masked in the text;
 5. tokens: token ids, with digests of ids and of the decoded bytes.

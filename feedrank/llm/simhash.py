@@ -37,10 +37,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedrank.llm.common import arrow_schema, documents, per_document, stored
+from feedrank.llm.common import arrow_schema, documents, per_batch, per_document, stored
 
 SHINGLE = 3             # words
 SEED = 42
@@ -75,13 +75,17 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
+def signed(fp: int) -> int:
+    """The bits of an unsigned 64-bit integer as a signed one."""
+    return fp - (1 << 64) if fp >> 63 else fp
+
+
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``doc_id`` and ``fp`` (the fingerprint's bits as a signed long)."""
 
     def rows(pairs: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, text in pairs:
-            fp = fingerprint(text, size)
-            yield doc_id, fp - (1 << 64) if fp >> 63 else fp
+            yield doc_id, signed(fingerprint(text, size))
 
     return per_document(docs, "doc_id long, fp long", rows)
 
@@ -283,30 +287,57 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHING
             .select("doc_id", "fp", "component_id"))
 
 
-def keep_first(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates of a document with a smaller id.
+def keep_first(docs: DataFrame, max_bits: int = MAX_BITS, size: int = SHINGLE,
+               sample: int = SAMPLE) -> DataFrame:
+    """One row of ``docs`` for each component: the one with the smallest id.
 
-    Rows without an id stay. Rows that repeat an id are one document: one stays,
-    the first by a hash of its text.
+    Rows are told apart by id and text, so rows that share an id but not a
+    component are decided each by itself. Rows without an id come last; ties go
+    by a digest of the text.
     """
-    found = stored(near_duplicates(docs, max_bits), "simhash-found")
-    # a repeated id may have several texts, and so several components: its smallest counts
-    ids = (found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("known_id"))
-           .agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c")))
-    gone = stored(ids.filter("n > 1 or c <> known_id"), "simhash-gone")
-    key = F.col("doc_id").cast("long") == F.col("known_id")
-    single = docs.join(gone.select("known_id"), key, "left_anti")
-    repeated = gone.filter("c = known_id")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest"),
+                      F.col("text").cast("string").alias("text"))
+
+    def read(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for doc_id, digest, text in rows:
+            yield doc_id, digest, signed(fingerprint(text, size))
+
+    found = stored(per_batch(own, "doc_id long, digest binary, fp long", read), "simhash-rows")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    nodes = stored(found.groupBy("fp").agg(F.min(rank).alias("first")), "simhash-nodes")
+    roots = components(stored(near_links(nodes, max_bits, sample), "simhash-links"))
+    linked = nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "first", "root")
+    best = linked.groupBy("root").agg(F.min("first").alias("best"))
+    better = linked.join(best, "root").select(F.col("fp").alias("linked_fp"), "best")
+    named = stored(nodes.join(better, nodes["fp"] == better["linked_fp"], "left")
+                   .select(F.col("fp").alias("named_fp"), F.coalesce("best", "first").alias("best")),
+                   "simhash-best")
+    wins = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (
+        F.col("digest") == F.col("best.digest"))
+    # an id and a text have one fingerprint, so all their rows win or none does
+    gone = stored(found.join(named, found["fp"] == named["named_fp"])
+                  .groupBy(F.col("doc_id").alias("known_id"), F.col("digest").alias("known_digest"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.first(wins).alias("wins"))
+                  .filter("n > 1 or not wins"), "simhash-gone")
+    key = F.col("doc_id").cast("long").eqNullSafe(F.col("known_id")) & (
+        _digest() == F.col("known_digest"))
+    single = docs.join(gone.select("known_id", "known_digest"), key, "left_anti")
+    repeated = gone.filter("wins").select("known_id", "known_digest")
     if repeated.isEmpty():
         return single
     names = [F.col(c) for c in docs.columns]
-    first = (docs.join(repeated.select("known_id"), key, "left_semi")
-             .groupBy(F.col("doc_id").alias("known_id"))
-             .agg(F.min_by(F.struct(*names), F.struct(F.xxhash64("text"), F.col("text")))
-                  .alias("row")).select("row.*"))
+    first = (docs.join(repeated, key, "left_semi")
+             .groupBy(F.col("doc_id").cast("long").alias("known_id"), _digest().alias("known_digest"))
+             .agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")).select("row.*"))
     return single.unionByName(first)
 
 
+def _digest() -> Column:
+    """SHA-256 of the text; empty for a null one."""
+    return F.coalesce(F.unhex(F.sha2(F.col("text").cast("string").cast("binary"), 256)),
+                      F.lit(b""))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),

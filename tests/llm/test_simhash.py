@@ -133,3 +133,19 @@ def test_odd_rows(spark, odd_docs):
     assert kept.columns == odd_docs.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([1, 2, None, 4, 6], key=str)
     assert sh.near_duplicates(odd_docs.limit(0)).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    def text(seed):
+        return " ".join("".join(random.Random(f"{seed} {k}").choices("abcdefgh", k=6)) for k in range(60))
+
+    a, b, c, d, e = map(text, "abcde")
+    rows = [(3, a, "x"), (7, a, "y"), (7, b, "z"),                  # b is unique, though its id is not
+            (None, c, "p"), (None, c, "q"), (None, c.upper(), "r"),   # copies without any id
+            (None, d, "s"), (9, d, "t"),                              # an id goes before none
+            (5, e, "u"), (5, e, "u"), (5, e + " ", "v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = sh.keep_first(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"].lower().strip()) for r in kept.collect()), key=str)
+    assert got == sorted([(3, a), (7, b), (None, c), (9, d), (5, e)], key=str)
