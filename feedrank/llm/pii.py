@@ -2,11 +2,14 @@
 
 Base spans come from four patterns (email, ip, card, phone) with their checks.
 The field then looks at every token that could be personal data (it holds a
-digit or an at sign): label O or one of the four kinds. Node potentials are a
+digit or an at sign): label O or one of the four kinds. Adjacent number tokens
+are one token of the field where together they are a base span, have the digits
+of a base card or phone elsewhere in the text, or repeat another whole run. Node potentials are a
 softmax over shape and context features; a chain factor joins tokens that are
 neighbours in the text; a skip factor joins all tokens of a document with the
 same key (letters and digits only, lower case; for emails also the part before
-the at sign). Distant repeats so share their potentials: a number that is a card
+the at sign; for phones also the digits after the country code), so spaced,
+hyphenated and plain forms of a number are linked. Distant repeats so share their potentials: a number that is a card
 in one place is one in the others, also where a pattern missed it. The factors
 of one key form a star around a hidden label, so n repeats cost n messages. Loopy
 message passing runs over all documents of a batch at once; tokens inside base
@@ -29,7 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,6 +59,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 HAS_CANDIDATE = re.compile(r"[0-9@]")
+NUMBER = re.compile(r"\+?[0-9]+([().-]+[0-9]+)*")
+BETWEEN = re.compile(r"[\x20\x09-\x0D()]+")     # between the tokens of one number
+LEAST_DIGITS, MOST_DIGITS = 9, 19               # of a number over several tokens
+LEAST_SUFFIX = 7                                # digits of a phone without its country code
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 EDGE = ".,;:!?\"'()[]{}<>#*$%&|="
 Span = tuple[int, int, int]     # kind, start, end
@@ -148,44 +155,129 @@ def shape(token: str) -> str:
     return coarse[:24]
 
 
-def candidates(text: str, base: list[Span]) -> Tokens:
-    out = Tokens([], [], [], [], [], [])
+def digits_of(text: str) -> str:
+    return re.sub(r"[^0-9]", "", text)
+
+
+def known_numbers(text: str, base: list[Span]) -> dict[str, tuple[str, ...]]:
+    """Digits -> keys of each base card and phone.
+
+    Phones are known also without their country code, plain and after a trunk
+    zero; their last nine and seven digits are keys too.
+    """
+    known: dict[str, tuple[str, ...]] = {}
+    for kind, start, end in base:
+        digits = digits_of(text[start:end])
+        if kind == 2:
+            known.setdefault(digits, (digits,))
+        elif kind == 3:
+            keys = (digits, "~" + digits[-9:], "~" + digits[-LEAST_SUFFIX:])
+            known[digits] = keys
+            for k in range(1, 4):
+                if len(digits) - k >= LEAST_SUFFIX:
+                    known.setdefault(digits[k:], keys)
+                    known.setdefault("0" + digits[k:], keys)
+    return known
+
+
+@dataclass
+class Piece:
+    """A candidate: one token, or adjacent number tokens that are one number."""
+
+    first: int                      # token numbers
+    last: int
+    start: int
+    end: int
+    word: str
+    previous: str
+    kind: int                       # label of the base span around it, else -1
+    key: str                        # digits of that span if it is a card or phone
+
+
+def pieces(text: str, base: list[Span], known: dict[str, tuple[str, ...]]) -> list[Piece]:
     by_start = sorted((s, e, kind) for kind, s, e in base)
-    at, previous, before = 0, "", -2
+    at, previous = 0, ""
+    tokens: list[Piece] = []
     for number, m in enumerate(TOKEN.finditer(text)):
         word = m.group()
-        if not HAS_CANDIDATE.search(word):
-            previous = word
-            continue
-        core = word.strip(EDGE)
-        start = m.start() + word.find(core) if core else m.start()
-        end = start + len(core)
-        while at < len(by_start) and by_start[at][1] <= start:
-            at += 1
-        kind = by_start[at][2] + 1 if at < len(by_start) and by_start[at][0] < end else -1
+        if HAS_CANDIDATE.search(word):
+            core = word.strip(EDGE)
+            start = m.start() + word.find(core) if core else m.start()
+            end = start + len(core)
+            while at < len(by_start) and by_start[at][1] <= start:
+                at += 1
+            kind, key = -1, ""
+            if at < len(by_start) and by_start[at][0] < end:
+                s, e, kind = by_start[at]
+                key = digits_of(text[s:e]) if kind in (2, 3) else ""
+                kind += 1
+            tokens.append(Piece(number, number, start, end, word, previous, kind, key))
+        previous = word
+    runs: list[list[Piece]] = []
+    for t in tokens:
+        numeric = NUMBER.fullmatch(text, t.start, t.end) is not None
+        if (numeric and runs and runs[-1][-1].last == t.first - 1
+                and NUMBER.fullmatch(text, runs[-1][-1].start, runs[-1][-1].end)
+                and BETWEEN.fullmatch(text, runs[-1][-1].end, t.start)):
+            runs[-1].append(t)
+        else:
+            runs.append([t])
+    spans = {(s, e) for kind, s, e in base if kind in (2, 3)}
+    whole = Counter(d for run in runs
+                    if LEAST_DIGITS <= len(d := digits_of(text[run[0].start:run[-1].end])) <= MOST_DIGITS)
+    out: list[Piece] = []
+    for run in runs:
+        digits = [digits_of(text[t.start:t.end]) for t in run] if len(run) > 1 else [""]
+        i = 0
+        while i < len(run):
+            joined, stop = digits[i], i
+            for j in range(i + 1, len(run)):
+                joined += digits[j]
+                if len(joined) > MOST_DIGITS:
+                    break
+                free = all(t.kind < 0 for t in run[i:j + 1])
+                if (run[i].start, run[j].end) in spans or free and (
+                        joined in known or j - i + 1 == len(run) and whole[joined] > 1):
+                    stop = j
+            a, z = run[i], run[stop]
+            out.append(a if stop == i else Piece(
+                a.first, z.last, a.start, z.end, a.word, a.previous, a.kind, a.key))
+            i = stop + 1
+    return out
+
+
+def candidates(text: str, base: list[Span]) -> Tokens:
+    out = Tokens([], [], [], [], [], [])
+    known = known_numbers(text, base)
+    before = -2
+    for piece in pieces(text, base, known):
+        core, word = " ".join(text[piece.start:piece.end].split()), piece.word
         bare = re.sub(r"[\W_]+", "", core).lower()
-        digits = re.sub(r"[^0-9]", "", core)
+        digits = digits_of(core)
         checked = base_spans(core)
         alone = checked[0][0] + 1 if checked and checked[0][1:] == (0, len(core)) else 0
         out.alone.append(alone)
-        out.spans.append((start, end))
-        out.fixed.append(kind)
+        out.spans.append((piece.start, piece.end))
+        out.fixed.append(piece.kind)
         out.linked.append(False)
-        if out.spans[1:] and before == number - 1:
+        if out.spans[1:] and before == piece.first - 1:
             out.linked[-2] = True
-        before = number
-        keys = [bare] if len(bare) >= 6 else []
+        before = piece.last
+        keys = {bare} if len(bare) >= 6 else set()
+        if piece.key:
+            keys.update(known[piece.key])
+        elif digits in known and not re.search(r"[^\W\d_]", core):
+            keys.update(known[digits])
         if "@" in core:
-            keys.append("@" + core.split("@")[0].lower())
-        out.keys.append(keys)
+            keys.add("@" + core.split("@")[0].lower())
+        out.keys.append(sorted(keys))
         out.features.append([
             feature("one"), feature("alone", alone), feature("shape", shape(core)), feature("digits", min(20, len(digits))),
             feature("luhn", 13 <= len(digits) <= 19 and luhn(digits)),
             feature("at", "@" in core), feature("plus", core[:1] == "+" or word[:1] == "+"),
             feature("all digits", core == digits, min(20, len(digits))),
-            feature("before", previous.lower()[-12:]),
+            feature("before", piece.previous.lower()[-12:]),
             feature("dots", core.count(".") if core.replace(".", "") == digits else -1)])
-        previous = word
     return out
 
 

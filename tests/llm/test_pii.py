@@ -59,6 +59,25 @@ def test_repeats_share_their_label(field):
     assert card in [text[s:e] for k, s, e in added if k == 2]
 
 
+@pytest.mark.parametrize("clear,other,kind", [
+    ("4111111111111111", "1234 4111 1111 1111 1111", 2), ("4111 1111 1111 1111", "4111  1111  1111  1111", 2),
+    ("4111-1111-1111-1111", "77 4111 1111 1111 1111 77", 2), ("4111 1111 1111 1111", "12 4111111111111111", 2),
+    ("+1 (017) 555-7713", "(017) 555-7713", 3), ("+1 (017) 555-7713", "1 017 555 7713", 3)])
+def test_forms_of_one_number_share_their_label(field, clear, other, kind):
+    text = f"we wrote to {clear} once, then it was {other} and that is all"
+    base, added = q.label_texts([text], field)[0]
+    assert [(k, text[s:e]) for k, s, e in base] == [(kind, clear)]
+    assert [k for k, _, _ in added] == [kind]
+    digits, got = (re.sub("[^0-9]", "", t) for t in (clear, text[added[0][1]:added[0][2]]))
+    assert digits.endswith(got) and len(got) >= 10
+
+
+def test_spaced_and_plain_forms_share_a_star():
+    clear = "+1 (017) 555-7713"
+    keys = q.candidates(f"a {clear} b 017 555 7713 c 4111 1111 1111 1112 d 4111111111111112", [(3, 2, 2 + len(clear))]).keys
+    assert len(keys) == 4 and set(keys[0]) & set(keys[1]) and set(keys[2]) & set(keys[3])
+
+
 def test_clean_text_gets_nothing(field):
     for text in ("section 3.14 of 2024 has 12 items", "version 10.20.30.400 of 1234", "no digits at all"):
         assert q.label_texts([text], field) == [([], [])]
