@@ -8,7 +8,8 @@ whole fingerprints prunes little at radius 3. Each fingerprint is therefore
 searched by its two 32-bit halves: fingerprints within 3 bits have a half within
 1 bit (3 // 2), and Hamming distance on a half is a metric that never exceeds
 the whole one. For each half a vantage-point tree is fitted to a bounded sample
-(``SAMPLE`` fingerprints in hash order). An inner node holds a vantage point v
+(fingerprints in hash order: ``SAMPLE``, or as many more as give one shard for
+each ``SHARD_FPS`` distinct fingerprints). An inner node holds a vantage point v
 and a radius r and sends x left if d(v, x) <= r. Every fingerprint has one home
 shard; by the triangle bound it also visits the other side of a node when
 |d(v, x) - r| allows a neighbour there, so shards whose boundary it overlaps see
@@ -45,7 +46,8 @@ from feedrank.llm.common import arrow_schema, documents, per_batch, per_document
 SHINGLE = 3             # words
 SEED = 42
 MAX_BITS = 3
-SAMPLE = 8192           # fingerprints that fit the top of the trees
+SAMPLE = 8192           # least number of fingerprints that fit the top of the trees
+SHARD_FPS = 1 << 16     # aimed at as home fingerprints of a shard
 SHARD = 32              # sample points in a shard
 LEAF = 512              # fingerprints in a leaf compared exhaustively
 HALF_RADIUS = MAX_BITS // 2
@@ -220,6 +222,7 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, sample: int = SAMPLE)
     full graph of near pairs.
     """
     spark = nodes.sparkSession
+    sample = max(sample, SHARD * -(-nodes.count() // SHARD_FPS))
     picked = [r["fp"] for r in nodes.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()]
     points = np.array(picked, dtype=np.int64).view(np.uint64)
     trees = [Tree.fit(half(points, w), SHARD) for w in (0, 1)]

@@ -112,6 +112,20 @@ def test_spark_components_on_clusters(spark):
     assert len(set(zip(got, exp))) == len(set(exp)) == len(set(got))
 
 
+def test_shards_grow_in_number_not_in_size(spark, monkeypatch):
+    monkeypatch.setattr(sh, "SHARD_FPS", 40, raising=False)
+    fps = blobs(1200, 3)
+    signed = [f - 2 ** 64 if f >> 63 else f for f in fps]
+    leaves, fit = [], sh.Tree.fit
+    monkeypatch.setattr(sh.Tree, "fit", lambda points, leaf: leaves.append((t := fit(points, leaf)).leaves) or t)
+    nodes = spark.createDataFrame([(f,) for f in signed], "fp long")
+    links = sh.stored(sh.near_links(nodes, sample=32), "t")
+    assert len(leaves) == 2 and min(leaves) >= len(fps) // 40
+    roots = {r["node"]: r["root"] for r in sh.components(links).collect()}
+    got, exp = [roots.get(f, f) for f in signed], brute_components(list(range(len(fps))), fps)
+    assert len(set(zip(got, exp))) == len(set(exp)) == len(set(got))
+
+
 def test_long_chain_converges(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
     assert {r["root"] for r in sh.components(links).collect()} == {0}
