@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrank.llm import (bpe, chat, decontaminate, pii, quality, rules, simhash, token_counts,
+from feedrank.llm import (bpe, chat, clusters, decontaminate, pii, quality, rules, simhash, token_counts,
                           token_store, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rules": rules.op8_rules,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_token_store": token_store.op10_token_store,
+    "op12_clusters": clusters.op12_clusters,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_clusters": clusters.sql(),
+}
