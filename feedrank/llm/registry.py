@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrank.llm import (bpe, chat, clusters, decontaminate, pii, quality, rules, simhash, token_counts,
-                          token_store, toxicity)
+from feedrank.llm import (bpe, chat, clusters, decontaminate, pii, prefix_trie, quality, rules,
+                          simhash, token_counts, token_store, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -20,9 +20,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rules": rules.op8_rules,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_token_store": token_store.op10_token_store,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_clusters": clusters.op12_clusters,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_prefix_trie": prefix_trie.SQL,
     "op12_clusters": clusters.sql(),
 }
