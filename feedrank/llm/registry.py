@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedrank.llm import (bpe, chat, clusters, decontaminate, pii, prefix_trie, quality, rules,
-                          simhash, token_counts, token_store, toxicity)
+from feedrank.llm import (bpe, chat, clusters, decontaminate, language_model, pii, prefix_trie,
+                          quality, rules, simhash, token_counts, token_store, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_store": token_store.op10_token_store,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_clusters": clusters.op12_clusters,
+    "op13_language_model": language_model.op13_language_model,
 }
 
 ORACLE_SQL: dict[str, str] = {
