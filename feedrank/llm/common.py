@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedrank.session import scratch_dir, ship_package
+from feedrank.session import delete_path, scratch_dir, ship_package
 
 # Fixed value: ASCII white space, the separators of words.
 WORD_SPACE = " \t\n\x0b\x0c\r"
@@ -46,6 +46,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of :func:`stored` tables that nothing reads any more."""
+    for df in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            delete_path(df.sparkSession, folder)
+
+
 def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     """Arrow form of a DDL schema; also makes sure tasks can import this package."""
     from pyspark.sql.pandas.types import to_arrow_schema

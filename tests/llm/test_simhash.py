@@ -112,20 +112,38 @@ def test_spark_components_on_clusters(spark):
     assert len(set(zip(got, exp))) == len(set(exp)) == len(set(got))
 
 
-def test_shards_grow_in_number_not_in_size(spark, monkeypatch):
-    monkeypatch.setattr(sh, "SHARD_FPS", 40, raising=False)
-    fps = blobs(1200, 3)
+def check_components(spark, fps, **kw):
     signed = [f - 2 ** 64 if f >> 63 else f for f in fps]
-    leaves, fit = [], sh.Tree.fit
-    monkeypatch.setattr(sh.Tree, "fit", lambda points, leaf: leaves.append((t := fit(points, leaf)).leaves) or t)
     nodes = spark.createDataFrame([(f,) for f in signed], "fp long")
-    links = sh.stored(sh.near_links(nodes, sample=32), "t")
-    assert len(leaves) == 2 and min(leaves) >= len(fps) // 40
-    roots = {r["node"]: r["root"] for r in sh.components(links).collect()}
+    roots = {r["node"]: r["root"] for r in sh.components(sh.stored(sh.near_links(nodes, **kw), "t")).collect()}
     got, exp = [roots.get(f, f) for f in signed], brute_components(list(range(len(fps))), fps)
     assert len(set(zip(got, exp))) == len(set(exp)) == len(set(got))
 
 
+def test_sample_is_constant_and_shards_follow_the_table(spark, monkeypatch):
+    sizes, levels = [], []
+    fit, deeper = sh.Tree.fit, sh.deeper
+    monkeypatch.setattr(sh.Tree, "fit", lambda points, leaf: sizes.append(len(points)) or fit(points, leaf))
+    check_components(spark, blobs(1200, 3), sample=32, shard_fps=40)
+    assert sizes == [32, 32]
+    points = sh.half(np.array(blobs(4000, 4), dtype=np.uint64), 0)
+    start = (np.arange(len(points)), np.zeros(len(points), dtype=np.int64), np.ones(len(points), dtype=bool))
+    for k in (1, 4):
+        i, leaf, home = deeper(points, *start, 1, k)
+        assert home.sum() == len(points) and sorted(i[home]) == list(range(len(points)))
+        levels.append(np.bincount(leaf[home]).max())
+    assert levels[1] < levels[0] / 3
+
+
+def test_many_fingerprints_with_one_half(spark, monkeypatch):
+    monkeypatch.setattr(sh, "LEAF", 50)
+    rng = random.Random(9)
+    fps = {(7 << 32) + rng.getrandbits(32) for _ in range(900)} | {
+        (rng.getrandbits(32) << 32) + 5 for _ in range(300)}
+    fps |= {f ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for f in list(fps)[:200]}
+    check_components(spark, sorted(fps), sample=64)
+
+
 def test_long_chain_converges(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
     assert {r["root"] for r in sh.components(links).collect()} == {0}
@@ -149,6 +167,23 @@ def test_odd_rows(spark, odd_docs):
     assert sh.near_duplicates(odd_docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bits", [1 << 27, 1 << 16])
+def test_clashing_columns_and_a_full_filter(spark, monkeypatch, bits):
+    """Any column names pass; a filter that knows every key leaves the result the same."""
+    monkeypatch.setattr(sh, "GONE_BITS", bits)
+    rows = [(i, f"t{i // 2} " * 3 + "a b c", "d", 1, "k", True, "r", 2, None) for i in range(400)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string, known_id int, "
+                                 "known_digest string, known boolean, row string, fp int, none string")
+    if bits < 1 << 20:
+        monkeypatch.setattr(sh, "GONE_PROBES", 1)
+    kept = sh.keep_first(docs)
+    assert kept.columns == docs.columns
+    found = {r["component_id"] for r in sh.near_duplicates(docs).collect()}
+    got = kept.collect()
+    assert len(got) == len(found) and {r["doc_id"] for r in got} == found
+    assert all(tuple(r) == rows[r["doc_id"]] for r in got)
+
+
 def test_one_row_of_each_component_stays(spark):
     def text(seed):
         return " ".join("".join(random.Random(f"{seed} {k}").choices("abcdefgh", k=6)) for k in range(60))
