@@ -21,8 +21,9 @@ handling splits an oversized partition (inner joins may split either side).
 ``salt > 1`` additionally spreads each (post, bucket) over ``salt`` tasks: the
 click side draws a salt from its own columns, the creation side is copied
 once per salt value. ``salt="auto"`` salts only the groups measured to be hot
-(more than ``rows_per_task`` clicks), each by its own factor. Unmatched
-creations are added back by an anti join on the matched keys, so the result
+(more than ``rows_per_task`` clicks), each by its own factor. The interval join
+runs once: creations without a click are found by an anti join against the first
+and last click of every 12 hours of a post (:func:`without_click`), so the result
 is exactly the left join.
 """
 
@@ -124,13 +125,7 @@ def click_recent(create_post: DataFrame, click: DataFrame, *,
                         F.col("_pid").alias(POST_ID), "properties_display")
     pairs = matched_pairs(create_post, click, horizon_ms=horizon_ms, strategy=strategy,
                           bucket_ms=bucket_ms, salt=salt, rows_per_task=rows_per_task)
-    # distinct: a partial aggregate collapses a hot creation's pairs to one key per
-    # map task before the anti join's shuffle
-    matched = pairs.select(F.col(POST_ID).alias("_mid"),
-                           F.col("post_timestamp").alias("_mts")).distinct()
-    unmatched = (_creations(create_post)
-                 .join(matched, (F.col("_pid") == F.col("_mid"))
-                       & (F.col("post_timestamp") == F.col("_mts")), "left_anti")
+    unmatched = (without_click(create_post, click, horizon_ms)
                  .select("post_timestamp",
                          F.lit(None).cast("long").alias("click_timestamp"),
                          F.lit(None).cast("long").alias("ingest_timestamp"),
@@ -139,6 +134,30 @@ def click_recent(create_post: DataFrame, click: DataFrame, *,
     return pairs.unionByName(unmatched)
 
 
+def without_click(create_post: DataFrame, click: DataFrame, horizon_ms: int) -> DataFrame:
+    """Creations (``_pid``, ``post_timestamp``) with no click in range, without joining the clicks.
+
+    The clicks of a post are reduced to the first and last one of every third of
+    the horizon (a partial aggregate: a hot post sends one row a slot and map
+    task). The range of a creation is longer than a slot, so no slot sticks out
+    of it at both ends, and a click is in range exactly where a slot's last click
+    is not before the range and its first not behind it. Slots within one horizon
+    of a creation lie in its own or a neighbouring group of three.
+    """
+    slot = max(1, -(-int(horizon_ms) // 3))
+    ck = _clicks(click)
+    slots = (ck.filter(F.col("_cid").isNotNull() & F.col("click_timestamp").isNotNull())
+             .groupBy("_cid", F.floor(F.col("click_timestamp") / F.lit(slot)).alias("_slot"))
+             .agg(F.min("click_timestamp").alias("_first"), F.max("click_timestamp").alias("_last")))
+    own = F.floor(F.col("_slot") / F.lit(3))
+    near = slots.select("_cid", "_first", "_last", F.explode(F.sequence(own - 1, own + 1)).alias("_near"))
+    cp = _creations(create_post).withColumn("_g", F.floor(F.col("post_timestamp") / F.lit(3 * slot)))
+    h = F.lit(int(horizon_ms))
+    return cp.join(near, (F.col("_pid") == F.col("_cid")) & (F.col("_g") == F.col("_near"))
+                   & (F.col("_last") >= F.col("post_timestamp") - h)
+                   & (F.col("_first") <= F.col("post_timestamp") + h), "left_anti")
+
+
 def seeded_pairs(create_post: DataFrame, click: DataFrame, **kw) -> DataFrame:
     """Matched pairs plus one seed row (null click) for every creation.
 

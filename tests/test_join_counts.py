@@ -91,3 +91,22 @@ def test_score_golden_sf001(spark):
         F.sum("score").alias("s"), F.sum(round_half_even("score")).alias("r")).first()
     assert round(s.s, 6) == pytest.approx(117185.235960, abs=1e-5)
     assert s.r == 117002
+
+
+def test_without_click_equals_a_plain_anti_join(spark):
+    """Random times around slot and group borders, several horizons, nulls and repeats."""
+    import random
+    from feedrank.operators.join import without_click
+    rng = random.Random(11)
+    for h in (1, 2, 7, 30):
+        times = [rng.randrange(-200, 200) for _ in range(150)]
+        posts = [(rng.randrange(4), t) for t in times] * 2 + [(None, 3), (9, 5)]
+        clicks = [(rng.randrange(4), rng.randrange(-200, 200)) for _ in range(12)] + [(None, 4), (1, None)]
+        cp = spark.createDataFrame(posts, f"{POST_ID} long, segment_timestamp long")
+        ck = spark.createDataFrame([(a, b, 0, "preview") for a, b in clicks],
+                                   f"{POST_ID} long, segment_timestamp long, ingest_timestamp long, "
+                                   "properties_display string")
+        got = sorted((repr(r["_pid"]), r["post_timestamp"]) for r in without_click(cp, ck, h).collect())
+        want = sorted((repr(p), t) for p, t in posts
+                      if p is None or not any(c == p and u is not None and abs(u - t) <= h for c, u in clicks))
+        assert got == want

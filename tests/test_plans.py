@@ -73,3 +73,11 @@ def test_one_pipeline_behind_dashboard_and_asof(spark):
     for name in ("dashboard_bars", "score_config_asof"):
         p = plan(E.queries()[name](spark, SF001))
         assert p.count("ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>") == 1
+
+
+@pytest.mark.parametrize("name", ["click_recent", "click_recent_auto_salt", "click_counts_from_left_join"])
+def test_one_interval_join_behind_the_left_join(spark, name):
+    p = plan(E.queries()[name](spark, SF001))
+    joins = [line for line in p.split("\n") if "Join condition" in line and "click_timestamp" in line]
+    assert len(joins) == 1
+    assert "partial_min(click_timestamp" in p and "LeftAnti" in p
