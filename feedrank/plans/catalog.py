@@ -821,6 +821,53 @@ def q_config_running(spark, sf_dir):
     return read_history(spark, replayed(spark, sf_dir).path("config_running"))
 
 
+def sql_latency_metrics(window: int, partitions: int) -> str:
+    """Latency records of the replay: a window takes whole 5-day cycles until it has its count."""
+    c = f"(({{}} - {CHUNK_ORIGIN_MS}) // {5 * DAY_MS})"
+    group = f"u.{POST_ID} = t.{POST_ID} AND u.post_timestamp = t.post_timestamp"
+    return f"""WITH RECURSIVE {CTE_BASE},
+seen AS (
+  SELECT {POST_ID}, post_timestamp, click_timestamp, ingest_timestamp,
+         greatest({c.format('post_timestamp')}, {c.format('click_timestamp')}) AS c
+  FROM cr WHERE click_timestamp IS NOT NULL
+  UNION ALL SELECT {POST_ID}, segment_timestamp, NULL, NULL, {c.format('segment_timestamp')} FROM cp),
+upd AS (SELECT DISTINCT {POST_ID}, post_timestamp, c FROM seen),
+val AS (
+  SELECT u.{POST_ID} % {partitions} AS part, u.c, {CHUNK_ORIGIN_MS} + (u.c + 1) * {5 * DAY_MS} AS now,
+         u.post_timestamp, max(t.click_timestamp) AS click, max(t.ingest_timestamp) AS ingest
+  FROM upd u JOIN seen t ON {group} AND t.c <= u.c
+  GROUP BY u.{POST_ID}, u.post_timestamp, u.c),
+per AS (
+  SELECT part, c, count(*) AS n, sum(now - ingest) AS i, sum(now - click) AS k
+  FROM val WHERE click IS NOT NULL AND ingest IS NOT NULL AND post_timestamp > now - {DAY_MS}
+  GROUP BY part, c),
+w AS (
+  SELECT part, min(c) - 1 AS c, max(c) AS top, CAST(0 AS BIGINT) AS idx, CAST(0 AS HUGEINT) AS n,
+         CAST(0 AS HUGEINT) AS i, CAST(0 AS HUGEINT) AS k, false AS shut FROM per GROUP BY part
+  UNION ALL
+  SELECT w.part, w.c + 1, w.top, w.idx + CAST(shut AS INTEGER),
+         CASE WHEN shut THEN 0 ELSE w.n END + coalesce(p.n, 0),
+         CASE WHEN shut THEN 0 ELSE w.i END + coalesce(p.i, 0),
+         CASE WHEN shut THEN 0 ELSE w.k END + coalesce(p.k, 0),
+         CASE WHEN shut THEN 0 ELSE w.n END + coalesce(p.n, 0) >= {window}
+  FROM w LEFT JOIN per p ON p.part = w.part AND p.c = w.c + 1 WHERE w.c < w.top)
+SELECT CAST(part AS BIGINT) AS source_partition, CAST(idx AS BIGINT) AS window_index,
+       CAST(n AS BIGINT) AS n, round(CAST(i AS DOUBLE) / n, 6) AS average_latency_ingest,
+       round(CAST(k AS DOUBLE) / n, 6) AS average_latency_click
+FROM w WHERE shut"""
+
+
+@query("stream_latency_metrics", sql=sql_latency_metrics(20, 4))
+def q_stream_latency_metrics(spark, sf_dir):
+    """Latency records of the replayed changelog (``streaming.latency_metrics``)."""
+    from feedrank.streaming.latency_metrics import OUTPUT
+    from feedrank.streaming.replay import replayed
+    out = spark.read.schema(OUTPUT).parquet(replayed(spark, sf_dir).path("latency_metrics"))
+    return out.select("source_partition", "window_index", "n",
+                      r6(F.col("average_latency_ingest")).alias("average_latency_ingest"),
+                      r6(F.col("average_latency_click")).alias("average_latency_click"))
+
+
 def q_stream_latency_windows(spark, sf_dir):
     from feedrank.session import scratch_dir
     from feedrank.streaming.latency import replay_latency

@@ -119,6 +119,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def make_path(spark: SparkSession, path: str) -> None:
+    """Create a folder, if it isn't there, through Hadoop's FileSystem."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(jpath)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries directly under ``path`` (empty if it does not exist)."""
     jvm = spark.sparkContext._jvm
@@ -130,4 +136,4 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 
 __all__ = ["get_session", "ensure_utc", "checkpoint_root", "scratch_dir", "ship_package",
-           "path_exists", "delete_path", "list_names", "DEFAULT_CONF"]
+           "path_exists", "delete_path", "make_path", "list_names", "DEFAULT_CONF"]

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from feedrank.operators.live_table import DAY_MS
 from feedrank.sources import fixtures
 from feedrank.streaming import topology as topo
+from feedrank.streaming.latency_metrics import start_latency_metrics
 
+# Updates of a latency record in the registered replay: a chunk has few at small scale.
+REPLAY_LATENCY_WINDOW = 20
 # Chunk origin: 2024-01-01 00:00:00 UTC, so 5-day chunks end on the fixture's "now".
 CHUNK_ORIGIN_MS = 1704067200000
 
@@ -70,6 +73,8 @@ def _run_chunks(spark, cfg, stage_c, stage_p, origin_ms, chunk_ms, on_cycle=None
         q2 = topo.start_counts(spark, cfg, clock)
         q2.awaitTermination()
         stats["dropped_q2"] += topo.dropped_rows(q2)
+        if cfg.latency_window:
+            start_latency_metrics(spark, cfg, state["now"], whole_batches=True).awaitTermination()
         stats["chunks"] += 1
     return stats
 
@@ -82,7 +87,7 @@ def replayed(spark: SparkSession, sf_dir: str) -> topo.LiveConfig:
     from feedrank.session import scratch_dir
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
-        cfg = topo.LiveConfig(root=scratch_dir(spark, "live"))
+        cfg = topo.LiveConfig(root=scratch_dir(spark, "live"), latency_window=REPLAY_LATENCY_WINDOW)
         stats = replay(spark, sf_dir, cfg)
         if stats["dropped_q1"] or stats["dropped_q2"]:
             raise RuntimeError(f"the replay dropped late rows: {stats}")

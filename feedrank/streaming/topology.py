@@ -67,6 +67,8 @@ class LiveConfig:
     # table and start_snapshots publishes on a clock; False: changelog only
     publish_snapshots: bool | str = True
     keep_live: int = 10                        # live table versions kept for late readers
+    latency_window: int | None = 1000          # updates of a latency record; None: no records
+    latency_partitions: int = 4                # source partitions counted apart
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -153,8 +155,11 @@ def start_counts(spark: SparkSession, cfg: LiveConfig, clock=None, scorer=None)
     """Start query 2.
 
     ``clock(batch_id) -> epoch ms`` is the snapshot time; ``scorer()`` gives the
-    scoring function of the next snapshot (default: the built-in one).
+    scoring function of the next snapshot (default: the built-in one). Unless the
+    trigger is ``availableNow``, the latency records of the changelog start with it
+    (``streaming.latency_metrics``); after a bounded run start them by hand.
     """
+    from feedrank.streaming.latency_metrics import start_latency_metrics
     enriched = spark.readStream.schema(CLICK_RECENT).parquet(cfg.path("enriched"))
     counts = counts_stream(enriched, cfg.horizon_ms, cfg.lateness_ms)
     publisher = SnapshotPublisher(spark, cfg, clock, scorer) if cfg.publish_snapshots else None
@@ -166,9 +171,12 @@ def start_counts(spark: SparkSession, cfg: LiveConfig, clock=None, scorer=None)
             if cfg.publish_snapshots != "timer":
                 publisher.publish(batch_id)
 
-    return (counts.writeStream.outputMode("update").foreachBatch(on_batch)
-                  .option("checkpointLocation", cfg.path("_ckpt/counts"))
-                  .trigger(**cfg.trigger).start())
+    query = (counts.writeStream.outputMode("update").foreachBatch(on_batch)
+             .option("checkpointLocation", cfg.path("_ckpt/counts"))
+             .trigger(**cfg.trigger).start())
+    if cfg.latency_window and "availableNow" not in cfg.trigger:
+        start_latency_metrics(spark, cfg)
+    return query
 
 
 def start_snapshots(spark: SparkSession, cfg: LiveConfig, ckpt: str, interval_s: float = 1,
