@@ -5,9 +5,16 @@ case). A document holds an item if their Smith-Waterman score (+2 match, -1
 mismatch, -1 gap), divided by the item's best possible one, reaches the
 threshold.
 
-Three upper bounds of the score pick the pairs and windows to align. None of
-them looks at how often a word or passage occurs, and none drops a pair that
-reaches the threshold:
+Seeds. A score that reaches the threshold matches at least that share of the
+item's positions, so an item's most frequent words, as long as they cover fewer
+positions than that, can't make up a match alone: all its other words are its
+seeds (1-grams; longer ones miss copies with a word put in after each one). How
+frequent a word is, is counted by items of the test set: copies in the corpus,
+however many, don't change the seeds. A document meets an item through an index
+from seeds to items; items none of whose seeds it holds are never looked at.
+
+Three upper bounds of the score then pick the pairs and windows to align. None
+of them drops a pair that reaches the threshold:
 
 1. reach: the item positions whose word the document holds count +2;
 2. along the item: the best run of positions, +2 for a word the document holds
@@ -17,11 +24,13 @@ reaches the threshold:
    stays above zero. These stretches are the windows; each must pass bound 2 by
    itself before it is aligned.
 
-The test set is held in blocks of at most ``BLOCK_WORDS`` words, broadcast one
-by one; every document is compared with every block, in one pass for each.
+The test set is held in blocks of at most ``BLOCK_WORDS`` words, broadcast and
+released one after another; each block is one pass over the documents.
 
 Cases: null or empty texts and items match nothing; repeated rows of documents
-each give their rows; an item id with several rows reports its best one.
+each give their rows; an item id with several rows reports its best one; of equal
+scores the first window counts; texts of any length are aligned window by window;
+an empty table or test set gives no matches.
 """
 
 from __future__ import annotations
@@ -36,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedrank.llm.common import arrow_schema, documents, per_document, table
+from feedrank.llm.common import arrow_schema, documents, forget, per_document, stored, table
 
 WORD = re.compile(r"\w+")
 THRESHOLD = 0.4         # unrelated texts stay below 0.35
@@ -60,11 +69,10 @@ class Index:
                 self.items.append(np.array(seq, dtype=np.int64))
         self.apart = [np.concatenate([[-1], s]) for s in self.items]
         self.full = MATCH * np.array([len(s) for s in self.items], dtype=np.int64)
-        flat = np.concatenate([*self.items, np.zeros(0, dtype=np.int64)])
-        owner = np.repeat(np.arange(len(self.items)), [len(s) for s in self.items])
-        order = np.argsort(flat, kind="stable")
-        self.owner = owner[order]               # items by word, once for each position
-        self.first = np.searchsorted(flat[order], np.arange(len(self.words) + 1))
+        self.holders = np.bincount(
+            np.concatenate([*map(np.unique, self.items), np.zeros(0, dtype=np.int64)]),
+            minlength=len(self.words))          # items that hold a word
+        self.seeded: dict[float, tuple[np.ndarray, np.ndarray]] = {}
         self.here = np.zeros(len(self.words) + 1, dtype=bool)   # the last place: unknown words
 
     def sequence(self, text: str) -> np.ndarray:
@@ -73,13 +81,30 @@ class Index:
         return np.fromiter(map(self.words.get, found, repeat(-1)), dtype=np.int64,
                            count=len(found))
 
+    def by_seed(self, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Items by seed word, and where each word's items begin."""
+        if threshold not in self.seeded:
+            seeds = [seeds_of(s, self.holders, threshold) for s in self.items]
+            flat = np.concatenate([*seeds, np.zeros(0, dtype=np.int64)])
+            owner = np.repeat(np.arange(len(self.items)), [len(s) for s in seeds])
+            order = np.argsort(flat, kind="stable")
+            self.seeded[threshold] = (
+                owner[order], np.searchsorted(flat[order], np.arange(len(self.words) + 1)))
+        return self.seeded[threshold]
+
     def reached(self, held: np.ndarray, threshold: float) -> np.ndarray:
-        """Items that pass bounds 1 and 2 in a document with the words marked in ``held``."""
+        """Items met through a seed that pass bounds 1 and 2; ``held`` marks the document's words."""
         on = held[:-1].nonzero()[0]
-        lo, size = self.first[on], self.first[on + 1] - self.first[on]
+        owner, first = self.by_seed(threshold)
+        lo, size = first[on], first[on + 1] - first[on]
         pick = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-        reach = MATCH * np.bincount(self.owner[pick], minlength=len(self.items))
-        some = (reach >= threshold * self.full).nonzero()[0]
+        some = np.unique(owner[pick])
+        if not len(some):
+            return some
+        met = [self.items[i] for i in some.tolist()]
+        begin = np.cumsum([0, *map(len, met)])[:-1]
+        reach = MATCH * np.add.reduceat(held[np.concatenate(met)].astype(np.int64), begin)
+        some = some[reach >= threshold * self.full[some]]
         if not len(some):
             return some
         # the items side by side, each after a step that takes the sum to zero
@@ -108,6 +133,15 @@ class Index:
                 and running(self.among(item, seq[start:end])).max() >= least]
 
 
+def seeds_of(item: np.ndarray, holders: np.ndarray, threshold: float) -> np.ndarray:
+    """Words of an item one of which every match of the threshold holds, the rarest first."""
+    words, times = np.unique(item, return_counts=True)
+    order = np.lexsort((words, -holders[words]))                # the most frequent first
+    covered = np.cumsum(times[order])
+    needed = int(np.ceil(threshold * len(item) - 1e-9))         # positions a match covers
+    return words[order][covered >= needed][::-1]
+
+
 def running(step: np.ndarray) -> np.ndarray:
     """Running sum that stops at zero."""
     total = np.cumsum(step)
@@ -162,37 +196,48 @@ def blocks(items: DataFrame, words: int = BLOCK_WORDS) -> Iterator[list[tuple]]:
                      key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
+                 words: int = BLOCK_WORDS) -> DataFrame:
     """One row per document and item found in it; ``start``, ``end`` count words."""
-    share = docs.sparkSession.sparkContext.broadcast
     parts: list[DataFrame] = []
-    for block in blocks(items):
-        index = share(Index(block))
+    for block in blocks(items, words):
+        index = docs.sparkSession.sparkContext.broadcast(Index(block))
 
         def rows(pairs: Iterator[tuple], index=index) -> Iterator[tuple]:
             for doc_id, text in pairs:
                 for found in matches(index.value, index.value.sequence(text or ""), threshold):
                     yield doc_id, *found
 
-        parts.append(per_document(docs, RESULT, rows))
+        parts.append(stored(per_document(docs, RESULT, rows), "decontaminate-found"))
+        index.destroy()
     return functools.reduce(DataFrame.union, parts)
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
+               words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` (all columns) in which no test item is found."""
-    share = docs.sparkSession.sparkContext.broadcast
     arrow_schema(docs.sparkSession, RESULT)                     # ships the package
-    at, out = docs.columns.index("text"), docs
-    for block in blocks(items):
-        index = share(Index(block))
+    at = docs.columns.index("text")
 
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+    def cleaned(df: DataFrame, index) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = [not matches(index.value, index.value.sequence(t.as_py() or ""), threshold)
                          for t in batch.column(at)]
                 yield batch.filter(pa.array(clean, type=pa.bool_()))
 
-        out = out.mapInArrow(run, docs.schema)
+        return df.mapInArrow(run, docs.schema)
+
+    read, index, out = docs, None, docs
+    for block in blocks(items, words):
+        if index is not None:                   # the last block's pass ends before the next begins
+            left = stored(out, "decontaminate-clean")
+            index.destroy()
+            if read is not docs:
+                forget(read)
+            read = left
+        index = docs.sparkSession.sparkContext.broadcast(Index(block))
+        out = cleaned(read, index)
     return out
 
 
