@@ -6,12 +6,13 @@ mismatch, -1 gap), divided by the item's best possible one, reaches the
 threshold.
 
 Seeds. A score that reaches the threshold matches at least that share of the
-item's positions, so an item's most frequent words, as long as they cover fewer
-positions than that, can't make up a match alone: all its other words are its
-seeds (1-grams; longer ones miss copies with a word put in after each one). How
-frequent a word is, is counted by items of the test set: copies in the corpus,
-however many, don't change the seeds. A document meets an item through an index
-from seeds to items; items none of whose seeds it holds are never looked at.
+item's positions. An item's most frequent words that cover up to half of that
+share are left out; all its other words are its seeds (1-grams; longer ones miss
+copies with a word put in after each one), and a match holds at least the share
+less what was left out of them. How frequent a word is, is counted by items of the
+test set: copies in the corpus, however many, don't change the seeds. A document
+meets an item through an index from seeds to items; items of whose seeds it
+doesn't hold that many are never looked at.
 
 Three upper bounds of the score then pick the pairs and windows to align. None
 of them drops a pair that reaches the threshold:
@@ -81,24 +82,26 @@ class Index:
         return np.fromiter(map(self.words.get, found, repeat(-1)), dtype=np.int64,
                            count=len(found))
 
-    def by_seed(self, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-        """Items by seed word, and where each word's items begin."""
+    def by_seed(self, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Items by seed word, where each word's items begin, and seeds that a match holds at least."""
         if threshold not in self.seeded:
-            seeds = [seeds_of(s, self.holders, threshold) for s in self.items]
+            seeds, least = zip(*[seeds_of(s, self.holders, threshold) for s in self.items]) \
+                if self.items else ((), ())
             flat = np.concatenate([*seeds, np.zeros(0, dtype=np.int64)])
             owner = np.repeat(np.arange(len(self.items)), [len(s) for s in seeds])
             order = np.argsort(flat, kind="stable")
             self.seeded[threshold] = (
-                owner[order], np.searchsorted(flat[order], np.arange(len(self.words) + 1)))
+                owner[order], np.searchsorted(flat[order], np.arange(len(self.words) + 1)),
+                np.array(least, dtype=np.int64))
         return self.seeded[threshold]
 
     def reached(self, held: np.ndarray, threshold: float) -> np.ndarray:
         """Items met through a seed that pass bounds 1 and 2; ``held`` marks the document's words."""
         on = held[:-1].nonzero()[0]
-        owner, first = self.by_seed(threshold)
+        owner, first, least = self.by_seed(threshold)
         lo, size = first[on], first[on + 1] - first[on]
         pick = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-        some = np.unique(owner[pick])
+        some = (np.bincount(owner[pick], minlength=len(self.items)) >= least).nonzero()[0]
         if not len(some):
             return some
         met = [self.items[i] for i in some.tolist()]
@@ -133,13 +136,15 @@ class Index:
                 and running(self.among(item, seq[start:end])).max() >= least]
 
 
-def seeds_of(item: np.ndarray, holders: np.ndarray, threshold: float) -> np.ndarray:
-    """Words of an item one of which every match of the threshold holds, the rarest first."""
+def seeds_of(item: np.ndarray, holders: np.ndarray, threshold: float) -> tuple[np.ndarray, int]:
+    """Seeds of an item, once for each position, and how many of them a match holds at least."""
     words, times = np.unique(item, return_counts=True)
-    order = np.lexsort((words, -holders[words]))                # the most frequent first
+    order = np.argsort(-holders[words], kind="stable")          # the most frequent first
     covered = np.cumsum(times[order])
-    needed = int(np.ceil(threshold * len(item) - 1e-9))         # positions a match covers
-    return words[order][covered >= needed][::-1]
+    needed = max(1, int(np.ceil(threshold * len(item) - 1e-9)))     # positions a match covers
+    left_out = covered <= needed // 2
+    seeds = np.repeat(words[order], np.where(left_out, 0, times[order]))
+    return seeds, needed - int(covered[left_out].max(initial=0))
 
 
 def running(step: np.ndarray) -> np.ndarray:
