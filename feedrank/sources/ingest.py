@@ -89,7 +89,9 @@ def _text(value) -> str | None:
 def _whole(value) -> str | None:
     """An integer's decimal text, read as ``int(...)`` reads numbers and strings."""
     if isinstance(value, str) and INTEGER.match(value):
-        return str(int(value)) if len(value) < 1000 else None
+        plain = value.strip()
+        digits = plain.lstrip("+-").lstrip("0") or "0"       # leading zeros don't make it long
+        return ("-" if plain[0] == "-" and digits != "0" else "") + digits
     if isinstance(value, _Number):
         try:
             return str(int(float(value)))

@@ -109,3 +109,10 @@ def test_records_carry_stamps_once_and_every_field(spark):
 def test_one_parse_per_document(spark):
     plan = ing.records(ing.ingest(frame(spark, [GOOD]), 0))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_post_ids_of_any_length_keep_their_value():
+    from feedrank.sources.ingest import _whole
+    for text, value in (("0" * 5000 + "7", "7"), (" -000 ".strip(), "0"), ("+012", "12"), ("-07", "-7"),
+                        (" 7\n", "7"), ("0", "0"), ("9" * 6000, "9" * 6000), ("abc", None), ("1 2", None)):
+        assert _whole(text) == value
