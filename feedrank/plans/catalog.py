@@ -378,8 +378,7 @@ FROM events WHERE event_type <> 'signup'""")
 def q_ingest_click_stream(spark, sf_dir):
     from feedrank.schemas import CLICK
     from feedrank.sources import ingest as ing
-    routed = ing.records(_ingested(spark, sf_dir))
-    return ing.scan_topic(routed, ing.CLICK_TOPIC, CLICK)
+    return ing.scan_declared(_ingested(spark, sf_dir), ing.CLICK_TOPIC, CLICK)
 
 
 @query("ingest_create_post_stream", sql=f"""
@@ -388,8 +387,7 @@ FROM events WHERE event_type = 'signup'""")
 def q_ingest_create_post_stream(spark, sf_dir):
     from feedrank.schemas import CREATE_POST
     from feedrank.sources import ingest as ing
-    routed = ing.records(_ingested(spark, sf_dir))
-    return ing.scan_topic(routed, ing.CREATE_POST_TOPIC, CREATE_POST)
+    return ing.scan_declared(_ingested(spark, sf_dir), ing.CREATE_POST_TOPIC, CREATE_POST)
 
 
 # ----------------------------------------------------------------------------

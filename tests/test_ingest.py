@@ -1,5 +1,8 @@
 import json
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from feedrank.schemas import CLICK
 from feedrank.sources import ingest as ing
 
@@ -111,8 +114,70 @@ def test_one_parse_per_document(spark):
     assert plan.count("ArrowEvalPython") == 1
 
 
-def test_post_ids_of_any_length_keep_their_value():
-    from feedrank.sources.ingest import _whole
-    for text, value in (("0" * 5000 + "7", "7"), (" -000 ".strip(), "0"), ("+012", "12"), ("-07", "-7"),
-                        (" 7\n", "7"), ("0", "0"), ("9" * 6000, "9" * 6000), ("abc", None), ("1 2", None)):
-        assert _whole(text) == value
+def test_post_ids_of_any_length_keep_their_value(spark):
+    cases = (("0" * 5000 + "7", "7"), (" -000 ".strip(), "0"), ("+012", "12"), ("-07", "-7"),
+             (" 7\n", "7"), ("0", "0"), ("9" * 6000, "9" * 6000), ("abc", None), ("1 2", None))
+    docs = [dict(GOOD, properties={"shoppable_post_id": text}) for text, _ in cases]
+    got = rows(ing.ingest(frame(spark, docs), 0, keep=["doc_id"]), "doc_id", "key")
+    assert [key for _, key in sorted(got)] == [value for _, value in cases]
+
+
+def test_number_post_ids(spark):
+    cases = (("7.9", "7"), ("-0.5", "0"), ("7.9e0", "7"), ("1e22", "1" + "0" * 22), ("true", None),
+             ("1e400", None), ("1152921504606846977", "1152921504606846977"), ("{}", None))
+    docs = [json.dumps(dict(GOOD, properties={"shoppable_post_id": "?"})).replace('"?"', text)
+            for text, _ in cases]
+    got = rows(ing.ingest(frame(spark, docs), 0, keep=["doc_id"]), "doc_id", "key")
+    assert [key for _, key in sorted(got)] == [value for _, value in cases]
+
+
+def test_only_whole_documents_are_json(spark):
+    good = json.dumps(GOOD)
+    bad = [good + " x", good + "]", good + "}", good + ',{"#end":"1"}', good + "," + good, good + '],[1',
+           "1,2", '1,"y":2', "1]", '1},{"v":1', "'a'", "{'a':1}", "NaN", '{"a":01}', '{"a":1,}', "", " ",
+           "[" * 20_000, '{"a":"\t"}', "\ufeff" + good]
+    deep = good[:-1] + ',"x":' + "[" * 20_000 + "]" * 20_000 + "}"
+    fine = [" " + good + "\n", deep, good[:-1] + ',"q":{"a":1,"a":2},"type":"track"}']
+    other = ["[" * 20_000 + "]" * 20_000, " null", '"s"', "-1.5e3", "[{}]"]
+    out = {r.doc_id: r for r in ing.ingest(frame(spark, bad + fine + other), 0, keep=["doc_id"]).collect()}
+    reasons = [out[i].reason for i in range(len(out))]
+    assert reasons == ["invalid_json"] * len(bad) + [None] * len(fine) + ["not_an_object"] * len(other)
+    flat = [json.loads(out[i].flat) for i in range(len(bad), len(bad) + len(fine))]
+    assert flat[1]["x" + "_0" * 19_999] == [] and flat[1]["userId"] == "u1" and flat[2]["q_a"] == 2
+
+
+def test_partly_flat_names(spark):
+    docs = [dict({k: v for k, v in GOOD.items() if k != "properties"}, **more) for more in (
+        {"properties_shoppable_post_id": 1}, {"properties_shoppable": {"post": {"id": "2"}}},
+        {"properties": {"shoppable": {"post_id": 3}}}, {"properties": "s", "properties_shoppable_post": {"id": 4}},
+        {"properties": {"shoppable_post_id": None}, "properties_shoppable_post_id": 5})]
+    got = rows(ing.ingest(frame(spark, docs), 0, keep=["doc_id"]), "doc_id", "key")
+    assert [key for _, key in sorted(got)] == ["1", "2", "3", "4", "5"]
+
+
+def nested():
+    leaf = st.one_of(st.none(), st.booleans(), st.integers(), st.floats(allow_nan=False, allow_infinity=False),
+                     st.text(max_size=4))
+    return st.dictionaries(st.text("ab_", max_size=2), st.recursive(
+        leaf, lambda x: st.one_of(st.lists(x, max_size=3), st.dictionaries(st.text("ab_", max_size=2), x, max_size=3)),
+        max_leaves=8), max_size=4)
+
+
+@given(nested())
+@settings(max_examples=300, deadline=None)
+def test_deep_flatten_equals_flatten(doc):
+    text = json.dumps(doc)
+    want = ing.flatten_value(json.loads(text, parse_int=ing._Number, parse_float=ing._Number))
+    got = ing.flatten_deep(text)
+    assert list(got.items()) == list(want.items())
+
+
+def test_declared_scan_of_documents_equals_the_routed_one(spark):
+    docs = [GOOD, dict(GOOD, properties={"shoppable_post_id": "42", "display": 7}), dict(GOOD, properties={"shoppable_post_id": 1}, properties_display="x"),
+            dict(GOOD, event="Created Story"), "[1]", dict(GOOD, timestamp="?")]
+    ingested = ing.ingest(frame(spark, docs), 9, keep=["doc_id"])
+    fields = [f.name for f in CLICK.fields]
+    assert (rows(ing.scan_declared(ingested, ing.CLICK_TOPIC, CLICK), *fields)
+            == rows(ing.scan_topic(ing.records(ingested), ing.CLICK_TOPIC, CLICK), *fields))
+    both = ing.ingest(frame(spark, [dict(GOOD, properties_display="x")]), 9)     # most levels win
+    assert ing.scan_declared(both, ing.CLICK_TOPIC, CLICK).first().properties_display == "preview"

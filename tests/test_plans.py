@@ -27,6 +27,14 @@ def test_no_cartesian(spark, name):
     assert p.count("ArrowEvalPython (") <= (2 if name.startswith("ingest_") else 0)
 
 
+@pytest.mark.parametrize("name", ["ingest_raw", "ingest_topic", "ingest_key", "ingest_epoch_millis",
+                                  "ingest_route_counts", "ingest_dead_letter", "ingest_click_stream",
+                                  "ingest_create_post_stream"])
+def test_routed_fields_stay_in_the_jvm(spark, name):
+    p = plan(E.queries()[name](spark, SF001))
+    assert "Python" not in p and "Pandas" not in p
+
+
 def test_fixture_scan_is_pruned_and_pushed(spark):
     p = plan(E.queries()["click_counts"](spark, SF001))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,signup)" in p
