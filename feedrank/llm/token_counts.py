@@ -3,14 +3,18 @@
 The vocabulary is a trie over bytes. Each node has a failure link and the number
 of pieces that following it gives off: when no child fits the next byte, the
 automaton adds that number and continues at the link, so every byte is read
-once and no piece is ever built. The result equals taking the longest vocabulary
-entry at each place, left to right.
-
-Words are runs without ASCII white space, lower-cased. A word with a byte that
-no entry covers counts as one piece, as an unknown word.
-
-Cases: null and empty texts have no words and no pieces; repeated rows each get
-their row; an empty table gives an empty table.
+once and no piece is ever built. Entries with an end-of-word mark fit only at
+the end of a word, the others only before it: at the end of a word the state
+reached tells the number of pieces of what is left (worked out once a state).
+The result equals taking the longest fitting entry at each place, left to right.
+
+Words are runs without ASCII white space, lower-cased. A word with a place where
+no entry fits counts as one piece, as an unknown word.
+
+Cases: null and empty texts have no words and no pieces; very long words are
+read byte by byte and not remembered; where an entry is there with and without
+mark, each counts at its place; repeated rows each get their row; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -31,21 +35,32 @@ STUCK = -1
 
 
 class LongestMatch:
-    """Failure automaton over a set of non-empty byte strings."""
+    """Failure automaton over non-empty byte strings: ``vocabulary`` for places
+    before the end of a word, ``endings`` for its end (by default the same)."""
 
-    def __init__(self, vocabulary: Iterable[bytes]):
+    def __init__(self, vocabulary: Iterable[bytes], endings: Iterable[bytes] | None = None):
         self.child: list[dict[int, int]] = [{}]
+        self.above: list[tuple[int, int]] = [(0, 0)]        # parent, byte
         final = [False]
-        for entry in vocabulary:
+
+        def node_of(entry: bytes) -> int:
             node = 0
             for b in entry:
                 nxt = self.child[node].get(b)
                 if nxt is None:
                     nxt = self.child[node][b] = len(self.child)
                     self.child.append({})
+                    self.above.append((node, b))
                     final.append(False)
                 node = nxt
-            final[node] = final[node] or bool(entry)
+            return node
+
+        inner = [node_of(entry) for entry in vocabulary if entry]
+        last = inner if endings is None else [node_of(entry) for entry in endings if entry]
+        for node in inner:
+            final[node] = True
+        self.final = final
+        self.left = {node: 1 for node in last}      # state at the end -> pieces left
         self.fail = [STUCK] * len(self.child)
         self.popped = [0] * len(self.child)
         queue = deque([0])
@@ -66,6 +81,23 @@ class LongestMatch:
 
     def length(self, word: bytes) -> int:
         """Number of pieces of a word; 1 for an unknown one, 0 for an empty one."""
+        n = self._ended(word) if word else 0
+        return 1 if n == STUCK else n
+
+    def _pieces_left(self, node: int) -> int:
+        """Pieces of a state's bytes at the end of a word, where they are no ending:
+        the longest shorter entry, then the rest. As long as an entry at most."""
+        rest = bytearray()
+        while node:
+            node, b = self.above[node]
+            rest.append(b)
+            if self.final[node]:
+                n = self._ended(bytes(reversed(rest)))
+                return STUCK if n == STUCK else n + 1
+        return STUCK
+
+    def _ended(self, word: bytes) -> int:
+        """Number of pieces of a non-empty word, STUCK for an unknown one."""
         child, fail, popped = self.child, self.fail, self.popped
         node = count = 0
         for b in word:
@@ -74,15 +106,13 @@ class LongestMatch:
                 count += popped[node]
                 node = fail[node]
                 if node == STUCK:
-                    return 1
+                    return STUCK
                 nxt = child[node].get(b)
             node = nxt
-        while node:
-            count += popped[node]
-            node = fail[node]
-            if node == STUCK:
-                return 1
-        return count
+        left = self.left.get(node)
+        if left is None:
+            left = self.left[node] = self._pieces_left(node)
+        return STUCK if left == STUCK else count + left
 
     def lengths(self, words: list[bytes]) -> int:
         """Sum over words, repeated ones looked up in a bounded memo."""
@@ -107,13 +137,23 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def word_pieces(tokenizer: bytes) -> list[bytes]:
-    """Distinct byte strings of a tokenizer file's entries, end-of-word marks off."""
+def word_pieces(tokenizer: bytes) -> tuple[list[bytes], list[bytes]]:
+    """Byte strings of a tokenizer file's entries without and with end-of-word mark.
+
+    A file that knows no such mark has entries for any place: both lists hold all.
+    """
     spec = json.loads(tokenizer)
     special = {t["content"] for t in spec.get("added_tokens", [])}
     alphabet, mark = byte_alphabet(), spec["model"].get("end_of_word_suffix") or ""
-    entries = {e.removesuffix(mark) for e in spec["model"]["vocab"] if e not in special}
-    return sorted(bytes(alphabet[c] for c in e) for e in entries if e)
+    entries = [e for e in spec["model"]["vocab"] if e not in special and e != mark]
+
+    def raw(texts: Iterable[str]) -> list[bytes]:
+        return sorted(bytes(alphabet[c] for c in e) for e in texts)
+
+    if not mark:
+        return raw(entries), raw(entries)
+    return (raw(e for e in entries if not e.endswith(mark)),
+            raw(e.removesuffix(mark) for e in entries if e.endswith(mark)))
 
 
 _automata: dict[str, LongestMatch] = {}
@@ -123,7 +163,7 @@ def automaton_of(tokenizer: bytes) -> LongestMatch:
     key = hashlib.sha256(tokenizer).hexdigest()
     if key not in _automata:
         _automata.clear()
-        _automata[key] = LongestMatch(word_pieces(tokenizer))
+        _automata[key] = LongestMatch(*word_pieces(tokenizer))
     return _automata[key]
 
 
