@@ -21,20 +21,21 @@ from feedrank.schemas import POST_ID
 DAY_MS = 24 * 60 * 60 * 1000
 
 
-def latest_per_key(df: DataFrame, key: str = POST_ID,
+def latest_per_key(df: DataFrame, key: str | list[str] = POST_ID,
                    order: tuple[str, ...] = ("post_timestamp", "version")) -> DataFrame:
-    """One row per ``key``: the row with the greatest ``order`` tuple.
+    """One row per ``key`` (one column or several): the row with the greatest ``order`` tuple.
 
     ``max_by`` is a declarative aggregate with a partial (map side) phase, so a
     hot key never gathers its rows in one task.
     """
     order = tuple(c for c in order if c in df.columns)
-    cols = [c for c in df.columns if c != key]
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = [c for c in df.columns if c not in keys]
     rec = F.struct(*[F.col(c) for c in cols])
     ordering = F.struct(*[F.col(c) for c in order])
-    return (df.groupBy(key)
+    return (df.groupBy(*keys)
               .agg(F.max_by(rec, ordering).alias("_r"))
-              .select(key, *[F.col("_r")[c].alias(c) for c in cols]))
+              .select(*keys, *[F.col("_r")[c].alias(c) for c in cols]))
 
 
 def window_start_ms(as_of_ms: int, window_ms: int = DAY_MS) -> int:

@@ -759,10 +759,9 @@ def q_stream_live_from_changelog(spark, sf_dir):
 
 
 def _last_live(spark, sf_dir):
-    from feedrank.streaming.replay import latest_version, replayed
-    cfg = replayed(spark, sf_dir)
-    v = latest_version(spark, cfg.path("live"))
-    return spark.read.parquet(cfg.path(f"live/version={v}")).drop("version")
+    from feedrank.streaming import topology as topo
+    from feedrank.streaming.replay import replayed
+    return topo.read_live(spark, replayed(spark, sf_dir)).drop("version")
 
 
 @query("stream_live_table", sql=sql_with(sql_live_window(DAY_MS)))

@@ -135,5 +135,39 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(jpath)]
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, through Hadoop's FileSystem."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    stream = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(jpath)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, temporary: str) -> None:
+    """Write a small text file whole: to ``temporary`` first, then by a rename."""
+    jvm = spark.sparkContext._jvm
+    jpath, jtemp = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, temporary))
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.create(jtemp, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    if not fs.rename(jtemp, jpath):
+        fs.delete(jtemp, False)
+        raise OSError(f"{path} was written by another writer")
+
+
+def modified_ms(spark: SparkSession, path: str) -> int:
+    """Time of the last change of a file or folder (epoch milliseconds)."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getFileStatus(jpath).getModificationTime())
+
+
 __all__ = ["get_session", "ensure_utc", "checkpoint_root", "scratch_dir", "ship_package",
-           "path_exists", "delete_path", "make_path", "list_names", "DEFAULT_CONF"]
+           "path_exists", "delete_path", "make_path", "list_names", "read_text",
+           "write_text", "modified_ms", "DEFAULT_CONF"]

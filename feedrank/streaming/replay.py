@@ -98,9 +98,3 @@ def replayed(spark: SparkSession, sf_dir: str) -> topo.LiveConfig:
 def replay_stats(spark: SparkSession, sf_dir: str) -> dict:
     replayed(spark, sf_dir)
     return _CACHE[(spark.sparkContext.applicationId, sf_dir)][1]
-
-
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    from feedrank.session import list_names
-    vs = [int(n.split("=", 1)[1]) for n in list_names(spark, path) if n.startswith("version=")]
-    return max(vs) if vs else None

@@ -13,19 +13,21 @@ Query 2 (update) - counts changelog
     groups by (post id, post_timestamp) with the same aggregates as the batch
     path (``total`` folds the seeds out). ``foreachBatch`` writes the updated
     groups to ``changelog/version=<batch_id>`` in overwrite mode, so a retried
-    batch replaces its own output (idempotent), and then optionally runs the
-    snapshot publisher.
+    batch replaces its own output (idempotent), commits the version to a small
+    log, optionally runs the snapshot publisher, and folds the versions into the
+    compacted state from time to time.
 
 Snapshot publisher (inside query 2's ``foreachBatch``)
-    Keeps a compacted live table (previous live table + this batch's changes,
-    latest per post, sliding window) written as ``live/version=<batch_id>``:
-    the cost per batch is the live window plus the changes, never the whole
-    changelog; superseded versions are deleted. It scores with the scorer and the
-    config in force (re-read every batch: both change without restart), records
-    a config it takes up in ``config_running``, writes the snapshot rows, and -
-    at most once per ``csv_interval_ms``, by the stored push log - the score CSV
-    plus a push-log record. Everything is keyed by the batch id, so a retried
-    batch replaces its own output.
+    Keeps the live table (latest per post, sliding window) by hour of the post
+    time: a batch writes the hours it touches again, hours out of the window and
+    superseded folders are deleted (``streaming.state_table``). It scores with
+    the scorer and the config in force (re-read every batch: both change without
+    restart), records a config it takes up in ``config_running``, writes the
+    snapshot rows, and - at most once per ``csv_interval_ms``, by the last
+    records of the push log - the score CSV plus a push-log record. The logs'
+    last records are kept beside them, so a tick reads no log; old snapshots are
+    deleted. Everything is keyed by the batch id, so a retried batch replaces its
+    own output.
 
 Equality with the batch path holds when query 2 takes each query-1 batch
 whole (no ``maxFilesPerTrigger`` on query 2) and data arrives within the
@@ -37,6 +39,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,15 +47,21 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from feedrank.operators.counts import count_aggregates
-from feedrank.operators.live_table import DAY_MS, in_window, latest_per_key
-from feedrank.schemas import (CHANGELOG, CLICK, CLICK_RECENT, COUNT_COLUMNS, COUNTS, CREATE_POST,
-                              POST_ID)
-from feedrank.session import delete_path, path_exists
+from feedrank.operators.live_table import DAY_MS, in_window, latest_per_key, window_start_ms
+from feedrank.schemas import (CLICK, CLICK_RECENT, COUNT_COLUMNS, COUNTS, CREATE_POST, POST_ID,
+                              PUSH_LOG)
+from feedrank.session import delete_path, list_names, modified_ms, path_exists
+from feedrank.streaming.state_table import NULL_BUCKET, BucketTable, HeadLog
 
 HOUR_MS = 60 * 60 * 1000
 
 # One changelog version folder: the counts plus the date partition column.
 CHANGES_FILE = T.StructType(COUNTS.fields + [T.StructField("post_date", T.DateType())])
+# The changelog as read, and its compacted state as stored (the bucket is the date).
+VERSIONED = T.StructType(COUNTS.fields + [T.StructField("version", T.LongType()),
+                                          T.StructField("post_date", T.DateType())])
+LIVE = T.StructType(COUNTS.fields + [T.StructField("version", T.LongType()),
+                                     T.StructField("hour", T.LongType())])
 
 
 @dataclass
@@ -66,7 +75,10 @@ class LiveConfig:
     # True: query 2 publishes after each of its batches; "timer": it only keeps the live
     # table and start_snapshots publishes on a clock; False: changelog only
     publish_snapshots: bool | str = True
-    keep_live: int = 10                        # live table versions kept for late readers
+    keep_live: int = 10                        # live table commits kept for late readers
+    keep_snapshots: int | None = 1000          # snapshots kept; None: all
+    compact_every: int | None = 100            # changelog versions folded at a time; None: never
+    retain_versions_ms: int = DAY_MS           # folded version folders stay for followers
     latency_window: int | None = 1000          # updates of a latency record; None: no records
     latency_partitions: int = 4                # source partitions counted apart
 
@@ -145,10 +157,29 @@ def counts_stream(enriched: DataFrame, horizon_ms: int, lateness_ms: int) -> Dat
              .select(*COUNT_COLUMNS))
 
 
+def _versions_log(spark: SparkSession, cfg: LiveConfig) -> HeadLog:
+    return HeadLog(spark, cfg.path("changelog"))
+
+
+def _compacted(spark: SparkSession, cfg: LiveConfig) -> BucketTable:
+    return BucketTable(spark, cfg.path("changelog_compacted"), VERSIONED, "upto")
+
+
 def _write_changes(batch: DataFrame, batch_id: int, cfg: LiveConfig) -> None:
+    """Write a version, then commit it: readers see versions of the log only."""
+    spark, version = batch.sparkSession, int(batch_id)
+    mark = (_compacted(spark, cfg).newest() or {"commit": -1})["commit"]
+    if version == mark:
+        return              # a retried batch whose version is folded already
+    if version < mark:
+        raise ValueError(f"version {version} after {mark}: batch numbers restarted, use a new root")
     out = (batch.withColumn("post_date", F.to_date(F.timestamp_millis("post_timestamp"))))
     out.write.mode("overwrite").partitionBy("post_date").parquet(
-        cfg.path(f"changelog/version={int(batch_id)}"))
+        cfg.path(f"changelog/version={version}"))
+    log = _versions_log(spark, cfg)
+    known = (log.newest() or {"versions": []})["versions"]
+    log.append({"versions": sorted({v for v in known if v > mark} | {version})})
+    log.prune()
 
 
 def start_counts(spark: SparkSession, cfg: LiveConfig, clock=None, scorer=None) -> StreamingQuery:
@@ -170,6 +201,8 @@ def start_counts(spark: SparkSession, cfg: LiveConfig, clock=None, scorer=None)
             publisher.update_live(batch_id)
             if cfg.publish_snapshots != "timer":
                 publisher.publish(batch_id)
+        if cfg.compact_every and len(live_versions(spark, cfg)) >= cfg.compact_every:
+            compact_changelog(spark, cfg)
 
     query = (counts.writeStream.outputMode("update").foreachBatch(on_batch)
              .option("checkpointLocation", cfg.path("_ckpt/counts"))
@@ -193,55 +226,81 @@ def start_snapshots(spark: SparkSession, cfg: LiveConfig, ckpt: str, interval_s:
             .trigger(processingTime=f"{int(interval_s * 1000)} milliseconds").start())
 
 
-def _versions(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    from feedrank.session import list_names
-    return sorted(int(n.split("=", 1)[1]) for n in list_names(spark, path) if n.startswith(prefix))
+def live_versions(spark: SparkSession, cfg: LiveConfig) -> list[int]:
+    """Committed versions that no compaction has folded yet."""
+    # the versions first: those of a compaction in between are then found folded
+    versions = (_versions_log(spark, cfg).newest() or {"versions": []})["versions"]
+    mark = (_compacted(spark, cfg).newest() or {"commit": -1})["commit"]
+    return [v for v in versions if v > mark]
+
+
+def _read_versions(spark: SparkSession, cfg: LiveConfig, versions: list[int]) -> DataFrame:
+    if not versions:
+        return spark.createDataFrame([], VERSIONED)
+    return (spark.read.schema(VERSIONED).option("basePath", cfg.path("changelog"))
+            .parquet(*[cfg.path(f"changelog/version={v}") for v in versions])
+            .select(*VERSIONED.names))
 
 
 def read_changelog(spark: SparkSession, cfg: LiveConfig) -> DataFrame:
     """The changelog as a batch table (columns of CHANGELOG + post_date).
 
-    When a compaction exists, it replaces every version up to its mark, so a
-    reader scans the compacted state plus the newer versions only.
+    The compacted state plus the committed versions after its mark; folders that
+    the two commit logs do not name (being written, or folded) are not listed.
     """
-    if not path_exists(spark, cfg.path("changelog")):
-        return spark.createDataFrame([], CHANGELOG)
-    marks = [m for m in _versions(spark, cfg.path("changelog_compacted"), "upto=")
-             if path_exists(spark, cfg.path(f"changelog_compacted/upto={m}/_SUCCESS"))]
-    full = spark.read.parquet(cfg.path("changelog"))
-    if not marks:
-        return full
-    mark = marks[-1]
-    comp = spark.read.parquet(cfg.path(f"changelog_compacted/upto={mark}"))
-    return comp.unionByName(full.filter(F.col("version") > F.lit(mark)))
+    versions = (_versions_log(spark, cfg).newest() or {"versions": []})["versions"]
+    state = _compacted(spark, cfg)
+    folded = state.newest()
+    if folded is None:
+        return _read_versions(spark, cfg, versions)
+    newer = [v for v in versions if v > folded["commit"]]
+    return state.scan(folded["buckets"]).select(*VERSIONED.names).unionByName(
+        _read_versions(spark, cfg, newer))
 
 
 def compact_changelog(spark: SparkSession, cfg: LiveConfig, retain_after_ms: int | None = None) -> int | None:
     """Fold all committed versions into one row per (post id, post_timestamp).
 
-    Rows keep the version that produced them; ``retain_after_ms`` drops groups
-    whose post time is at or before it (they can no longer enter a live
-    window). Written as a new ``changelog_compacted/upto=<v>`` folder; readers
-    switch to it once its ``_SUCCESS`` marker exists, so a failed compaction is
-    never read. Returns the mark, or None when there is nothing to compact.
+    Rows keep the version that produced them. The state lies by day of the post
+    time and only days with changes are written again; ``retain_after_ms`` drops
+    the days that end at or before it (they can no longer enter a live window).
+    Readers switch at the commit. Version folders that an *earlier* compaction
+    folded and that are older than ``cfg.retain_versions_ms`` are removed, so a
+    reader or follower of the changelog has that long to finish. Returns the
+    mark, or None when there is nothing to compact. The counts query compacts by
+    itself every ``cfg.compact_every`` versions; else call it from one place.
     """
-    mark = None
-    for v in _versions(spark, cfg.path("changelog"), "version="):
+    state = _compacted(spark, cfg)
+    before = (state.newest() or {"commit": None})["commit"]
+    versions = []
+    for v in live_versions(spark, cfg):
         if not path_exists(spark, cfg.path(f"changelog/version={v}/_SUCCESS")):
             break           # being written: neither it nor a later one may be folded yet
-        mark = v
-    if mark is None:
-        return None
-    cl = read_changelog(spark, cfg).filter(F.col("version") <= F.lit(mark))
-    if retain_after_ms is not None:
-        cl = cl.filter(F.col("post_timestamp") > F.lit(int(retain_after_ms)))
-    keyed = cl.withColumn("_k", F.struct(POST_ID, "post_timestamp"))
-    latest = latest_per_key(keyed.drop(POST_ID, "post_timestamp"), key="_k", order=("version",))
-    out = latest.select(F.col("_k")[POST_ID].alias(POST_ID),
-                        F.col("_k.post_timestamp").alias("post_timestamp"),
-                        *[c for c in latest.columns if c != "_k"])
-    out.write.mode("overwrite").parquet(cfg.path(f"changelog_compacted/upto={mark}"))
-    return mark
+        versions.append(v)
+    if not versions:
+        return before
+
+    def alive(day: str) -> bool:
+        if retain_after_ms is None or day == NULL_BUCKET:
+            return True
+        return (date.fromisoformat(day) - date(1970, 1, 1)).days * DAY_MS + DAY_MS > retain_after_ms
+
+    state.merge(versions[-1], _read_versions(spark, cfg, versions), F.col("post_date"),
+                lambda rows: latest_per_key(rows, [POST_ID, "post_timestamp", "post_date"], ("version",)),
+                alive)
+    if before is not None:
+        _drop_versions(spark, cfg, before)
+    return versions[-1]
+
+
+def _drop_versions(spark: SparkSession, cfg: LiveConfig, mark: int) -> None:
+    """Remove version folders up to ``mark`` that are past their retention."""
+    limit = int(time.time() * 1000) - cfg.retain_versions_ms
+    for name in list_names(spark, cfg.path("changelog")):
+        key, _, number = name.partition("=")
+        folder = cfg.path(f"changelog/{name}")
+        if key == "version" and int(number) <= mark and modified_ms(spark, folder) <= limit:
+            delete_path(spark, folder)
 
 
 def current_counts(spark: SparkSession, cfg: LiveConfig) -> DataFrame:
@@ -259,6 +318,21 @@ def current_counts(spark: SparkSession, cfg: LiveConfig) -> DataFrame:
 # Snapshot publisher
 # --------------------------------------------------------------------------
 
+def _live(spark: SparkSession, cfg: LiveConfig) -> BucketTable:
+    return BucketTable(spark, cfg.path("live"), LIVE, "commit", cfg.keep_live)
+
+
+def read_live(spark: SparkSession, cfg: LiveConfig, as_of: int | None = None) -> DataFrame | None:
+    """The newest live table at ``as_of`` (default: the time of its last update)."""
+    table = _live(spark, cfg)
+    newest = table.newest()
+    if newest is None:
+        return None
+    at = newest["as_of"] if as_of is None else int(as_of)
+    # a post whose creations lie in several hours has a row in each
+    return latest_per_key(in_window(table.scan(newest["buckets"]).drop("hour"), at, cfg.window_ms))
+
+
 class SnapshotPublisher:
     """Maintains the compacted live table and publishes scored snapshots."""
 
@@ -268,50 +342,58 @@ class SnapshotPublisher:
         self.clock = clock or (lambda batch_id: int(time.time() * 1000))
         self.scorer = scorer or (lambda: None)
 
-    def _previous_live(self, batch_id: int) -> DataFrame | None:
-        """The newest complete live table written by an earlier batch."""
-        return self._newest_live(below=int(batch_id))
-
-    def _newest_live(self, below: float = float("inf")) -> DataFrame | None:
-        for v in reversed(_versions(self.spark, self.cfg.path("live"), "version=")):
-            if v < below and path_exists(
-                    self.spark, self.cfg.path(f"live/version={v}/_SUCCESS")):
-                return self.spark.read.parquet(self.cfg.path(f"live/version={v}"))
-        return None
-
-    def _drop_superseded(self, batch_id: int) -> None:
-        """Delete live tables older than the last ``keep_live``."""
-        old = [v for v in _versions(self.spark, self.cfg.path("live"), "version=") if v <= batch_id]
-        for v in old[:-max(2, self.cfg.keep_live)]:
-            delete_path(self.spark, self.cfg.path(f"live/version={v}"))
+    def _record(self, log: str, as_of: int, schema: T.StructType, batch_id: int) -> dict | None:
+        """The newest record of ``log`` before ``as_of``, by its last commits.
+
+        A record that this batch wrote and did not commit (it failed in between)
+        is committed here.
+        """
+        heads = HeadLog(self.spark, self.cfg.path(log))
+        records = heads.records()
+        own = self.cfg.path(f"{log}/batch={int(batch_id)}")
+        if path_exists(self.spark, f"{own}/_SUCCESS"):
+            row = self.spark.read.schema(schema).parquet(own).first()
+            if row is not None and row.asDict() not in records:
+                self._commit(log, row.asDict())
+                records = heads.records()
+        before = [r for r in records if r["ts_ms"] < as_of]
+        return max(before, key=lambda r: r["ts_ms"]) if before else None
+
+    def _commit(self, log: str, record: dict) -> None:
+        heads = HeadLog(self.spark, self.cfg.path(log))
+        heads.append(record)
+        heads.prune()
 
     def _running_config(self, as_of: int, batch_id: int) -> DataFrame:
         """The config in force, recorded when it is not the one recorded last."""
-        from feedrank.operators.config import PARAMS, config_latest, read_history
+        from feedrank.operators.config import CONFIG_HISTORY, PARAMS, config_latest, read_history
         history = read_history(self.spark, self.cfg.path("config_history"))
         conf = config_latest(history.filter(F.col("ts_ms") <= F.lit(as_of)))
-        values = conf.select(*PARAMS).first()
-        log = self.cfg.path("config_running")
-        before = config_latest(read_history(self.spark, log).filter(F.col("ts_ms") < F.lit(as_of)))
-        last = before.first()
-        if last["ts_ms"] is None or tuple(last)[1:] != tuple(values):
+        values = conf.select(*PARAMS).first().asDict()
+        last = self._record("config_running", as_of, CONFIG_HISTORY, batch_id)
+        if last is None or {n: last[n] for n in PARAMS} != values:
             (conf.withColumn("ts_ms", F.lit(as_of).cast("long")).select("ts_ms", *PARAMS)
-             .write.mode("overwrite").parquet(f"{log}/batch={int(batch_id)}"))
+             .write.mode("overwrite").parquet(self.cfg.path(f"config_running/batch={int(batch_id)}")))
+            self._commit("config_running", {"ts_ms": as_of, **values})
         return conf
 
     def update_live(self, batch_id: int) -> None:
-        """Fold this batch's changes into the live table."""
+        """Fold this batch's changes into the live table.
+
+        Kept by hour of the post time: the hours that the batch touches are written
+        again, hours that have left the window go.
+        """
         spark, cfg = self.spark, self.cfg
         as_of = int(self.clock(batch_id))
         changes = (spark.read.schema(CHANGES_FILE).parquet(cfg.path(f"changelog/version={int(batch_id)}"))
                         .withColumn("version", F.lit(int(batch_id)).cast("long"))
                         .drop("post_date"))
-        prev = self._previous_live(batch_id)
-        merged = changes if prev is None else prev.unionByName(changes)
-        live = latest_per_key(in_window(merged, as_of, cfg.window_ms))
-        # a written table cuts the lineage
-        live.write.mode("overwrite").parquet(cfg.path(f"live/version={int(batch_id)}"))
-        self._drop_superseded(int(batch_id))
+        start = window_start_ms(as_of, cfg.window_ms)
+        _live(spark, cfg).merge(
+            int(batch_id), in_window(changes, as_of, cfg.window_ms),
+            F.floor(F.col("post_timestamp") / F.lit(HOUR_MS)),
+            lambda rows: latest_per_key(in_window(rows, as_of, cfg.window_ms), [POST_ID, "hour"]),
+            lambda hour: (int(hour) + 1) * HOUR_MS > start, as_of=as_of)
 
     def publish(self, batch_id: int) -> str:
         """Score and publish the newest live table as it stands at the clock's time."""
@@ -319,20 +401,21 @@ class SnapshotPublisher:
         from feedrank.sinks import writers
         spark, cfg = self.spark, self.cfg
         as_of = int(self.clock(batch_id))
-        newest = self._newest_live()
-        if newest is None:
+        live = read_live(spark, cfg, as_of)
+        if live is None:
             return ""
-        live = in_window(newest, as_of, cfg.window_ms)
         conf = self._running_config(as_of, batch_id)
         scored = score_with_config_frame(live.drop("version"), conf, self.scorer()) \
             .withColumn("snapshot_ts", F.lit(as_of).cast("long"))
         scored.write.mode("overwrite").parquet(cfg.path(f"snapshots/batch={int(batch_id)}"))
-        last = (writers.read_push_log(spark, cfg.path("push_log"))
-                .filter(F.col("ts_ms") < F.lit(as_of)).agg(F.max("ts_ms")).first()[0])
-        if last is not None and as_of - last < cfg.csv_interval_ms:
+        if cfg.keep_snapshots:
+            delete_path(spark, cfg.path(f"snapshots/batch={int(batch_id) - cfg.keep_snapshots}"))
+        last = self._record("push_log", as_of, PUSH_LOG, batch_id)
+        if last is not None and as_of - last["ts_ms"] < cfg.csv_interval_ms:
             return ""
         name = writers.write_score_csv(scored, cfg.path("csv"), as_of)
         writers.write_push_log(spark, cfg.path("push_log"), as_of, writers.csv_name(as_of), batch_id)
+        self._commit("push_log", {"ts_ms": as_of, "filename": writers.csv_name(as_of)})
         return name
 
 
