@@ -1,10 +1,17 @@
 """Operator 3: transcript parsing by a hidden Markov model, canonical rendering.
 
 A transcript is an ordered run of lines. Each line gives an observation: the
-word of a speaker marker at its start (if any), its length class and how it ends. Hidden states are (role, first line of a
-turn or a later one); Viterbi recovers them, then every line is rendered in
-canonical form: a ``<|role|>`` line opens a turn and markers are taken off. Which
-marker word means which role is learned, not listed.
+word of a speaker marker at its start (if any), its length class and how it ends.
+A marker is told by its form: one or two words, framed or followed by a colon.
+Hidden states are (role, first line of a turn or a later one); Viterbi recovers
+them, then every line is rendered in canonical form: a ``<|role|>`` line opens a
+turn and loses its marker; other lines stay whole.
+
+What a word means is learned from the conversations whose roles are known: each
+word is a class (a few common ones by number, all others by hash). A word that
+training didn't meet falls back on how markers in general fall on the states, so
+it opens a turn, and its role comes from the turns around it. A first line that
+opens with ordinary words in a marker's form loses them too.
 
 Scale. Lines are range-partitioned by (conversation, turn, line, text), so a
 conversation of any length is cut into runs of even size. Viterbi over a run is
@@ -14,7 +21,8 @@ the driver, which finds the best states at the cuts. Every run is then decoded o
 its own, with its cut states given. The result is that of one Viterbi pass over
 each whole conversation.
 
-Cases: a null or empty text is one empty line; a null conversation id is one
+Cases: a null or empty text is one empty line; a very long line is one observation;
+a role beyond the three has no state and teaches nothing, its lines get one of them; a null conversation id is one
 conversation, null turns come first; repeated rows are further lines in place;
 an empty table gives no rows; without known roles every state is equally likely
 and the first role wins ties.
@@ -23,6 +31,7 @@ and the first role wins ties.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,13 +44,16 @@ from feedrank.llm.common import arrow_schema, per_batch, stored, table
 
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)         # role * 2 + (1 on a turn's later lines)
-# Words that may stand in a speaker marker; the model learns what each means.
+# Words with a class of their own; all others share HASHED classes.
 MARKER_WORDS = ("system", "note", "user", "human", "customer", "question", "q", "assistant",
                 "ai", "bot", "agent", "answer", "a")
-MARKER = re.compile(r"\s*(?:[#*]{1,4}\s*|<\|?|\[)?(" + "|".join(MARKER_WORDS)
-                    + r")(?:\s*(?:\|?>|\]|\*+|:))+\s*", re.IGNORECASE)
+HASHED = 499
+FRAME_OPEN, FRAME_CLOSE = r"\s*(?:[#*]{1,4}\s*|<\|?|\[)?", r"(?:\s*(?:\|?>|\]|\*+|:))+"
+MARKER = re.compile(FRAME_OPEN + "(" + "|".join(MARKER_WORDS) + ")" + FRAME_CLOSE + r"\s*", re.IGNORECASE)
+FORM = re.compile(FRAME_OPEN + r"([^\W\d_][\w.'-]{0,31}(?: [\w.'-]{1,31})?)" + FRAME_CLOSE + r"(?:\s+|$)")
 LENGTHS = (0, 20, 60, 120, 240, 480)
-OBSERVED = (len(MARKER_WORDS) + 1, len(LENGTHS) + 1, 4)      # sizes of the parts
+OBSERVED = (1 + len(MARKER_WORDS) + HASHED, len(LENGTHS) + 1, 4)      # sizes of the parts
+UNSEEN = 0.1                    # share of the markers' weight that is spread over all words
 TRAIN_FOLDS, FOLDS = 4, 5       # conversations of this share teach the model
 NULL_KEY = -(1 << 63)           # stands for a null conversation id or turn in keys
 LINE = ("part int, conv_id long, turn long, line_no int, tie long, line string, marker int, "
@@ -50,9 +62,13 @@ RESULT = "conv_id long, turn long, line_no int, role string, rendered string"
 
 
 def observe(line: str) -> tuple[int, int, int, int]:
-    """marker word, length class, ending class, and where the body starts."""
-    m = MARKER.match(line)
-    marker = MARKER_WORDS.index(m.group(1).lower()) + 1 if m else 0
+    """marker class (0: none), length class, ending class, and where the body starts."""
+    m = MARKER.match(line) or FORM.match(line)
+    word = m.group(1).lower() if m else ""
+    if word in MARKER_WORDS:
+        marker = MARKER_WORDS.index(word) + 1
+    else:
+        marker = 1 + len(MARKER_WORDS) + zlib.crc32(word.encode()) % HASHED if m else 0
     body = line[m.end():].rstrip() if m else line.rstrip()
     length = sum(len(body) > k for k in LENGTHS)
     ending = {"?": 1, ":": 2, ".": 3}.get(body[-1:], 0)
@@ -72,8 +88,8 @@ class Model:
     @classmethod
     def of(cls, counts: dict[tuple[str, int, int], int]) -> "Model":
         """From counts by (kind, row, column); kinds: start, step, part 0..2."""
-        def matrix(kind: str, rows: int, columns: int) -> np.ndarray:
-            m = np.full((rows, columns), 0.1)
+        def matrix(kind: str, rows: int, columns: int, least: float = 0.1) -> np.ndarray:
+            m = np.full((rows, columns), least)
             for (k, i, j), n in counts.items():
                 if k == kind:
                     m[i, j] += n
@@ -86,7 +102,10 @@ class Model:
             for t in range(1, STATES, 2):
                 if t // 2 != s // 2:
                     step[s, t] = 1e-9               # a later line keeps its role
-        parts = [matrix(f"part{i}", STATES, n) for i, n in enumerate(OBSERVED)]
+        words = matrix("part0", STATES, OBSERVED[0], 1e-5)
+        words[:, 0] += 0.1
+        words[:, 1:] += UNSEEN * words[:, 1:].mean(axis=1, keepdims=True)
+        parts = [words, *(matrix(f"part{i}", STATES, n) for i, n in enumerate(OBSERVED) if i)]
         return cls(np.log(start / start.sum()), np.log(step / step.sum(1, keepdims=True)),
                    [np.log(p / p.sum(1, keepdims=True)) for p in parts])
 
@@ -154,22 +173,33 @@ def _seen(frame: pd.DataFrame) -> np.ndarray:
 
 
 def train(lines: DataFrame) -> Model:
-    """Count states and observations of conversations whose roles are known."""
+    """Count states and observations of conversations whose roles are known.
+
+    A start is counted where a conversation begins, not where a part goes on with
+    one; a step where two lines that follow each other both have a state.
+    """
     schema = "kind string, i int, j int, n long"
     arrow_schema(lines.sparkSession, schema)
-    known = lines.filter((F.pmod(F.xxhash64("conv_id"), F.lit(FOLDS)) < TRAIN_FOLDS)
-                         & F.col("state").isNotNull())
+    # one row a part: the conversation it ends with, which the next may go on with
+    ends = lines.groupBy("part").agg(F.max("conv_id").alias("last")).orderBy("part").collect()
+    goes_on = {after["part"]: row["last"] for row, after in zip(ends, ends[1:])}
+    known = lines.filter(F.pmod(F.xxhash64("conv_id"), F.lit(FOLDS)) < TRAIN_FOLDS).drop("line")
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         frame, bounds = _runs(frame)
-        state, seen = frame["state"].to_numpy(dtype=np.int64), _seen(frame)
+        labelled = frame["state"].notna().to_numpy()
+        state, seen = frame["state"].fillna(0).to_numpy(dtype=np.int64), _seen(frame)
         found: dict[tuple[str, int, int], int] = {}
-        first = np.zeros(len(frame), dtype=bool)
-        first[bounds[:-1]] = True
-        inner = np.flatnonzero(~first)
+        opens = np.zeros(len(frame), dtype=bool)
+        opens[bounds[:-1]] = True
+        inner = np.flatnonzero(~opens)
+        inner = inner[labelled[inner] & labelled[inner - 1]]
+        opens[0] = goes_on.get(int(frame["part"].iloc[0])) != int(frame["conv_id"].iloc[0])
+        first = opens & labelled
+        state_, seen_ = state[labelled], seen[labelled]
         for kind, i, j in (("start", np.zeros(int(first.sum()), int), state[first]),
                            ("step", state[inner - 1], state[inner]),
-                           *((f"part{k}", state, seen[:, k]) for k in range(len(OBSERVED)))):
+                           *((f"part{k}", state_, seen_[:, k]) for k in range(len(OBSERVED)))):
             for pair, n in zip(*np.unique(np.stack([i, j], 1), axis=0, return_counts=True)):
                 found[kind, int(pair[0]), int(pair[1])] = int(n)
         return pd.DataFrame([(*k, n) for k, n in found.items()], columns=["kind", "i", "j", "n"])
@@ -197,7 +227,7 @@ def cut_states(lines: DataFrame, model: Model) -> dict[int, tuple[int | None, in
                         k == len(bounds) - 2, through(e, model.step, first).ravel().tolist()))
         return pd.DataFrame(out, columns=["part", "conv_id", "at_start", "at_end", "scores"])
 
-    found = (lines.groupBy("part").applyInPandas(ends, schema)
+    found = (lines.drop("line").groupBy("part").applyInPandas(ends, schema)
              .orderBy("part", F.col("at_start").desc()).collect())
     given: dict[int, list] = {}
     chain: list = []
@@ -240,7 +270,7 @@ def decode(lines: DataFrame, model: Model) -> DataFrame:
             path[s:t] = viterbi(e_all[s:t], model.step, first, last if goes_on else None)
         texts = []
         for line, body, state in zip(frame["line"], frame["body"], path):
-            text = line[body:].strip()
+            text = (line[body:] if state % 2 == 0 else line).strip()
             texts.append(f"<|{ROLES[state // 2]}|>\n{text}" if state % 2 == 0 else text)
         frame = frame.assign(role=[ROLES[s // 2] for s in path], rendered=texts)
         return frame[["conv_id", "turn", "line_no", "role", "rendered"]]

@@ -78,3 +78,62 @@ def test_odd_rows(spark):
     assert sum(r["conv_id"] is None for r in got) >= 2
     empty = q.sequence(q.transcripts(turns.limit(0)))
     assert q.decode(empty, q.train(empty)).count() == 0
+
+
+def test_viterbi_equals_the_best_of_all_paths():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 4):
+        for last in (None, 2):
+            e, step, first = rng.normal(size=(n, q.STATES)), rng.normal(size=(q.STATES, q.STATES)), rng.normal(size=q.STATES)
+
+            def score(p):
+                return first[p[0]] + sum(step[i, j] + e[t, j] for t, (i, j) in enumerate(zip(p, p[1:]), 1))
+
+            paths = [p for p in itertools.product(range(q.STATES), repeat=n) if last is None or p[-1] == last]
+            assert tuple(q.viterbi(e, step, first, last)) == max(paths, key=score)
+
+
+def test_marker_forms():
+    words = {q.observe(line)[0] for line in ("Support: ok", "<|tool|> x", "[moderator] x", "**Alice:** x", "Human 1: x")}
+    assert len(words) >= 4 and min(words) > len(q.MARKER_WORDS)
+    assert q.observe("Support: ok")[0] == q.observe("[SUPPORT] ok")[0] and q.observe("Support: ok")[3] == 9
+    for plain in ("http://x.y/z", "12:30 start", "we went there: twice", "no marker", "x" * 100_000):
+        assert q.observe(plain)[0] == 0 and q.observe(plain)[3] == 0
+
+
+def test_words_not_met_in_training(spark):
+    """Held-out conversations with markers of other words: roles, and no marker left."""
+    turns = table(spark, "/root/testdata/sf0.01", "conversations")
+    model = q.train(q.sequence(q.transcripts(turns)))
+    held = turns.filter(F.pmod(F.xxhash64(F.col("conv_id").cast("long")), F.lit(q.FOLDS)) >= q.TRAIN_FOLDS)
+    even = F.col("conv_id") % 2 == 0
+    name = (F.when(F.col("role") == "system", F.when(even, "Setup: ").otherwise("<|context|> "))
+            .when(F.col("role") == "user", F.when(even, "Client: ").otherwise("[Alice] "))
+            .otherwise(F.when(even, "Support: ").otherwise("[Bob] ")))
+    bare = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(10)) == 0
+    lines = held.select("conv_id", "turn", F.posexplode(F.split(F.concat(
+        F.when(bare, "").otherwise(name), F.coalesce("text", F.lit(""))), "\n")).alias("line_no", "line"), "role")
+    true = {(r["conv_id"], r["turn"]): r["role"] for r in held.collect()}
+    got = q.decode(q.sequence(lines), model).collect()
+    assert np.mean([true[r["conv_id"], r["turn"]] == r["role"] for r in got]) >= 0.9
+    left = [r for r in got if any(w in r["rendered"] for w in ("Setup:", "Client:", "Support:", "context|>", "[Alice]", "[Bob]"))]
+    assert len(left) <= 0.01 * len(got)
+
+
+def test_starts_and_steps_are_those_of_conversations(many_parts):
+    """One conversation over many parts starts once; a line without a state breaks no step."""
+    rows = [(7, t, "tool" if t == 50 else ("user", "assistant")[t % 2], f"line {t}") for t in range(200)]
+    lines = q.sequence(q.transcripts(many_parts.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    assert lines.select("part").distinct().count() > 3
+    seen = {}
+    real = q.Model.of
+    try:
+        q.Model.of = classmethod(lambda cls, counts: seen.update(counts) or real(counts))
+        fold, q.TRAIN_FOLDS = q.TRAIN_FOLDS, q.FOLDS
+        q.train(lines)
+    finally:
+        q.Model.of, q.TRAIN_FOLDS = real, fold
+    assert {k[1:]: n for k, n in seen.items() if k[0] == "start"} == {(0, 2): 1}
+    # turns 49 and 51 are the assistant's, but they don't follow each other
+    steps = {k[1:] for k in seen if k[0] == "step"}
+    assert steps and steps <= {(2, 3), (3, 4), (4, 5), (5, 2), (2, 4), (4, 2)}
