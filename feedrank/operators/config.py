@@ -19,6 +19,10 @@ from feedrank.functions.scoring import ScoringConfig, config_columns, with_score
 from feedrank.operators.asof import asof_values
 
 PARAMS = ScoringConfig.names()
+# Most distinct snapshot times whose configs are broadcast (8 numbers each: some 10 MB),
+# and the parts into which a time's rows are split beyond that.
+BROADCAST_TIMES = 100_000
+TIME_SALT = 64
 
 CONFIG_HISTORY = T.StructType(
     [T.StructField("ts_ms", T.LongType(), False)]
@@ -77,15 +81,31 @@ def config_asof(times: DataFrame, time_col: str, history: DataFrame) -> DataFram
 
 
 def score_with_history(snapshots: DataFrame, history: DataFrame, time_col: str = "snapshot_ts",
-                       times: DataFrame | None = None) -> DataFrame:
+                       times: DataFrame | None = None, broadcast_times: int = BROADCAST_TIMES,
+                       salt: int = TIME_SALT) -> DataFrame:
     """Score snapshot rows with the config in force at their ``time_col``.
 
     ``times``: the snapshot times, where they are known without computing the
     snapshots (a calendar, the post times); else they are read from the rows.
+
+    A snapshot time is the key of a whole live table, so rows are never shuffled
+    by it: up to ``broadcast_times`` distinct times (counted first, the count stops
+    there) the configs travel to the rows; beyond, each time is split ``salt`` ways
+    by a hash of the row, and its config is copied as often.
     """
-    cfg = config_asof(snapshots if times is None else times, time_col, history).select(
+    known = snapshots if times is None else times
+    cfg = config_asof(known, time_col, history).select(
         F.col(time_col).alias("_cfg_t"), *[F.col(n).alias("_cfg_" + n) for n in PARAMS])
-    joined = snapshots.join(cfg, F.col(time_col) == F.col("_cfg_t"), "inner")
+    few = known.select(time_col).distinct().limit(broadcast_times + 1).count() <= broadcast_times
+    on_time = F.col(time_col) == F.col("_cfg_t")
+    if few:
+        joined = snapshots.join(F.broadcast(cfg), on_time, "inner")
+    else:
+        copies = cfg.withColumn("_cfg_s", F.explode(F.sequence(F.lit(0), F.lit(int(salt) - 1))))
+        row_salt = F.pmod(F.xxhash64(*snapshots.columns), F.lit(int(salt))).cast("int")
+        joined = (snapshots.withColumn("_row_s", row_salt)
+                  .join(copies, on_time & (F.col("_row_s") == F.col("_cfg_s")), "inner")
+                  .drop("_row_s", "_cfg_s"))
     scored = with_scores(joined, config_columns("_cfg_"))
     return scored.drop("_cfg_t", *["_cfg_" + n for n in PARAMS])
 

@@ -67,3 +67,29 @@ def test_asof_brute_force(spark):
     for t in set(left):
         prior = [i for i, x in enumerate(right) if x <= t]
         assert got[t] == (float(prior[-1]) if prior else None)
+
+
+def test_scores_by_time_broadcast_or_salted(spark):
+    """Both joins give each row the config of its time; no row is shuffled by time alone."""
+    from feedrank.functions.scoring import ScoringConfig
+    from test_scoring import py_score
+    h = spark.createDataFrame([], cfgop.CONFIG_HISTORY)
+    for ts, offset in ((10, 1.0), (20, 2.0)):
+        h = h.unionByName(cfgop.config_row(spark, ts, {"score_offset": offset}))
+    snaps = spark.createDataFrame([(p, t, p, p // 2) for t in (5, 10, 19, 20, 30) for p in range(40)]
+                                  + [(1, None, 1, 0), (2, 19, 2, 1), (2, 19, 2, 1)],
+                                  "post long, snapshot_ts long, preview long, full_view long")
+
+    def offset(t):
+        return ScoringConfig() if t < 10 else ScoringConfig(score_offset=1.0 if t < 20 else 2.0)
+
+    exp = sorted((r.post, r.snapshot_ts, round(py_score(r.preview, r.full_view, offset(r.snapshot_ts))[0], 9))
+                 for r in snaps.collect() if r.snapshot_ts is not None)
+    small = cfgop.score_with_history(snaps, h)
+    many = cfgop.score_with_history(snaps, h, broadcast_times=2, salt=4)
+    for scored in (small, many):
+        assert sorted((r.post, r.snapshot_ts, round(r.score, 9)) for r in scored.collect()) == exp
+        assert set(snaps.columns) <= set(scored.columns) and not [c for c in scored.columns if c.startswith("_")]
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert "_row_s" in plan and "_cfg_s" in plan
+    assert "BroadcastHashJoin [snapshot_ts" in small._jdf.queryExecution().executedPlan().toString()
