@@ -17,9 +17,11 @@ retried after it wrote its files is counted again (at least once).
 
 from __future__ import annotations
 
+import sys
 import time
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,17 +29,22 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from feedrank.schemas import COUNTS, POST_ID
-from feedrank.session import make_path, ship_package
+from feedrank.session import DEFAULT_CONF, make_path, ship_package
 
 OUTPUT = T.StructType([
     T.StructField("source_partition", T.LongType()), T.StructField("window_index", T.LongType()),
     T.StructField("n", T.LongType()), T.StructField("average_latency_ingest", T.DoubleType()),
     T.StructField("average_latency_click", T.DoubleType())])
 RECORD = Row(*OUTPUT.names)
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 STATE = "window_index long, n long, ingest long, click long"
 CHANGES = T.StructType(COUNTS.fields + [T.StructField("version", T.LongType()),
                                         T.StructField("post_date", T.DateType())])
 
+# Spark also loads the processor in a Python process of the driver's JVM, which sees
+# neither sys.path nor addPyFile: it travels whole, not as the name of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class LatencyCounter(StatefulProcessor):
     """A count and two sums per source partition."""
@@ -91,7 +98,15 @@ def start_latency_metrics(spark: SparkSession, cfg, now_ms: int | None = None,
         source = source.option("maxFilesPerTrigger", max_files)
     out = latency_metrics(source.parquet(cfg.path("changelog")), cfg.latency_window,
                           cfg.latency_partitions, cfg.window_ms, now_ms, whole_batches)
-    return (out.writeStream.format("parquet").outputMode("append")
-            .option("path", cfg.path("latency_metrics"))
-            .option("checkpointLocation", cfg.path("_ckpt/latency_metrics"))
-            .trigger(**cfg.trigger).start())
+    writer = (out.writeStream.format("parquet").outputMode("append")
+              .option("path", cfg.path("latency_metrics"))
+              .option("checkpointLocation", cfg.path("_ckpt/latency_metrics"))
+              .trigger(**cfg.trigger))
+    # Named state variables need RocksDB, which a caller's session need not have set;
+    # a query keeps the settings it was started with.
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, DEFAULT_CONF[PROVIDER])
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(PROVIDER, before)
