@@ -14,9 +14,10 @@ never taken for more than that of either of its words.
 The filter is a set of slices, one for each group of n-gram hashes. It has
 ``FILTER_BYTES`` at most, whatever the corpus. Where the n-grams of a slice need
 more than ``BITS`` bits each, the slice raises its ``floor`` to the least power of
-two at which they fit, so what a bounded filter can't tell apart is the rarest
-counts (they back off to the prior), never a part of the corpus: every training
-document is counted in full.
+two at which they fit. The n-grams below the floor are kept beside the filter with
+their counts. Scoring asks the filter first; n-grams it doesn't know are looked up
+there, slice by slice, and the answers go back to the documents, so no count is
+lost however small the filter is. With all floors 0 there is nothing to look up.
 
 Counting. A task adds up its n-grams and writes them as sorted, delta-coded
 hashes by slice; a slice is merged in one task, and the number of slices follows
@@ -145,8 +146,8 @@ class LogFilter:
     def __init__(self, marks: np.ndarray, floors: np.ndarray, bits: int):
         self.marks, self.floors, self.bits = marks, floors, bits
 
-    def estimate(self, grams: np.ndarray) -> np.ndarray:
-        """Counts as the levels found tell them; 0 where not even the first is there."""
+    def levels(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(levels of the counts, 0 where unknown; whether a count below a floor is possible)."""
         part = slice_of(grams, len(self.floors))
         start = part * self.bits
         level = np.zeros(len(grams), dtype=np.int64)
@@ -158,8 +159,17 @@ class LogFilter:
                 found &= (self.marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
             live = live[found]
             level[live] += 1
-        low = np.ldexp(1.0, level + self.floors[part] - 1)
-        return np.where(level > 0, (3 * low - 1) / 2, 0.0)              # between low and 2 low - 1
+        floor = self.floors[part]
+        return np.where(level > 0, level + floor, 0), (level == 0) & (floor > 0)
+
+    def estimate(self, grams: np.ndarray) -> np.ndarray:
+        """Counts as the levels found tell them; 0 where not even the first is there."""
+        return middle(self.levels(grams)[0])
+
+
+def middle(levels: np.ndarray) -> np.ndarray:
+    """The middle of the counts of a level, 2**(level - 1) to 2**level - 1; 0 for level 0."""
+    return np.where(levels > 0, (3 * np.ldexp(1.0, levels - 1) - 1) / 2, 0.0)
 
 
 # ------------------------------------------------------------------ counting
@@ -227,8 +237,11 @@ def added(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def build_filter(train: DataFrame, n_tokens: int, filter_bytes: int = FILTER_BYTES,
-                 slice_tokens: int = SLICE_TOKENS) -> LogFilter:
-    """The filter over all words and pairs of ``train``, which has ``n_tokens`` tokens."""
+                 slice_tokens: int = SLICE_TOKENS) -> tuple[LogFilter, DataFrame]:
+    """The filter over all words and pairs of ``train``, which has ``n_tokens`` tokens.
+
+    And ``slice``, ``rest``: the packed n-grams of a slice that lie below its floor.
+    """
     spark = train.sparkSession
     slices = int(min(n_tokens // slice_tokens + 1, filter_bytes // 64))
     bits = min(filter_bytes // slices // 8 * 64, slice_tokens * BITS)
@@ -267,34 +280,127 @@ def build_filter(train: DataFrame, n_tokens: int, filter_bytes: int = FILTER_BYT
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         grams, counts = (np.concatenate(x) for x in zip(*map(unpacked, group["blob"])))
-        floor, marks = fill(*added(grams, counts), bits)
+        grams, counts = added(grams, counts)
+        floor, marks = fill(grams, counts, bits)
+        low = counts < 1 << floor
         return pd.DataFrame({"slice": [int(group["slice"].iloc[0])], "floor": [floor],
-                             "marks": [marks.tobytes()]})
+                             "marks": [marks.tobytes()],
+                             "rest": [packed(grams[low], counts[low]) if low.any() else None]})
 
-    rows = (train.select("text").mapInArrow(run, schema).groupBy("slice")
-            .applyInPandas(merge, "slice int, floor int, marks binary")
-            .collect())                                     # filter_bytes at most
+    built = stored(train.select("text").mapInArrow(run, schema).groupBy("slice")
+                   .applyInPandas(merge, "slice int, floor int, marks binary, rest binary"), "lm-filter")
+    rows = built.select("slice", "floor", "marks").collect()            # filter_bytes at most
     marks, floors = np.zeros(slices * bits // 8, dtype=np.uint8), np.zeros(slices, dtype=np.int64)
     for r in rows:
         at = r["slice"] * bits // 8
         marks[at:at + bits // 8] = np.frombuffer(r["marks"], np.uint8)
         floors[r["slice"]] = r["floor"]
-    return LogFilter(marks, floors, bits)
+    return LogFilter(marks, floors, bits), built.filter("rest IS NOT NULL").select("slice", "rest")
 
 
 # ------------------------------------------------------------------- scoring
 
-def log_probabilities(model: LogFilter, words: np.ndarray, sizes: np.ndarray, n: int, v: int,
-                      mu: float = MU) -> np.ndarray:
-    """log10 of the probability of each document, ``sizes`` word hashes one after another."""
-    grams, back = np.unique(mixed(words), return_inverse=True)
-    single = model.estimate(grams)[back]
-    behind = previous(single, sizes)
-    pairs, back = np.unique(pair_hashes(previous(words, sizes), words), return_inverse=True)
-    both = np.minimum(model.estimate(pairs)[back], np.minimum(single, behind))
+def token_logs(single: np.ndarray, behind: np.ndarray, both: np.ndarray, n: int, v: int,
+               mu: float = MU) -> np.ndarray:
+    """log10 P(w | v) from the levels of w, v and v w."""
+    single, behind, both = middle(single), middle(behind), middle(both)
     prior = np.minimum((single + 1) / (n + v + 1), 1.0)
-    logs = np.log10((both + mu * prior) / (behind + mu))
-    return np.add.reduceat(logs, np.cumsum(sizes) - sizes)
+    return np.log10((np.minimum(both, np.minimum(single, behind)) + mu * prior) / (behind + mu))
+
+
+class Late:
+    """Tokens of a batch whose probability needs n-grams that the filter doesn't know.
+
+    ``asked``: those n-grams, in order. ``codes``: for each token the levels of w, v
+    and v w, a place in ``asked`` as -1 - place. ``docs``, ``counts``: numbers of such
+    tokens by document of the batch.
+    """
+
+    def __init__(self, asked: np.ndarray, codes: np.ndarray, docs: np.ndarray, counts: np.ndarray):
+        self.asked, self.codes, self.docs, self.counts = asked, codes, docs, counts
+
+    def asks(self, slices: int) -> tuple[list[int], list[bytes]]:
+        """Slices and their part of ``asked``; a later slice has larger hashes."""
+        part = slice_of(self.asked, slices)
+        cut = np.flatnonzero(np.diff(part, prepend=-1))
+        return part[cut].tolist(), [x.astype("<u8").tobytes() for x in np.split(self.asked, cut[1:])]
+
+    def state(self, numbers: list[int]) -> bytes:
+        """Codes and documents; ``numbers``: the rows of the batch's documents."""
+        rows = np.array(numbers, dtype="<i8")[self.docs]
+        return b"".join((np.array([len(rows)], "<i8").tobytes(), rows.tobytes(),
+                         self.counts.astype("<i8").tobytes(), self.codes.astype("<i4").tobytes()))
+
+
+def late_logs(state: bytes, levels: np.ndarray, n: int, v: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, their log10 still missing) from a state and the levels of the n-grams asked."""
+    size = int(np.frombuffer(state, "<i8", 1)[0])
+    rows, counts = np.frombuffer(state, "<i8", 2 * size, 8).reshape(2, size)
+    codes = np.frombuffer(state, "<i4", -1, 8 + 16 * size).astype(np.int64).reshape(3, -1)
+    found = np.where(codes < 0, levels[np.maximum(-1 - codes, 0)], codes)
+    return rows, np.add.reduceat(token_logs(*found, n, v), np.cumsum(counts) - counts)
+
+
+def log_probabilities(model: LogFilter, words: np.ndarray, sizes: np.ndarray, n: int,
+                      v: int) -> tuple[np.ndarray, Late | None]:
+    """log10 of the probability of each document, ``sizes`` word hashes one after another.
+
+    Without the tokens that are returned as :class:`Late`.
+    """
+    grams, at = np.unique(mixed(words), return_inverse=True)
+    pairs, both_at = np.unique(pair_hashes(previous(words, sizes), words), return_inverse=True)
+    single, single_open = model.levels(grams)
+    both, both_open = model.levels(pairs)
+    if single_open.any() or both_open.any():
+        asked = np.unique(np.concatenate([grams[single_open], pairs[both_open]]))
+        single[single_open] = -1 - np.searchsorted(asked, grams[single_open])
+        both[both_open] = -1 - np.searchsorted(asked, pairs[both_open])
+    single, both = single[at], both[both_at]
+    codes = np.stack([single, previous(single, sizes), both])
+    first = np.cumsum(sizes) - sizes
+    wait = (codes < 0).any(axis=0)
+    if not wait.any():
+        return np.add.reduceat(token_logs(*codes, n, v), first), None
+    logs = np.where(wait, 0.0, token_logs(*np.maximum(codes, 0), n, v))
+    counts = np.add.reduceat(wait.astype(np.int64), first)
+    docs = np.flatnonzero(counts)
+    return np.add.reduceat(logs, first), Late(asked, codes[:, wait], docs, counts[docs])
+
+
+def looked_up(asks: DataFrame, rest: DataFrame) -> DataFrame:
+    """Levels of the n-grams of ``asks`` (batch, slice, grams), one byte each."""
+    def answer(asked: pd.DataFrame, below: pd.DataFrame) -> pd.DataFrame:
+        grams, counts = unpacked(below["rest"].iloc[0]) if len(below) else (
+            np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        tops = np.append(np.frexp(counts.astype(np.float64))[1], 0).astype(np.uint8)
+
+        def levels(blob: bytes) -> bytes:
+            wanted = np.frombuffer(blob, "<u8")
+            at = np.searchsorted(grams, wanted)
+            there = np.append(grams, np.uint64(0))[at] == wanted
+            return np.where(there, tops[at], 0).astype(np.uint8).tobytes()
+
+        return pd.DataFrame({"batch": asked["batch"], "slice": asked["slice"],
+                             "levels": [levels(x) for x in asked["grams"]]})
+
+    return asks.groupBy("slice").cogroup(rest.groupBy("slice")).applyInPandas(
+        answer, "batch long, slice int, levels binary")
+
+
+def late_scores(part: DataFrame, rest: DataFrame, n: int, v: int) -> DataFrame:
+    """``row`` and ``late``, the log10 of its tokens that waited for the look-up."""
+    asks = (part.filter("late IS NOT NULL")
+            .select(F.col("number").alias("batch"), F.explode(F.arrays_zip("slices", "grams")).alias("r"))
+            .select("batch", F.col("r.slices").alias("slice"), F.col("r.grams").alias("grams")))
+    states = part.filter("late IS NOT NULL").select(F.col("number").alias("batch"), "late")
+
+    def finish(state: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        levels = np.frombuffer(b"".join(answers.sort_values("slice")["levels"]), np.uint8)
+        rows, logs = late_logs(state["late"].iloc[0], levels.astype(np.int64), n, v)
+        return pd.DataFrame({"row": rows, "late": logs})
+
+    return states.groupBy("batch").cogroup(looked_up(asks, rest).groupBy("batch")).applyInPandas(
+        finish, "row long, late double")
 
 
 def head_of(counts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -338,11 +444,13 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, slice_tokens: int =
     totals = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = totals["n"] or 0, totals["v"]
     share = spark.sparkContext.broadcast
-    model = share(build_filter(train, n, filter_bytes, slice_tokens))
+    built, below = build_filter(train, n, filter_bytes, slice_tokens)
+    model, slices, lossy = share(built), len(built.floors), bool(built.floors.any())
     top = share(head_of(counts, head))
 
     def rows(batch: Iterator[tuple]) -> Iterator[tuple]:
         memo = Hashes()
+        none = (None, None, None)
         keys, known = top.value
         held: list[tuple[int, int, list[bytes]]] = []
         size = 0
@@ -354,13 +462,17 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, slice_tokens: int =
             at = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
             there = keys[at] == hashes if len(keys) else np.zeros(len(hashes), dtype=bool)
             logs = np.where(there, np.log10(known[at] + 1), 0.0) if len(keys) else np.zeros(len(hashes))
+            scores, late = log_probabilities(model.value, hashes, sizes, n, v)
+            # the batch's first row carries what waits
+            waits = (late.state([number for number, _, _ in held]), *late.asks(slices)) if late else none
             numbers = (x.tolist() for x in (
                 sizes, np.add.reduceat(there.astype(np.int64), first), np.add.reduceat(logs, first),
-                log_probabilities(model.value, hashes, sizes, n, v), first))
+                scores, first))
             for (number, doc_id, words), m, heads, log, p, k in zip(held, *numbers):
                 rest = Counter(words[i] for i in np.flatnonzero(~there[k:k + m]).tolist())
                 yield (number, doc_id, is_held_out(doc_id), m, heads, log, p,
-                       list(rest), list(rest.values()))
+                       list(rest), list(rest.values()), *waits)
+                waits = none
             held.clear()
 
         for number, doc_id, text in batch:
@@ -375,7 +487,8 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, slice_tokens: int =
     numbered = narrow(docs).select(F.monotonically_increasing_id().alias("number"), "doc_id", "text")
     part = stored(per_batch(
         numbered, "number long, doc_id long, held_out boolean, n_tokens long, n_head long, "
-        "head_log double, score double, words array<binary>, times array<long>", rows), "lm-rows")
+        "head_log double, score double, words array<binary>, times array<long>, "
+        "late binary, slices array<int>, grams array<binary>", rows), "lm-rows")
     pairs = (part.select(F.col("number").alias("row"), F.explode(F.arrays_zip("words", "times")).alias("r"))
              .select("row", F.col("r.words").alias("token"), F.col("r.times").alias("times")))
     rest = (pairs.join(counts, pairs["token"] == counts["word"])
@@ -383,9 +496,16 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES, slice_tokens: int =
                                 F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rest_log")))
     base = (F.col("head_log") + F.coalesce("rest_log", F.lit(0.0))
             - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1))))
-    return part.drop("words", "times").join(rest, part["number"] == rest["row"], "left").select(
+    out = part.drop("words", "times", "late", "slices", "grams").join(
+        rest, part["number"] == rest["row"], "left").drop("row")
+    whole = F.col("score")
+    if lossy:
+        late = late_scores(part, below, n, v)
+        out = out.join(late, out["number"] == late["row"], "left")
+        whole = whole + F.coalesce("late", F.lit(0.0))
+    return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_head") + F.coalesce("n_rest", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+        F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), whole.alias("score"))
 
 
 def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

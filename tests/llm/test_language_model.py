@@ -80,6 +80,20 @@ def test_model_against_plain_counts(spark):
         assert r["score"] == pytest.approx(want, abs=1e-9)
 
 
+def test_counts_below_the_floor_are_looked_up(spark):
+    """A filter too small for the rare n-grams scores as a roomy one does, but for false positives."""
+    rows = [(i, " ".join(f"w{(i * 7 + k * k) % 400}" for k in range(30)) + (" often seen" * 60))
+            for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {r["doc_id"]: r["score"] for r in m.score(df).collect()}
+    n = sum(len(words_of(t)) for i, t in rows if not held(i))
+    built, below = m.build_filter(m.training(df), n, 1 << 10, 3000)
+    assert built.floors.min() > 0 and below.count() == len(built.floors)
+    got = {r["doc_id"]: r["score"] for r in m.score(df, filter_bytes=1 << 10, slice_tokens=3000).collect()}
+    off = [abs(got[i] - want[i]) / len(words_of(t)) for i, t in rows]
+    assert len(got) == len(rows) and np.mean(off) < 0.02
+
+
 @given(st.dictionaries(st.integers(0, 2**64 - 1), st.integers(1, 10**6), min_size=1, max_size=300),
        st.sampled_from([1, 3, 7]))
 @settings(max_examples=60, deadline=None)
