@@ -26,10 +26,10 @@ def chunks(text: str) -> list[str]:
     >>> chunks("a b  c")
     ['a', ' b  c']
     """
+    if "\0" not in text and not any(pair in text for pair in SPACE_PAIRS):
+        parts = text.replace(" ", "\0 ").split("\0")        # no white space before a space
+        return parts if parts[0] else parts[1:]
     parts = text.split(" ")
-    if not any(pair in text for pair in SPACE_PAIRS):       # no white space before a space
-        head = parts[:1] if parts[0] else []
-        return head + [" " + part for part in parts[1:]]
     out, held = [], parts[0]
     for part in parts[1:]:
         before_space = not held or held[-1].isspace()
@@ -71,19 +71,20 @@ class Memo:
         self._trim()
         young, old = self.young, self.old
         cut = [chunks(text) for text in texts]
-        fresh: set[str] = set()
-        for row in cut:
-            fresh.update([c for c in row if c not in young])
+        found = [list(map(young.get, row)) for row in cut]
+        gaps = [[i for i, value in enumerate(values) if value is None] for values in found]
         missing = []
-        for c in fresh:
+        for c in {row[i] for row, places in zip(cut, gaps) for i in places}:
             if c in old:
                 young[c] = old[c]
             else:
                 missing.append(c)
         young.update(zip(missing, self.encode(missing)))
         self.unusual = [c for c in missing if len(c) > LONGEST_MEMO_CHUNK]
-        for row in cut:
-            yield list(map(young.__getitem__, row))
+        for row, values, places in zip(cut, found, gaps):
+            for i in places:
+                values[i] = young[row[i]]
+            yield values
 
 
 def groups(pairs: Iterator[tuple], size: int = GROUP_CHARS) -> Iterator[list[tuple]]:

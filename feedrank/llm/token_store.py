@@ -21,6 +21,8 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
+import string
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -81,40 +83,63 @@ def encoder_of(raw: bytes) -> Callable[[list[str]], Iterator[bytes]]:
 class _JoinedEncoder:
     """Encodes many chunks in few calls of the library.
 
-    Chunks that start with one space and end in another sign may stand side by
-    side without changing each other's ids. Byte-level tokens spell out their
-    bytes, so the ids of the joined text are dealt back by byte length.
+    An ASCII word after one space, with or without punctuation after it, is one
+    or two pre-tokens: the library's model takes them as they are. Other chunks
+    that start with one space and end in another sign may stand side by side
+    without changing each other's ids. Byte-level tokens spell out their bytes,
+    so the ids of the joined text are dealt back by byte length.
     """
 
     JOIN = 512
+    MARKS = string.punctuation
 
     def __init__(self, tok, kind: str, alone: Callable[[list[str]], list[bytes]]):
         self.tok, self.kind, self.alone = tok, kind, alone
+        self.model = tok.model
         vocab = tok.get_vocab(with_added_tokens=False)
         added = tok.get_added_tokens_decoder()
-        self.bytes_of = np.zeros(max([*vocab.values(), *added]) + 1, dtype=np.int64)
+        top = max([*vocab.values(), *added]) + 1
+        self.bytes_of = np.zeros(top, dtype=np.int64)
         for token, i in vocab.items():
             self.bytes_of[i] = len(token)                  # one sign a byte
         for i, token in added.items():
             self.bytes_of[i] = len(token.content.encode("utf-8"))
+        self.id_bytes = [i.tobytes() for i in np.arange(top, dtype=kind)]
+        self.space = tok.pre_tokenizer.pre_tokenize_str(" a")[0][0][:-1]
+        inside = re.compile(f"[A-Za-z]*[{re.escape(self.MARKS)}]*")
+        self.words = not any(inside.fullmatch(t.content) for t in added.values())
+
+    def _piece(self, piece: str) -> bytes:
+        return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(piece)])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out: dict[str, bytes] = {}
-        free = [c for c in texts if len(c) > 1 and c[0] == " " and not c[1].isspace()
-                and not c[-1].isspace()]
-        other = set(texts).difference(free)
-        out.update(zip(other, self.alone(list(other))))
+        out: list[bytes | None] = [None] * len(texts)
+        free, other, marks = [], [], {"": b""}
+        for i, c in enumerate(texts):
+            if len(c) < 2 or c[0] != " " or c[1].isspace() or c[-1].isspace():
+                other.append(i)
+            elif not self.words or not c.isascii() or not (word := c.rstrip(self.MARKS)[1:]).isalpha():
+                free.append(i)
+            else:
+                mark = c[len(word) + 1:]
+                if mark not in marks:
+                    marks[mark] = self._piece(mark)
+                out[i] = self._piece(self.space + word) + marks[mark]
+        width = np.dtype(self.kind).itemsize
         for k in range(0, len(free), self.JOIN):
-            part = free[k:k + self.JOIN]
+            places = free[k:k + self.JOIN]
+            part = [texts[i] for i in places]
             ids = np.array(self.tok.encode_batch_fast(
-                ["".join(part)], add_special_tokens=False)[0].ids, dtype=np.int64)
-            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]),
-                                   np.cumsum([len(c.encode("utf-8")) for c in part])) + 1
-            raw, width, at = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize, 0
-            for c, end in zip(part, ends.tolist()):
-                out[c] = raw[at * width:end * width]
+                ["".join(part)], add_special_tokens=False)[0].ids, dtype=self.kind)
+            sizes = np.fromiter(map(len, map(str.encode, part)), np.int64, len(part))
+            ends = (np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(sizes)) + 1) * width
+            raw, at = ids.tobytes(), 0
+            for i, end in zip(places, ends.tolist()):
+                out[i] = raw[at:end]
                 at = end
-        return [out[c] for c in texts]
+        for i, ids in zip(other, self.alone([texts[i] for i in other])):
+            out[i] = ids
+        return out
 
 
 def id_type(vocabulary: int) -> str:

@@ -79,6 +79,38 @@ def test_special_tokens_in_texts_as_the_library_does(spark):
     assert got == [(d, start[d], len(i) + 1, zlib.crc32(np.array(i + [2], "<u4").tobytes())) for d, i in enumerate(ids)]
 
 
+def test_plain_words_go_to_the_model_and_equal_the_library():
+    raw = ts.public_tokenizer()
+    words = [" word", " Words,", " many!!", " it'", " a", " rare%%%", " x_y", " don't", " 12.", " caf\u00e9.",
+             " a.\nB.", " \u2026", " w\u0301.", " z\x00"]
+    tok = Tokenizer.from_str(raw.decode())
+    want = [np.array(tok.encode(w, add_special_tokens=False).ids, "<u2").tobytes() for w in words]
+
+    class Counted:
+        """The tokenizer, with the texts that went the long way."""
+        seen: list[str] = []
+
+        def __getattr__(self, name):
+            return getattr(tok, name)
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            self.seen += texts
+            return tok.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    assert ts._JoinedEncoder(Counted(), "<u2", lambda texts: [])(words) == want
+    assert Counted.seen == ["".join(words[6:])]
+
+
+@pytest.mark.parametrize("token", ["ab.", "!!", "word"])
+def test_added_tokens_inside_plain_words(token):
+    tok = Tokenizer.from_str(ts.public_tokenizer().decode())
+    tok.add_special_tokens([token])
+    texts = ["an ab. cab. words! word!! ab", " word ab.. swords", "x\0 y word. \0", "\0", " ", "  a"]
+    joined = ts.encoder_of(tok.to_str().encode())(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in joined] == [
+        tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_block_row_round_trip():
     b = ts._Block()
     b.add(None, b"\1\0", 2)
