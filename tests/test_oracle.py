@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from conftest import SF01
 from tools.oracle_check import digest
 
-TABLES = ["events"]
+TABLES = ["events", "conversations", "embeddings"]
 
 
 @pytest.fixture(scope="module")
