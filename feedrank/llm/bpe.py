@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import regex
@@ -72,6 +71,9 @@ class BytePairCodec:
         self.size = max(ranks.values()) + 1
         self.bytes_of = {i: token for token, i in ranks.items()}
         self.names = [str(i) for i in range(self.size)]
+        # remembered ids are kept as bytes: a quarter of what a tuple of integers takes
+        self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
+        self.packed = [i.tobytes() for i in np.arange(self.size, dtype=self.kind)]
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         self.split = regex.compile(pattern).findall
         # ``size`` stands for "no symbol": it is no part of any pair
@@ -82,7 +84,7 @@ class BytePairCodec:
         self.pair_keys = np.array(sorted(pairs) or [-1], dtype=np.int64)
         self.pair_ranks = np.array([pairs.get(k, NONE) for k in self.pair_keys.tolist()],
                                    dtype=np.int64)
-        self.memo = chunks.Memo(self._encode_chunks)
+        self.memo = chunks.Memo(self._encode_chunks, self.kind)
 
     # ------------------------------------------------------------ whole texts
 
@@ -91,19 +93,19 @@ class BytePairCodec:
 
     def encoded(self, texts: list[str]) -> Iterator[list[int]]:
         """Ids of each text; the chunks not met before are merged together."""
-        for values in self.memo.encoded(texts):
-            yield list(chain.from_iterable(values))
+        return map(np.ndarray.tolist, self.memo.encoded(texts))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def _encode_chunks(self, fresh: list[str]) -> list[tuple[int, ...]]:
-        ranks = self.ranks
+    def _encode_chunks(self, fresh: list[str]) -> list[bytes]:
+        ranks, packed = self.ranks, self.packed
         split = [[p.encode("utf-8") for p in self.split(c)] for c in fresh]
         pieces = sorted({p for row in split for p in row if p not in ranks})
-        merged = dict(zip(pieces, self.merge_all(pieces)))
-        return [tuple(chain.from_iterable([(ranks[p],) if p in ranks else merged[p]
-                                           for p in row])) for row in split]
+        merged = {p: b"".join(map(packed.__getitem__, ids))
+                  for p, ids in zip(pieces, self.merge_all(pieces))}
+        return [b"".join([packed[ranks[p]] if p in ranks else merged[p] for p in row])
+                for row in split]
 
     # ----------------------------------------------------------------- merging
 

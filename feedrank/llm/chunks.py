@@ -12,22 +12,36 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # Signs with the Unicode White_Space property (and the few more that Python counts).
 WHITE_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 SPACE_PAIRS = [c + " " for c in WHITE_SPACE]
+LINE_PAIRS = [c + "\n" for c in WHITE_SPACE]
 MEMO_LIMIT = 250_000
 GROUP_CHARS = 1 << 22           # texts encoded together hold about so many characters
 LONGEST_MEMO_CHUNK = 64
 
 
+def _has(pairs: list[str], text: str) -> bool:
+    return any(pair[0] in text and pair in text for pair in pairs)
+
+
+def _plain(text: str) -> bool:
+    """True if there is no white space before a space (nor the mark of a cut)."""
+    return "\0" not in text and not _has(SPACE_PAIRS, text)
+
+
 def chunks(text: str) -> list[str]:
     """Cut ``text`` at spaces where that is safe; the chunks join to ``text``.
 
     >>> chunks("a b  c")
     ['a', ' b  c']
     """
-    if "\0" not in text and not any(pair in text for pair in SPACE_PAIRS):
-        parts = text.replace(" ", "\0 ").split("\0")        # no white space before a space
+    if _plain(text):
+        parts = text.replace(" ", "\0 ").split("\0")
         return parts if parts[0] else parts[1:]
     parts = text.split(" ")
     out, held = [], parts[0]
@@ -44,19 +58,48 @@ def chunks(text: str) -> list[str]:
     return out
 
 
+def _cut(texts: list[str], lines: bool) -> tuple[list[int], pa.Array, np.ndarray]:
+    """Order in which texts were cut, all their chunks, how many each has; "" may be one.
+
+    ``lines``: also before a line feed, where no white space stands before any.
+    """
+    spaces, both, other = [], [], []
+    for i, text in enumerate(texts):
+        if not _plain(text):
+            other.append(i)
+        elif lines and "\n" in text and not _has(LINE_PAIRS, text):
+            both.append(i)
+        else:
+            spaces.append(i)
+    marked = pc.replace_substring(pa.array([texts[i] for i in both + spaces], pa.large_string()),
+                                  " ", "\0 ")
+    marked = pa.concat_arrays([pc.replace_substring(marked[:len(both)], "\n", "\0\n"),
+                               marked[len(both):]])
+    parts = pc.split_pattern(marked, "\0")
+    rest = [chunks(texts[i]) for i in other]
+    flat = pa.concat_arrays([parts.flatten(),
+                             pa.array([c for row in rest for c in row], pa.large_string())])
+    sizes = np.concatenate([pc.list_value_length(parts).to_numpy(zero_copy_only=False),
+                            np.array([len(row) for row in rest], dtype=np.int64)])
+    return both + spaces + other, flat, sizes.astype(np.int64)
+
+
 class Memo:
-    """chunk -> encoded value, in two generations of about ``limit`` chunks.
+    """chunk -> its ids as bytes of type ``kind``, in two generations of about ``limit`` chunks.
 
-    ``encoded`` handles a group of texts: chunks not met before are encoded
-    together. When the younger generation is full it becomes the older one,
+    ``encoded`` handles a group of texts: each distinct chunk is looked up once,
+    those not met before are encoded together, and the ids are put together with
+    array operations. When the younger generation is full it becomes the older one,
     which is dropped; a chunk met in the older one moves to the younger. Chunks
-    of unusual length are forgotten after their group.
+    of unusual length are forgotten after their group. ``lines``: no pre-token
+    that begins before a line feed holds it, so texts may be cut there, too.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = MEMO_LIMIT):
-        self.encode, self.limit = encode, limit
-        self.young: dict[str, object] = {}
-        self.old: dict[str, object] = {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], kind: str,
+                 limit: int = MEMO_LIMIT, lines: bool = False):
+        self.encode, self.kind, self.limit, self.lines = encode, kind, limit, lines
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.unusual: list[str] = []
 
     def _trim(self) -> None:
@@ -66,25 +109,46 @@ class Memo:
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
 
-    def encoded(self, texts: list[str]) -> Iterator[list]:
-        """The values of each text's chunks, in order."""
+    def known(self, chunk: str) -> bytes | None:
+        """The remembered ids of a chunk."""
+        found = self.young.get(chunk)
+        return self.old.get(chunk) if found is None else found
+
+    def _values(self, distinct: list[str]) -> list[bytes]:
         self._trim()
         young, old = self.young, self.old
-        cut = [chunks(text) for text in texts]
-        found = [list(map(young.get, row)) for row in cut]
-        gaps = [[i for i, value in enumerate(values) if value is None] for values in found]
+        values = list(map(young.get, distinct))
+        places = [i for i, value in enumerate(values) if value is None]
         missing = []
-        for c in {row[i] for row, places in zip(cut, gaps) for i in places}:
+        for i in places:
+            c = distinct[i]
             if c in old:
                 young[c] = old[c]
             else:
                 missing.append(c)
         young.update(zip(missing, self.encode(missing)))
         self.unusual = [c for c in missing if len(c) > LONGEST_MEMO_CHUNK]
-        for row, values, places in zip(cut, found, gaps):
-            for i in places:
-                values[i] = young[row[i]]
-            yield values
+        for i in places:
+            values[i] = young[distinct[i]]
+        return values
+
+    def encoded(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        order, flat, sizes = _cut(texts, self.lines)
+        coded = flat.dictionary_encode()
+        values = self._values(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(b"".join(values), dtype=self.kind)
+        length = np.fromiter(map(len, values), np.int64, len(values)) // ids.itemsize
+        first = np.cumsum(length) - length
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        n = length[at]
+        ends = np.append(0, np.cumsum(n))               # where chunks end among all ids
+        ids = ids[np.repeat(first[at] - ends[:-1], n) + np.arange(ends[-1])]
+        out: list[np.ndarray] = [ids] * len(texts)
+        cuts = ends[np.append(0, np.cumsum(sizes))].tolist()
+        for i, start, end in zip(order, cuts, cuts[1:]):
+            out[i] = ids[start:end]
+        return out
 
 
 def groups(pairs: Iterator[tuple], size: int = GROUP_CHARS) -> Iterator[list[tuple]]:

@@ -73,8 +73,8 @@ def encoder_of(raw: bytes) -> Callable[[list[str]], Iterator[bytes]]:
                     for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
         if _splits_at_spaces(json.loads(raw)):
-            memo = chunks.Memo(_JoinedEncoder(tok, kind, encode), MEMO_LIMIT)
-            _encoders[key] = lambda texts: map(b"".join, memo.encoded(texts))
+            memo = chunks.Memo(_JoinedEncoder(tok, kind, encode), kind, MEMO_LIMIT)
+            _encoders[key] = lambda texts: map(np.ndarray.tobytes, memo.encoded(texts))
         else:
             _encoders[key] = encode
     return _encoders[key]

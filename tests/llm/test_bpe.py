@@ -1,6 +1,9 @@
 """Rank-queue BPE against the tiktoken library, and its round trip."""
+import gc
 import hashlib
 import random
+import sys
+import tracemalloc
 
 import pytest
 import tiktoken
@@ -94,3 +97,20 @@ def test_encode_documents_gives_ids(spark, both):
     df = spark.createDataFrame([(1, "the cat")], "doc_id long, text string")
     r = bpe.encode_documents(df, *bpe.public_vocabulary()).first()
     assert list(r["ids"]) == both[1].encode_ordinary("the cat") and bytes(r["decoded"]) == b"the cat"
+
+
+def test_remembered_chunks_are_small():
+    raw, pattern = bpe.public_vocabulary()
+    codec = bpe.BytePairCodec(bpe.read_ranks(raw), pattern)
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("etaoinshrdlu\u00e9\u00e4", k=9)) for _ in range(800)) for _ in range(10)]
+    want = [codec.encode(t) for t in texts[:2]]
+    codec.memo.young.clear()
+    gc.collect()
+    tracemalloc.start()
+    got = [codec.encode(t) for t in texts]
+    gc.collect()
+    used = tracemalloc.get_traced_memory()[0] - sum(sys.getsizeof(x) + 32 * len(x) for x in got)
+    tracemalloc.stop()
+    assert got[:2] == want and len(codec.memo.young) > 7_900
+    assert used < 230 * len(codec.memo.young)
