@@ -73,7 +73,9 @@ def encoder_of(raw: bytes) -> Callable[[list[str]], Iterator[bytes]]:
                     for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
         if _splits_at_spaces(json.loads(raw)):
-            memo = chunks.Memo(_JoinedEncoder(tok, kind, encode), kind, MEMO_LIMIT)
+            joined = _JoinedEncoder(tok, kind, encode)
+            memo = chunks.Memo(joined, kind, MEMO_LIMIT, lines=True)
+            joined.known = memo.known
             _encoders[key] = lambda texts: map(np.ndarray.tobytes, memo.encoded(texts))
         else:
             _encoders[key] = encode
@@ -84,10 +86,11 @@ class _JoinedEncoder:
     """Encodes many chunks in few calls of the library.
 
     An ASCII word after one space, with or without punctuation after it, is one
-    or two pre-tokens: the library's model takes them as they are. Other chunks
-    that start with one space and end in another sign may stand side by side
-    without changing each other's ids. Byte-level tokens spell out their bytes,
-    so the ids of the joined text are dealt back by byte length.
+    or two pre-tokens: the library's model takes them as they are, each word once,
+    and none that ``known`` has without its punctuation (nor such a word of other
+    Latin letters). Other chunks that start with one space and end in another sign
+    may stand side by side without changing each other's ids. Byte-level tokens
+    spell out their bytes, so the ids of the joined text are dealt back by byte length.
     """
 
     JOIN = 512
@@ -96,6 +99,7 @@ class _JoinedEncoder:
     def __init__(self, tok, kind: str, alone: Callable[[list[str]], list[bytes]]):
         self.tok, self.kind, self.alone = tok, kind, alone
         self.model = tok.model
+        self.known: Callable[[str], bytes | None] = lambda chunk: None
         vocab = tok.get_vocab(with_added_tokens=False)
         added = tok.get_added_tokens_decoder()
         top = max([*vocab.values(), *added]) + 1
@@ -106,7 +110,7 @@ class _JoinedEncoder:
             self.bytes_of[i] = len(token.content.encode("utf-8"))
         self.id_bytes = [i.tobytes() for i in np.arange(top, dtype=kind)]
         self.space = tok.pre_tokenizer.pre_tokenize_str(" a")[0][0][:-1]
-        inside = re.compile(f"[A-Za-z]*[{re.escape(self.MARKS)}]*")
+        inside = re.compile(f"[A-Za-z\xaa-\u024f]*[{re.escape(self.MARKS)}]*")
         self.words = not any(inside.fullmatch(t.content) for t in added.values())
 
     def _piece(self, piece: str) -> bytes:
@@ -114,17 +118,26 @@ class _JoinedEncoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        free, other, marks = [], [], {"": b""}
+        free, other, marks, plain = [], [], {"": b""}, {}
         for i, c in enumerate(texts):
             if len(c) < 2 or c[0] != " " or c[1].isspace() or c[-1].isspace():
                 other.append(i)
-            elif not self.words or not c.isascii() or not (word := c.rstrip(self.MARKS)[1:]).isalpha():
+            elif not self.words or not (word := c.rstrip(self.MARKS)[1:]).isalpha():
+                free.append(i)
+            elif not c.isascii() and (len(word) == len(c) - 1 or max(word) > "\u024f"
+                                      or not (ids := self.known(" " + word))):
                 free.append(i)
             else:
                 mark = c[len(word) + 1:]
+                if not c.isascii():
+                    plain[word] = ids
                 if mark not in marks:
                     marks[mark] = self._piece(mark)
-                out[i] = self._piece(self.space + word) + marks[mark]
+                ids = plain.get(word)
+                if ids is None:
+                    ids = self.known(" " + word) if mark else None
+                    plain[word] = ids = ids or self._piece(self.space + word)
+                out[i] = ids + marks[mark]
         width = np.dtype(self.kind).itemsize
         for k in range(0, len(free), self.JOIN):
             places = free[k:k + self.JOIN]

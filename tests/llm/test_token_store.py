@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from feedrank.llm import chunks
 from feedrank.llm import token_store as ts
 from feedrank.llm.common import documents
 from feedrank.llm.elias_fano import EliasFano
@@ -101,6 +102,40 @@ def test_plain_words_go_to_the_model_and_equal_the_library():
     assert Counted.seen == ["".join(words[6:])]
 
 
+def test_known_words_and_lines_cost_no_new_call(monkeypatch):
+    raw = ts.public_tokenizer()
+    monkeypatch.setattr(ts, "_encoders", {})
+    encode, tok = ts.encoder_of(raw), Tokenizer.from_str(raw.decode())
+    calls: list[str] = []
+    pieces, library = ts._JoinedEncoder._piece, chunks.Memo._values
+
+    def counted(self, piece):
+        calls.append(piece)
+        return pieces(self, piece)
+
+    def fresh(self, distinct):
+        held, self.encode = self.encode, lambda c: (seen.append(sorted(c)), held(c))[1]
+        try:
+            return library(self, distinct)
+        finally:
+            self.encode = held
+
+    seen: list[list[str]] = []
+    monkeypatch.setattr(ts._JoinedEncoder, "_piece", counted)
+    monkeypatch.setattr(chunks.Memo, "_values", fresh)
+    texts = ["x zorble caf\u00e9", "x zorble!! caf\u00e9!! zorble.\nx zorble!!\nx",
+             "x zorble \n\nx zorble\n\nx zorble\u2003\nx \nx\n", "\nx zorble's caf\u00e9's \u01c5a!!"]
+    for text in texts:
+        got = np.frombuffer(next(iter(encode([text]))), "<u2").tolist()
+        assert got == tok.encode(text, add_special_tokens=False).ids
+    assert calls.count(encode_space(tok) + "zorble") == 1
+    assert seen[1] == ["\nx", " caf\u00e9!!", " zorble!!", " zorble."]
+
+
+def encode_space(tok):
+    return tok.pre_tokenizer.pre_tokenize_str(" a")[0][0][:-1]
+
+
 @pytest.mark.parametrize("token", ["ab.", "!!", "word"])
 def test_added_tokens_inside_plain_words(token):
     tok = Tokenizer.from_str(ts.public_tokenizer().decode())
